@@ -1 +1,6 @@
 """Queries over the driver's tables, and the SQL that checks them."""
+
+from checks import batch, serving  # noqa: F401
+from checks.registry import CHECKS
+
+__all__ = ["CHECKS"]

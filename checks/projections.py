@@ -129,7 +129,7 @@ SELECT cast(event_id as @str) AS event_id, k AS stop_update_index, {_T} AS event
         AS predicted_departure,
     cast(event_id % 300 - 60 as int) AS delay_seconds, {_NO} AS stop_schedule_relationship,
     {_LINEAGE.format(topic="transit.trip_updates.v1")}
-FROM @events CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) n
+FROM @events @repeat4
 """
 
 SERVICE_ALERT_ENTITIES = f"""
@@ -161,7 +161,7 @@ SELECT cast(event_id as @str) AS event_id, k AS informed_entity_index,
     CASE WHEN k = 1 THEN cast(event_id % 110 as @str) END AS stop_id,
     CASE WHEN event_id % 3 = 0 THEN null ELSE cast(event_id % 2 as int) END AS direction_id,
     {_LINEAGE.format(topic="transit.service_alerts.v1")}
-FROM @events CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1) n
+FROM @events @repeat2
 """
 
 PROJECTIONS = {
@@ -178,8 +178,15 @@ PROJECTIONS = {
 DRIVER_TABLES = ("nation", "supplier", "customer", "orders", "events", "documents")
 
 
+# ``@repeatN``: every row N times, numbered ``k`` from 0.
+REPEATS = (2, 4)
+
+
 def duckdb_text(text: str) -> str:
     """The projection as DuckDB runs it, over the driver's views."""
+    for n in REPEATS:
+        numbers = f"(SELECT cast(unnest(range({n})) as int) AS k) n"
+        text = text.replace(f"@repeat{n}", f"CROSS JOIN {numbers}")
     for name in DRIVER_TABLES:
         text = text.replace(f"@{name}", name)
     return text.replace("@str", "varchar").strip()
@@ -194,6 +201,8 @@ def over(text: str, **tables: DataFrame) -> DataFrame:
     """The projection as Spark runs it, over the given tables."""
     spark = next(iter(tables.values())).sparkSession
     text = text.replace("@str", "string").replace("{", "{{").replace("}", "}}")
+    for n in REPEATS:
+        text = text.replace(f"@repeat{n}", f"LATERAL VIEW explode(sequence(0, {n - 1})) n AS k")
     for name in tables:
         text = text.replace(f"@{name}", "{" + name + "}")
     return spark.sql(text, **tables)

@@ -30,7 +30,7 @@ def left_join(
     """
     lefts = [key for key, _ in keys]
     complete = reduce(lambda a, b: a & b, [key.isNotNull() for key in lefts])
-    filler = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(spread_by), F.lit(_SPREAD)).cast("string"))
+    filler = F.concat(F.lit("~"), F.pmod(F.xxhash64(spread_by), F.lit(_SPREAD)).cast("string"))
     first = F.when(complete, lefts[0]).otherwise(filler)
     matches = [first == keys[0][1]] + [mine == other for mine, other in keys[1:]]
     return left.join(right, reduce(lambda a, b: a & b, [*matches, complete]), "left")
