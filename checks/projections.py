@@ -7,6 +7,8 @@ that nulls, misses and boundary cases occur.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from stopwise.session import use_utc
@@ -189,7 +191,8 @@ def duckdb_text(text: str) -> str:
         text = text.replace(f"@repeat{n}", f"CROSS JOIN {numbers}")
     for name in DRIVER_TABLES:
         text = text.replace(f"@{name}", name)
-    return text.replace("@str", "varchar").strip()
+    text = text.replace("@epoch", "(epoch_us(ts) // 1000000)")
+    return text.replace("@offset", '"offset"').replace("@str", "varchar").strip()
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -200,7 +203,8 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def over(text: str, **tables: DataFrame) -> DataFrame:
     """The projection as Spark runs it, over the given tables."""
     spark = next(iter(tables.values())).sparkSession
-    text = text.replace("@str", "string").replace("{", "{{").replace("}", "}}")
+    text = text.replace("@offset", "offset").replace("@str", "string").replace("{", "{{").replace("}", "}}")
+    text = text.replace("@epoch", "unix_seconds(cast(ts as timestamp))")
     for n in REPEATS:
         text = text.replace(f"@repeat{n}", f"LATERAL VIEW explode(sequence(0, {n - 1})) n AS k")
     for name in tables:
@@ -218,8 +222,10 @@ class Staged(dict):
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         super().__init__()
-        self._spark, self._sf_dir = spark, sf_dir
+        self.spark, self.folder = spark, sf_dir
+        # Output folders of one run are its own.
+        self.run_name = uuid.uuid4().hex[:12]
 
     def __missing__(self, name: str) -> DataFrame:
-        self[name] = project(self._spark, self._sf_dir, PROJECTIONS[name])
+        self[name] = project(self.spark, self.folder, PROJECTIONS[name])
         return self[name]

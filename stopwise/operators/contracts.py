@@ -1,19 +1,19 @@
 """Contract checks of event JSON text.
 
-The text is parsed once into a variant, which keeps the JSON types, and each
-field rule becomes a column that names its violation. No Python runs per row.
+The text is parsed once into a variant, which keeps the JSON types. Contracts
+are constant tables of rules, looked up per field by Spark's own functions; no
+Python runs per row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass, field
-from functools import reduce
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stopwise import settings
+from stopwise.functions.plan import bound, computed_once
 
 VIOLATIONS = "_violations"
 
@@ -58,6 +58,15 @@ SEVERITIES = ("UNKNOWN_SEVERITY", "INFO", "WARNING", "SEVERE")
 FAILURE_STAGES = ("producer", "schema_validation", "spark_transform", "sink")
 
 
+# Named text formats of rules.
+_FORMATS = {
+    "instant": _DATE_TIME,
+    "uri": _URI,
+    "service_date": _SERVICE_DATE,
+    "service_time": _SERVICE_TIME,
+}
+
+
 @dataclass(frozen=True)
 class Rule:
     """What one field may hold. ``kinds`` are JSON types."""
@@ -65,22 +74,18 @@ class Rule:
     kinds: tuple[str, ...]
     required: bool = False
     equals: str | int | None = None
-    choices: tuple = ()
+    choices: tuple[str, ...] = ()
     minimum: float | None = None
     maximum: float | None = None
-    min_length: int = 0
-    pattern: str | None = None
-    day_must_exist: bool = False
-
+    min_length: int | None = None
+    min_items: int | None = None
+    form: str | None = None
+    one_of: tuple[str, ...] = ()
 
-@dataclass(frozen=True)
-class Shape:
-    """Fields of an object. ``children`` are objects, ``lists`` arrays of objects."""
 
-    fields: dict[str, Rule]
-    children: dict[str, Shape] = field(default_factory=dict)
-    lists: dict[str, tuple[Shape, int]] = field(default_factory=dict)
-    one_of: tuple[str, ...] = ()
+# A contract: rules by path. ``payload.x`` is a field of the payload, ``x[]``
+# an item of a list, ``x[].y`` a field of such an item.
+Contract = dict[str, Rule]
 
 
 def _text(**limits) -> Rule:
@@ -92,11 +97,11 @@ def _maybe(kind: str, **limits) -> Rule:
 
 
 def _instant(**limits) -> Rule:
-    return _text(pattern=_DATE_TIME, day_must_exist=True, **limits)
+    return _text(form="instant", **limits)
 
 
 def _maybe_instant(**limits) -> Rule:
-    return _maybe("string", pattern=_DATE_TIME, day_must_exist=True, **limits)
+    return _maybe("string", form="instant", **limits)
 
 
 def _identity(event_type: str) -> dict[str, Rule]:
@@ -118,128 +123,128 @@ def _header(event_type: str) -> dict[str, Rule]:
     }
 
 
-_DIRECTION = {"choices": (0, 1)}
-
-VEHICLE = Shape(
-    {
-        **_header(settings.VEHICLE_EVENT),
-        "route_id": _maybe("string"),
-        "trip_id": _maybe("string"),
-        "vehicle_id": _text(required=True, min_length=1),
-    },
-    children={
-        "payload": Shape(
-            {
-                "latitude": Rule(("number",), required=True, minimum=-90, maximum=90),
-                "longitude": Rule(("number",), required=True, minimum=-180, maximum=180),
-                "bearing": _maybe("number", minimum=0, maximum=360),
-                "odometer": _maybe("number", minimum=0),
-                "speed_mps": _maybe("number", minimum=0),
-                "direction_id": _maybe("integer", **_DIRECTION),
-                "current_stop_sequence": _maybe("integer", minimum=0),
-                "stop_id": _maybe("string"),
-                "current_status": _maybe("string"),
-                "occupancy_status": _maybe("string"),
-                "vehicle_label": _maybe("string"),
-            }
-        )
-    },
-)
+def _direction(**limits) -> Rule:
+    return _maybe("integer", minimum=0, maximum=1, **limits)
 
-TRIP = Shape(
-    {
-        **_header(settings.TRIP_EVENT),
-        "route_id": _maybe("string"),
-        "trip_id": _text(required=True, min_length=1),
-        "start_date": _maybe("string", pattern=_SERVICE_DATE),
-        "start_time": _maybe("string", pattern=_SERVICE_TIME),
-        "vehicle_id": _maybe("string"),
-    },
-    children={
-        "payload": Shape(
-            {
-                "direction_id": _maybe("integer", required=True, **_DIRECTION),
-                "schedule_relationship": _maybe("string", required=True),
-                "trip_delay_seconds": _maybe("integer", required=True),
-            },
-            lists={
-                "stop_time_updates": (
-                    Shape(
-                        {
-                            "stop_id": _maybe("string", required=True, min_length=1),
-                            "stop_sequence": _maybe("integer", required=True, minimum=0),
-                            "predicted_arrival": _maybe_instant(required=True),
-                            "predicted_departure": _maybe_instant(required=True),
-                            "delay_seconds": _maybe("integer", required=True),
-                            "schedule_relationship": _maybe("string", required=True),
-                        },
-                        one_of=("stop_id", "stop_sequence"),
-                    ),
-                    0,
-                )
-            },
-        )
-    },
-)
 
-ALERT = Shape(
-    {**_header(settings.ALERT_EVENT), "alert_id": _text(required=True, min_length=1)},
-    children={
-        "payload": Shape(
-            {
-                "cause": _maybe("string", required=True, choices=CAUSES),
-                "effect": _maybe("string", required=True, choices=EFFECTS),
-                "severity": _maybe("string", required=True, choices=SEVERITIES),
-                "header_text": _maybe("string", required=True),
-                "description_text": _maybe("string", required=True),
-                "tts_header_text": _maybe("string"),
-                "tts_description_text": _maybe("string"),
-                "url": _maybe("string", required=True, pattern=_URI),
-            },
-            lists={
-                "active_periods": (
-                    Shape(
-                        {
-                            "start": _maybe_instant(required=True),
-                            "end": _maybe_instant(required=True),
-                        }
-                    ),
-                    0,
-                ),
-                "informed_entities": (
-                    Shape(
-                        {
-                            "agency_id": _maybe("string", required=True),
-                            "route_id": _maybe("string", required=True),
-                            "route_type": _maybe("integer", required=True, minimum=0),
-                            "trip_id": _maybe("string", required=True),
-                            "stop_id": _maybe("string", required=True),
-                            "direction_id": _maybe("integer", required=True, **_DIRECTION),
-                        }
-                    ),
-                    1,
-                ),
-            },
-        )
-    },
-)
+def _inside(path: str, rules: Contract) -> Contract:
+    return {f"{path}.{name}": rule for name, rule in rules.items()}
 
-DEAD_LETTER = Shape(
-    {
-        **_identity(settings.DEAD_LETTER_EVENT),
-        "failed_at": _instant(required=True),
-        "failure_stage": _text(required=True, choices=FAILURE_STAGES),
-        "error_type": _text(required=True, min_length=1),
-        "error_message": _text(required=True, min_length=1),
-        "original_topic": _text(required=True, min_length=1),
-        "original_partition": _maybe("integer"),
-        "original_offset": _maybe("integer"),
-        "original_key": _maybe("string"),
-        "original_schema_version": _maybe("integer"),
-        "raw_payload": Rule(("string", "object", "array", "null")),
-        "correlation_id": _maybe("string"),
-    }
-)
+
+_OBJECT = Rule(("object",), required=True)
+
+
+def _list(**limits) -> Rule:
+    return Rule(("array",), required=True, **limits)
+
+
+VEHICLE: Contract = {
+    **_header(settings.VEHICLE_EVENT),
+    "route_id": _maybe("string"),
+    "trip_id": _maybe("string"),
+    "vehicle_id": _text(required=True, min_length=1),
+    "payload": _OBJECT,
+    **_inside(
+        "payload",
+        {
+            "latitude": Rule(("number",), required=True, minimum=-90, maximum=90),
+            "longitude": Rule(("number",), required=True, minimum=-180, maximum=180),
+            "bearing": _maybe("number", minimum=0, maximum=360),
+            "odometer": _maybe("number", minimum=0),
+            "speed_mps": _maybe("number", minimum=0),
+            "direction_id": _direction(),
+            "current_stop_sequence": _maybe("integer", minimum=0),
+            "stop_id": _maybe("string"),
+            "current_status": _maybe("string"),
+            "occupancy_status": _maybe("string"),
+            "vehicle_label": _maybe("string"),
+        },
+    ),
+}
+
+TRIP: Contract = {
+    **_header(settings.TRIP_EVENT),
+    "route_id": _maybe("string"),
+    "trip_id": _text(required=True, min_length=1),
+    "start_date": _maybe("string", form="service_date"),
+    "start_time": _maybe("string", form="service_time"),
+    "vehicle_id": _maybe("string"),
+    "payload": _OBJECT,
+    **_inside(
+        "payload",
+        {
+            "direction_id": _direction(required=True),
+            "schedule_relationship": _maybe("string", required=True),
+            "trip_delay_seconds": _maybe("integer", required=True),
+            "stop_time_updates": _list(),
+            "stop_time_updates[]": Rule(("object",), one_of=("stop_id", "stop_sequence")),
+            **_inside(
+                "stop_time_updates[]",
+                {
+                    "stop_id": _maybe("string", required=True, min_length=1),
+                    "stop_sequence": _maybe("integer", required=True, minimum=0),
+                    "predicted_arrival": _maybe_instant(required=True),
+                    "predicted_departure": _maybe_instant(required=True),
+                    "delay_seconds": _maybe("integer", required=True),
+                    "schedule_relationship": _maybe("string", required=True),
+                },
+            ),
+        },
+    ),
+}
+
+ALERT: Contract = {
+    **_header(settings.ALERT_EVENT),
+    "alert_id": _text(required=True, min_length=1),
+    "payload": _OBJECT,
+    **_inside(
+        "payload",
+        {
+            "cause": _maybe("string", required=True, choices=CAUSES),
+            "effect": _maybe("string", required=True, choices=EFFECTS),
+            "severity": _maybe("string", required=True, choices=SEVERITIES),
+            "header_text": _maybe("string", required=True),
+            "description_text": _maybe("string", required=True),
+            "tts_header_text": _maybe("string"),
+            "tts_description_text": _maybe("string"),
+            "url": _maybe("string", required=True, form="uri"),
+            "active_periods": _list(),
+            "active_periods[]": Rule(("object",)),
+            **_inside(
+                "active_periods[]",
+                {"start": _maybe_instant(required=True), "end": _maybe_instant(required=True)},
+            ),
+            "informed_entities": _list(min_items=1),
+            "informed_entities[]": Rule(("object",)),
+            **_inside(
+                "informed_entities[]",
+                {
+                    "agency_id": _maybe("string", required=True),
+                    "route_id": _maybe("string", required=True),
+                    "route_type": _maybe("integer", required=True, minimum=0),
+                    "trip_id": _maybe("string", required=True),
+                    "stop_id": _maybe("string", required=True),
+                    "direction_id": _direction(required=True),
+                },
+            ),
+        },
+    ),
+}
+
+DEAD_LETTER: Contract = {
+    **_identity(settings.DEAD_LETTER_EVENT),
+    "failed_at": _instant(required=True),
+    "failure_stage": _text(required=True, choices=FAILURE_STAGES),
+    "error_type": _text(required=True, min_length=1),
+    "error_message": _text(required=True, min_length=1),
+    "original_topic": _text(required=True, min_length=1),
+    "original_partition": _maybe("integer"),
+    "original_offset": _maybe("integer"),
+    "original_key": _maybe("string"),
+    "original_schema_version": _maybe("integer"),
+    "raw_payload": Rule(("string", "object", "array", "null")),
+    "correlation_id": _maybe("string"),
+}
 
 CONTRACTS = {
     (settings.VEHICLE_EVENT, 1): VEHICLE,
@@ -248,161 +253,247 @@ CONTRACTS = {
     (settings.DEAD_LETTER_EVENT, 1): DEAD_LETTER,
 }
 
+_FIELDS = "map<string,variant>"
+_ITEMS = "array<variant>"
 
-def _member(value: Column, name: str) -> Column:
-    return F.try_variant_get(value, f"$.{name}", "variant")
 
+def _texts(values: tuple[str, ...]) -> Column:
+    return F.array(*[F.lit(value) for value in values]).cast("array<string>")
 
-def _number(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "double")
 
+def _rule_row(rule: Rule) -> Column:
+    is_text = isinstance(rule.equals, str)
+    return F.struct(
+        _texts(rule.kinds).alias("kinds"),
+        F.lit(rule.equals if is_text else None).cast("string").alias("text"),
+        F.lit(None if is_text else rule.equals).cast("double").alias("number"),
+        _texts(rule.choices).alias("choices"),
+        F.lit(rule.minimum).cast("double").alias("minimum"),
+        F.lit(rule.maximum).cast("double").alias("maximum"),
+        F.lit(rule.min_length).cast("int").alias("min_length"),
+        F.lit(rule.min_items).cast("int").alias("min_items"),
+        F.lit(rule.form).cast("string").alias("form"),
+        _texts(rule.one_of).alias("one_of"),
+    )
 
-def _string(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "string")
 
+def _tables(contracts: dict[str, Contract]) -> tuple[Column, Column]:
+    """Contracts as constants: rules by label and path, required names by label and place."""
+    rules, required = [], []
+    for label, contract in contracts.items():
+        names: dict[str, list[str]] = {}
+        for path, rule in contract.items():
+            rules += [F.lit(f"{label} {path}"), _rule_row(rule)]
+            place, _, name = path.rpartition(".")
+            names.setdefault(place, [])
+            if rule.required:
+                names[place].append(name)
+        for place, group in names.items():
+            required += [F.lit(f"{label} {place}"), _texts(tuple(group))]
+    return F.create_map(*rules), F.create_map(*required)
+
+
+def _fields(value: Column) -> Column:
+    """Fields of an object; null for anything else."""
+    return F.try_variant_get(value, "$", _FIELDS)
+
+
+def _kind(value: Column) -> Column:
+    """JSON type; a number without fraction is an integer."""
+    number = F.try_variant_get(value, "$", "double")
+
+    def of(name: Column) -> Column:
+        return (
+            F.when(name == "VOID", F.lit("null"))
+            .when(name == "STRING", F.lit("string"))
+            .when(name == "BOOLEAN", F.lit("boolean"))
+            .when(name.startswith("ARRAY"), F.lit("array"))
+            .when(name.startswith("OBJECT"), F.lit("object"))
+            .when(number % 1 == 0, F.lit("integer"))
+            .otherwise(F.lit("number"))
+        )
 
-def _is_kind(value: Column, kind: str) -> Column:
-    name = F.schema_of_variant(value)
-    numeric = name.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-    return {
-        "null": name == "VOID",
-        "string": name == "STRING",
-        "number": numeric,
-        "integer": numeric & (_number(value) % 1 == 0),
-        "array": name.startswith("ARRAY"),
-        "object": name.startswith("OBJECT"),
-    }[kind]
-
-
-def _any(checks: Iterable[Column]) -> Column:
-    return reduce(lambda left, right: left | right, checks)
-
-
-def _when(bad: Column, reason: str) -> Column:
-    return F.when(F.coalesce(bad, F.lit(False)), F.lit(reason))
-
-
-def _field_violations(parent: Column, path: str, name: str, rule: Rule) -> list[Column]:
-    value = _member(parent, name)
-    present = value.isNotNull()
-    is_text, is_number = _is_kind(value, "string"), _is_kind(value, "number")
-    text, number = _string(value), _number(value)
-    where = f"{path}{name}"
-    found = [_when(present & ~_any(_is_kind(value, k) for k in rule.kinds), f"{where}: wrong type")]
-    if rule.required:
-        found.append(_when(~present, f"{where}: missing"))
-    if isinstance(rule.equals, str):
-        found.append(_when(is_text & (text != rule.equals), f"{where}: unexpected value"))
-    elif rule.equals is not None:
-        found.append(_when(is_number & (number != rule.equals), f"{where}: unexpected value"))
-    if rule.choices:
-        numeric = isinstance(rule.choices[0], int)
-        usable, value_of = (is_number, number) if numeric else (is_text, text)
-        found.append(_when(usable & ~value_of.isin(*rule.choices), f"{where}: not an allowed value"))
-    if rule.minimum is not None:
-        found.append(_when(is_number & (number < rule.minimum), f"{where}: below minimum"))
-    if rule.maximum is not None:
-        found.append(_when(is_number & (number > rule.maximum), f"{where}: above maximum"))
-    if rule.min_length:
-        found.append(_when(is_text & (F.length(text) < rule.min_length), f"{where}: too short"))
-    if rule.pattern is not None:
-        wrong = ~text.rlike(rule.pattern)
-        if rule.day_must_exist:
-            day = F.try_to_timestamp(F.substring(text, 1, 10), F.lit("yyyy-MM-dd"))
-            wrong = wrong | day.isNull()
-        found.append(_when(is_text & wrong, f"{where}: malformed"))
-    return found
-
-
-def _shape_violations(value: Column, path: str, shape: Shape) -> list[Column]:
-    found: list[Column] = []
-    for name, rule in shape.fields.items():
-        found += _field_violations(value, path, name, rule)
-    if shape.one_of:
-        filled = [
-            F.coalesce(F.schema_of_variant(_member(value, name)) != "VOID", F.lit(True))
-            for name in shape.one_of
-        ]
-        found.append(_when(~_any(filled), f"{path}{' or '.join(shape.one_of)}: one is needed"))
-    for name, child in shape.children.items():
-        inner, where = _member(value, name), f"{path}{name}"
-        found.append(_when(inner.isNull(), f"{where}: missing"))
-        found.append(_when(inner.isNotNull() & ~_is_kind(inner, "object"), f"{where}: wrong type"))
-        checks = _shape_violations(inner, f"{where}.", child)
-        found += [F.when(_is_kind(inner, "object"), check) for check in checks]
-    for name, (item_shape, least) in shape.lists.items():
-        found += _list_violations(_member(value, name), f"{path}{name}", item_shape, least)
-    allowed = [*shape.fields, *shape.children, *shape.lists]
-    keys = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
-    extra = F.exists(keys, lambda key: ~key.isin(*allowed))
-    found.append(_when(extra, f"{path or '<root>.'}*: unknown field"))
-    return found
-
-
-def _list_violations(value: Column, where: str, shape: Shape, least: int) -> list[Column]:
-    items = F.try_variant_get(value, "$", "array<variant>")
-    is_array = _is_kind(value, "array")
-
-    def problem(item: Column) -> Column:
-        return F.when(~_is_kind(item, "object"), F.lit(f"{where}[]: wrong type")).otherwise(
-            F.coalesce(*_shape_violations(item, f"{where}[].", shape))
+    return bound(F.schema_of_variant(value), of)
+
+
+def _entries(prefix: Column, fields: Column) -> Column:
+    """Path and value of each field of an object; none for a null object."""
+    listed = F.transform(
+        F.map_entries(fields),
+        lambda entry: F.struct(
+            F.concat(prefix, entry["key"]).alias("path"), entry["value"].alias("value")
+        ),
+    )
+    return F.coalesce(listed, F.array().cast("array<struct<path: string, value: variant>>"))
+
+
+def _list_entries(payload: Column) -> Column:
+    """Path and value of each item of each list of the payload."""
+    return F.flatten(
+        F.transform(
+            _entries(F.lit("payload."), payload),
+            lambda entry: F.coalesce(
+                F.transform(
+                    F.try_variant_get(entry["value"], "$", _ITEMS),
+                    lambda item: F.struct(
+                        F.concat(entry["path"], F.lit("[]")).alias("path"), item.alias("value")
+                    ),
+                ),
+                F.array().cast("array<struct<path: string, value: variant>>"),
+            ),
         )
+    )
+
 
-    first = F.get(F.filter(F.transform(items, problem), lambda text: text.isNotNull()), F.lit(0))
-    return [
-        _when(value.isNull(), f"{where}: missing"),
-        _when(value.isNotNull() & ~is_array, f"{where}: wrong type"),
-        _when(is_array & (F.size(items) < least), f"{where}: too few items"),
-        F.when(is_array, first),
-    ]
+def _missing(prefix: Column, fields: Column, required: Column) -> Column:
+    """Required names an object lacks, as violations; none for a null object."""
+    absent = F.array_except(required, F.map_keys(fields))
+    listed = F.transform(absent, lambda name: F.concat(prefix, name, F.lit(": missing")))
+    return F.coalesce(listed, F.array().cast("array<string>"))
 
 
-def violations(document: Column, shape: Shape) -> Column:
-    """Violations of one contract by a variant; empty when it is met."""
-    is_object = F.coalesce(_is_kind(document, "object"), F.lit(False))
-    checks = F.array_compact(F.array(*_shape_violations(document, "", shape)))
-    return F.when(is_object, checks).otherwise(F.array(F.lit("<root>: not a JSON object")))
+def _form_ok(text: Column, form: Column) -> Column:
+    matches = F.lit(None).cast("boolean")
+    for name, pattern in _FORMATS.items():
+        matches = F.when(form == name, text.rlike(pattern)).otherwise(matches)
+    day = F.try_to_timestamp(F.substring(text, 1, 10), F.lit("yyyy-MM-dd"))
+    return matches & ((form != "instant") | day.isNotNull())
+
+
+def _problem(path: Column, value: Column, rule: Column) -> Column:
+    """What is wrong with one value under its rule, or null."""
+    facts = F.struct(_kind(value).alias("kind"), rule.alias("rule"))
+    return bound(facts, lambda found: _judged(path, value, found["kind"], found["rule"]))
+
+
+def _judged(path: Column, value: Column, kind: Column, rule: Column) -> Column:
+    text = F.when(kind == "string", F.try_variant_get(value, "$", "string"))
+    number = F.when(kind.isin("integer", "number"), F.try_variant_get(value, "$", "double"))
+    kinds = rule["kinds"]
+    allowed = F.array_contains(kinds, kind) | (
+        (kind == "integer") & F.array_contains(kinds, F.lit("number"))
+    )
+    none_given = F.forall(
+        rule["one_of"],
+        lambda name: F.schema_of_variant(F.element_at(_fields(value), name)) == "VOID",
+    )
+    reason = (
+        F.when(rule.isNull(), F.lit("unknown field"))
+        .when(~allowed, F.lit("wrong type"))
+        .when((text != rule["text"]) | (number != rule["number"]), F.lit("unexpected value"))
+        .when(
+            (F.size(rule["choices"]) > 0) & ~F.array_contains(rule["choices"], text),
+            F.lit("not an allowed value"),
+        )
+        .when(number < rule["minimum"], F.lit("below minimum"))
+        .when(number > rule["maximum"], F.lit("above maximum"))
+        .when(F.length(text) < rule["min_length"], F.lit("too short"))
+        .when(
+            rule["min_items"].isNotNull()
+            & (F.size(F.try_variant_get(value, "$", _ITEMS)) < rule["min_items"]),
+            F.lit("too few items"),
+        )
+        .when(
+            rule["form"].isNotNull() & (kind == "string") & ~_form_ok(text, rule["form"]),
+            F.lit("malformed"),
+        )
+        .when((F.size(rule["one_of"]) > 0) & none_given, F.lit("one of its fields is needed"))
+    )
+    return F.concat(path, F.lit(": "), reason)
 
 
 def contract_of(document: Column) -> tuple[Column, Column]:
     """Event type (when text) and schema version (when an integer) of a variant."""
-    kind, version = _member(document, "event_type"), _member(document, "schema_version")
+    kind = F.try_variant_get(document, "$.event_type", "variant")
+    version = F.try_variant_get(document, "$.schema_version", "variant")
     return (
-        F.when(_is_kind(kind, "string"), _string(kind)),
+        F.when(F.schema_of_variant(kind) == "STRING", F.try_variant_get(kind, "$", "string")),
         F.when(F.schema_of_variant(version) == "BIGINT", F.try_variant_get(version, "$", "bigint")),
     )
 
 
-def event_violations(document: Column) -> Column:
-    """Violations of the contract an event names; an unknown contract is one.
+def _label(kind: Column, version: Column) -> Column:
+    return F.concat(kind, F.lit(" v"), version.cast("string"))
+
+
+_GIVEN = "given"
 
-    Each text reads ``type vN at path: reason``.
+
+def with_violations(messages: DataFrame, contract: Contract | None = None) -> DataFrame:
+    """Messages (JSON text in ``value``) with their contract violations.
+
+    The contract is the one the event names, unless one is given. Texts then
+    read ``type vN at path: reason``. The rules are data, so one small
+    expression checks every field of every contract.
     """
+    known = (
+        {_GIVEN: contract}
+        if contract is not None
+        else {f"{kind} v{version}": found for (kind, version), found in CONTRACTS.items()}
+    )
+    rules, required = _tables(known)
+    document, label = F.col("_document"), F.col("_parts.label")
+    rows = computed_once(messages, "_document", F.try_parse_json(F.col("value").cast("string")))
     kind, version = contract_of(document)
-    label = F.concat(kind, F.lit(" v"), version.cast("string"))
-    result = F.when(kind.isNull(), F.array(F.lit("event_type must be a string"))).when(
-        version.isNull(), F.array(F.lit("schema_version must be an integer"))
+    fields = _fields(document)
+    rows = computed_once(
+        rows,
+        "_parts",
+        F.struct(
+            (_label(kind, version) if contract is None else F.lit(_GIVEN)).alias("label"),
+            kind.isNull().alias("unnamed"),
+            fields.alias("root"),
+            _fields(F.element_at(fields, F.lit("payload"))).alias("payload"),
+        ),
     )
-    for (name, number), shape in CONTRACTS.items():
-        result = result.when(
-            (kind == name) & (version == number),
-            F.transform(
-                violations(document, shape), lambda text: F.concat(label, F.lit(" at "), text)
-            ),
-        )
-    return result.otherwise(F.array(F.concat(F.lit("Unsupported event schema: "), label)))
+    root, payload = F.col("_parts.root"), F.col("_parts.payload")
+    rows = computed_once(rows, "_items", _list_entries(payload))
+    items = F.col("_items")
 
+    def rule(path: Column) -> Column:
+        return F.try_element_at(rules, F.concat(label, F.lit(" "), path))
 
-def with_violations(messages: DataFrame, shape: Shape | None = None) -> DataFrame:
-    """Messages (JSON text in ``value``) with their contract violations.
+    def names(place: Column) -> Column:
+        return F.try_element_at(required, F.concat(label, F.lit(" "), place))
 
-    With a shape, that contract is applied whatever type the event names.
-    """
-    document = F.try_parse_json(F.col("value").cast("string"))
-    parsed = messages.withColumn("_document", document)
-    found = (
-        event_violations(F.col("_document"))
-        if shape is None
-        else violations(F.col("_document"), shape)
+    values = F.concat(
+        _entries(F.lit(""), root),
+        _entries(F.lit("payload."), payload),
+        items,
+        F.flatten(
+            F.transform(
+                items,
+                lambda item: _entries(F.concat(item["path"], F.lit(".")), _fields(item["value"])),
+            )
+        ),
     )
-    return parsed.withColumn(VIOLATIONS, found).drop("_document")
+    found = F.concat(
+        _missing(F.lit(""), root, names(F.lit(""))),
+        _missing(F.lit("payload."), payload, names(F.lit("payload"))),
+        F.flatten(
+            F.transform(
+                items,
+                lambda item: _missing(
+                    F.concat(item["path"], F.lit(".")), _fields(item["value"]), names(item["path"])
+                ),
+            )
+        ),
+        F.array_compact(
+            F.transform(
+                values,
+                lambda entry: _problem(entry["path"], entry["value"], rule(entry["path"])),
+            )
+        ),
+    )
+    if contract is None:
+        found = (
+            F.when(F.col("_parts.unnamed"), F.array(F.lit("event_type must be a string")))
+            .when(label.isNull(), F.array(F.lit("schema_version must be an integer")))
+            .when(
+                ~label.isin(*known), F.array(F.concat(F.lit("Unsupported event schema: "), label))
+            )
+            .otherwise(F.transform(found, lambda text: F.concat(label, F.lit(" at "), text)))
+        )
+    else:
+        found = F.when(root.isNull(), F.array(F.lit("<root>: not a JSON object"))).otherwise(found)
+    return computed_once(rows, VIOLATIONS, found).select(*messages.columns, VIOLATIONS)

@@ -175,11 +175,15 @@ FEEDS = {
 }
 
 
+# Keep null fields and whole microseconds.
+_JSON = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def published_messages(events: DataFrame, topic: str, key: str) -> DataFrame:
     """Key, JSON text and topic of events; null fields are kept, as contracts ask."""
     return events.select(
         F.col(key).cast("string").alias("key"),
-        F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"),
+        F.to_json(F.struct("*"), _JSON).alias("value"),
         F.lit(topic).alias("topic"),
     )
 

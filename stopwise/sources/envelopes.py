@@ -51,3 +51,14 @@ def read_envelope_stream(
 def read_envelopes(spark: SparkSession, folder: str, file_format: str = "json") -> DataFrame:
     """The same files as a table, for back-fills."""
     return spark.read.format(file_format).schema(schemas.ENVELOPE_TEXT).load(folder)
+
+
+def write_envelopes(messages: DataFrame, folder: str) -> None:
+    """Write messages as envelope files, times to the microsecond."""
+    columns = "key value topic partition offset timestamp".split()
+    (
+        messages.select(*columns)
+        .write.mode("overwrite")
+        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+        .json(folder)
+    )

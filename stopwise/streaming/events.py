@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopwise import schemas
+from stopwise.functions.plan import computed_once
 from stopwise.operators.quality import CORRUPT
 
 WATERMARK = "2 minutes"
@@ -26,7 +27,8 @@ def envelope_columns(raw: DataFrame) -> DataFrame:
 
 def _parsed(raw: DataFrame, schema: str, options: dict[str, str] | None = None) -> DataFrame:
     event = F.from_json("raw_value", schema, options or {})
-    return envelope_columns(raw).withColumn("event", event).select("event.*", *_LINEAGE, "raw_value")
+    parsed = computed_once(envelope_columns(raw), "event", event)
+    return parsed.select("event.*", *_LINEAGE, "raw_value")
 
 
 def parse_vehicle_events(raw: DataFrame) -> DataFrame:
