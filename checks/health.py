@@ -119,12 +119,12 @@ input_rows_per_second, processed_rows_per_second, batch_duration_ms, late_rows,
 
 @check("progress_rows", "OPS1 STR10", f"SELECT {_REPORT} FROM reports")
 def _(t):
-    return reports(t).drop("source_offsets")
+    return reports(t).drop("progress", "source_offsets")
 
 
 @check("progress_offsets", "OPS2", "SELECT * FROM report_offsets")
 def _(t):
-    return progress.offsets(reports(t))
+    return progress.offsets(progress.with_source_offsets(reports(t)))
 
 
 @check("application_status", "OPS4", "SELECT * FROM app_status")
@@ -141,12 +141,12 @@ def _(t):
     """,
 )
 def _(t):
-    return progress.stored_progress(reports(t)).drop("source_offsets")
+    return progress.stored_progress(reports(t)).drop("progress", "source_offsets")
 
 
 @check("retained_progress", "WIN7", f"SELECT {_REPORT} FROM kept_reports")
 def _(t):
-    return stored(t).drop("source_offsets")
+    return stored(t).drop("progress", "source_offsets")
 
 
 @check(
@@ -161,7 +161,7 @@ def _(t):
     """,
 )
 def _(t):
-    return stream_health(t).drop("source_offsets")
+    return stream_health(t).drop("progress", "source_offsets")
 
 
 @check(

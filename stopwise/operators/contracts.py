@@ -356,7 +356,7 @@ def _form_ok(text: Column, form: Column) -> Column:
     matches = F.lit(None).cast("boolean")
     for name, pattern in _FORMATS.items():
         matches = F.when(form == name, text.rlike(pattern)).otherwise(matches)
-    day = F.try_to_timestamp(F.substring(text, 1, 10), F.lit("yyyy-MM-dd"))
+    day = F.substring(text, 1, 10).try_cast("date")
     return matches & ((form != "instant") | day.isNotNull())
 
 
@@ -367,39 +367,55 @@ def _problem(path: Column, value: Column, rule: Column) -> Column:
 
 
 def _judged(path: Column, value: Column, kind: Column, rule: Column) -> Column:
-    text = F.when(kind == "string", F.try_variant_get(value, "$", "string"))
-    number = F.when(kind.isin("integer", "number"), F.try_variant_get(value, "$", "double"))
     kinds = rule["kinds"]
+    is_number = kind.isin("integer", "number")
     allowed = F.array_contains(kinds, kind) | (
         (kind == "integer") & F.array_contains(kinds, F.lit("number"))
     )
-    none_given = F.forall(
-        rule["one_of"],
-        lambda name: F.schema_of_variant(F.element_at(_fields(value), name)) == "VOID",
-    )
+    # Only the conditions of its own JSON type are evaluated for a value.
     reason = (
         F.when(rule.isNull(), F.lit("unknown field"))
         .when(~allowed, F.lit("wrong type"))
-        .when((text != rule["text"]) | (number != rule["number"]), F.lit("unexpected value"))
+        .when(kind == "string", _text_reason(F.try_variant_get(value, "$", "string"), rule))
+        .when(is_number, _number_reason(F.try_variant_get(value, "$", "double"), rule))
         .when(
-            (F.size(rule["choices"]) > 0) & ~F.array_contains(rule["choices"], text),
-            F.lit("not an allowed value"),
-        )
-        .when(number < rule["minimum"], F.lit("below minimum"))
-        .when(number > rule["maximum"], F.lit("above maximum"))
-        .when(F.length(text) < rule["min_length"], F.lit("too short"))
-        .when(
-            rule["min_items"].isNotNull()
+            (kind == "array")
+            & rule["min_items"].isNotNull()
             & (F.size(F.try_variant_get(value, "$", _ITEMS)) < rule["min_items"]),
             F.lit("too few items"),
         )
+        .when((kind == "object") & _none_given(value, rule), F.lit("one of its fields is needed"))
+    )
+    return F.concat(path, F.lit(": "), reason)
+
+
+def _text_reason(text: Column, rule: Column) -> Column:
+    return (
+        F.when(text != rule["text"], F.lit("unexpected value"))
         .when(
-            rule["form"].isNotNull() & (kind == "string") & ~_form_ok(text, rule["form"]),
-            F.lit("malformed"),
+            (F.size(rule["choices"]) > 0) & ~F.array_contains(rule["choices"], text),
+            F.lit("not an allowed value"),
         )
-        .when((F.size(rule["one_of"]) > 0) & none_given, F.lit("one of its fields is needed"))
+        .when(F.length(text) < rule["min_length"], F.lit("too short"))
+        .when(rule["form"].isNotNull() & ~_form_ok(text, rule["form"]), F.lit("malformed"))
     )
-    return F.concat(path, F.lit(": "), reason)
+
+
+def _number_reason(number: Column, rule: Column) -> Column:
+    return (
+        F.when(number != rule["number"], F.lit("unexpected value"))
+        .when(number < rule["minimum"], F.lit("below minimum"))
+        .when(number > rule["maximum"], F.lit("above maximum"))
+    )
+
+
+def _none_given(value: Column, rule: Column) -> Column:
+    """None of the fields of which one is needed has a value."""
+    fields = _fields(value)
+    empty = F.forall(
+        rule["one_of"], lambda name: F.schema_of_variant(F.element_at(fields, name)) == "VOID"
+    )
+    return (F.size(rule["one_of"]) > 0) & empty
 
 
 def contract_of(document: Column) -> tuple[Column, Column]:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stopwise.functions.times import elapsed_seconds, moment, within_seconds
 from stopwise.streaming.jobs import JOBS
+from stopwise.streaming.progress import with_source_offsets
 
 STALE_RUN_SECONDS = 20 * 60
 STALE_PROGRESS_SECONDS = 120
@@ -20,9 +21,9 @@ def applications(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "application_name string, display_name string")
 
 
-def latest_progress(progress: DataFrame) -> DataFrame:
+def latest_progress(reports: DataFrame) -> DataFrame:
     """Newest report of each application, as an aggregate: no sort, no ranking."""
-    newest = progress.groupBy("application_name").agg(
+    newest = reports.groupBy("application_name").agg(
         F.max_by(
             F.struct(
                 "batch_id",
@@ -30,20 +31,20 @@ def latest_progress(progress: DataFrame) -> DataFrame:
                 "input_rows_per_second",
                 "processed_rows_per_second",
                 "batch_duration_ms",
-                "source_offsets",
+                "progress",
             ),
             F.struct("progress_timestamp", "recorded_at", "batch_id"),
         ).alias("newest")
     )
-    return newest.select("application_name", "newest.*")
+    return with_source_offsets(newest.select("application_name", "newest.*"))
 
 
-def stream_health(names: DataFrame, status: DataFrame, progress: DataFrame) -> DataFrame:
+def stream_health(names: DataFrame, status: DataFrame, reports: DataFrame) -> DataFrame:
     """Status and newest progress of each expected application, known or not."""
     state = status.select("application_name", "status", "last_progress_at")
     return (
         names.join(state, "application_name", "left")
-        .join(latest_progress(progress), "application_name", "left")
+        .join(latest_progress(reports), "application_name", "left")
         .orderBy("application_name")
     )
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from stopwise import schemas
+from stopwise.functions.plan import computed_once
 from stopwise.operators.latest import newest_per_key
 
 LOGGER = logging.getLogger(__name__)
@@ -65,52 +66,59 @@ _REPORT = (
 )
 
 
-def _end_offsets(report: Column) -> Column:
-    """Topic to partition to offset over all sources; a later source wins per topic.
+_PARTITIONS = "map<string,bigint>"
 
-    The end offset of a source is an object, or the text of one; anything else
-    (the offset of a file source, a malformed text) has no partitions.
+
+def _topic_entries(source: Column) -> Column:
+    """Topics of the end offset of a source, with their partitions.
+
+    The end offset is an object, or the text of one; anything else (the offset
+    of a file source, a malformed text) has no partitions.
+    """
+    end = F.try_variant_get(source, "$.endOffset", "variant")
+    text = F.when(F.schema_of_variant(end) == "STRING", F.try_variant_get(end, "$", "string"))
+    topics = F.try_variant_get(F.coalesce(F.try_parse_json(text), end), "$", "map<string,variant>")
+    return F.transform(
+        F.map_entries(topics),
+        lambda entry: F.struct(
+            entry["key"].alias("topic"),
+            F.try_variant_get(entry["value"], "$", _PARTITIONS).alias("partitions"),
+        ),
+    )
+
+
+def with_source_offsets(reports: DataFrame) -> DataFrame:
+    """Add topic to partition to offset over all sources; a later source wins per topic.
+
+    Reports are reduced to those of interest first: this is the costly part.
     """
-    sources = F.try_variant_get(report, "$.sources", "array<variant>")
-
-    def topics(source: Column) -> Column:
-        end = F.try_variant_get(source, "$.endOffset", "variant")
-        text = F.when(
-            F.schema_of_variant(end) == "STRING", F.try_variant_get(end, "$", "string")
-        )
-        parsed = F.coalesce(F.try_parse_json(text), end)
-        return F.transform(
-            F.map_entries(F.try_variant_get(parsed, "$", "map<string,variant>")),
-            lambda entry: F.struct(
-                entry["key"].alias("topic"),
-                F.try_variant_get(entry["value"], "$", "map<string,bigint>").alias("partitions"),
-            ),
-        )
-
-    listed = F.coalesce(F.flatten(F.array_compact(F.transform(sources, topics))), F.array())
-    found = F.filter(listed, lambda entry: entry["partitions"].isNotNull())
-    last = F.filter(
-        found,
-        lambda entry, place: ~F.exists(
-            F.slice(found, place + 2, F.size(found)), lambda later: later["topic"] == entry["topic"]
+    sources = F.try_variant_get(F.try_parse_json("progress"), "$.sources", "array<variant>")
+    listed = F.flatten(F.array_compact(F.transform(sources, _topic_entries)))
+    empty = F.create_map().cast(f"map<string,{_PARTITIONS}>")
+    merged = F.reduce(
+        F.filter(listed, lambda entry: entry["partitions"].isNotNull()),
+        empty,
+        lambda found, entry: F.map_concat(
+            F.map_filter(found, lambda topic, _: topic != entry["topic"]),
+            F.create_map(entry["topic"], entry["partitions"]),
         ),
     )
-    return F.map_from_entries(last)
+    return reports.withColumn("source_offsets", F.coalesce(merged, empty)).drop("progress")
 
 
 def progress_rows(log: DataFrame) -> DataFrame:
     """Progress reports as columns; absent figures are zero."""
-    report = F.from_json("progress", _REPORT)
-    rows = log.where(F.col("kind") == PROGRESS).select(
-        "application_name",
-        "recorded_at",
-        report.alias("report"),
-        _end_offsets(F.try_parse_json("progress")).alias("source_offsets"),
-    )
+    entries = log.where(F.col("kind") == PROGRESS)
+    rows = computed_once(entries, "report", F.from_json("progress", _REPORT))
 
     def figure(path: str, default: float) -> Column:
         return F.coalesce(f"report.{path}", F.lit(default))
 
+    late = F.reduce(
+        "report.stateOperators",
+        F.lit(0).cast("bigint"),
+        lambda total, item: total + F.coalesce(item["numRowsDroppedByWatermark"], F.lit(0)),
+    )
     return rows.select(
         "application_name",
         F.col("report.id").alias("query_id"),
@@ -121,17 +129,9 @@ def progress_rows(log: DataFrame) -> DataFrame:
         figure("inputRowsPerSecond", 0.0).alias("input_rows_per_second"),
         figure("processedRowsPerSecond", 0.0).alias("processed_rows_per_second"),
         figure("durationMs.triggerExecution", 0).alias("batch_duration_ms"),
-        "source_offsets",
-        F.coalesce(
-            F.aggregate(
-                "report.stateOperators",
-                F.lit(0).cast("bigint"),
-                lambda total, item: total
-                + F.coalesce(item["numRowsDroppedByWatermark"], F.lit(0)),
-            ),
-            F.lit(0),
-        ).alias("late_rows"),
+        F.coalesce(late, F.lit(0)).alias("late_rows"),
         "recorded_at",
+        "progress",
     )
 
 
@@ -182,7 +182,6 @@ def application_status(log: DataFrame) -> DataFrame:
         .when(F.col("error_message").isNotNull(), F.lit("failed"))
         .otherwise(F.lit("terminated"))
     )
-    report = F.from_json("progress", _REPORT)
     entry = F.struct(
         "query_id",
         "run_id",
@@ -191,21 +190,21 @@ def application_status(log: DataFrame) -> DataFrame:
         F.when(F.col("kind") == TERMINATED, F.col("recorded_at")).alias("terminated_at"),
         F.col("recorded_at").alias("updated_at"),
     )
-    point = F.struct(report["timestamp"].alias("at"), report["batchId"].alias("batch"))
     newest = log.groupBy("application_name").agg(
         F.max_by(entry, "recorded_at").alias("entry"),
         F.max_by(
-            F.when(is_progress, point), F.when(is_progress, F.col("recorded_at"))
+            F.when(is_progress, F.col("progress")), F.when(is_progress, F.col("recorded_at"))
         ).alias("progress"),
         F.min("recorded_at").alias("started_at"),
     )
+    newest = computed_once(newest, "report", F.from_json("progress", _REPORT))
     return newest.select(
         "application_name",
         "entry.query_id",
         "entry.run_id",
         "entry.status",
-        F.col("progress.at").alias("last_progress_at"),
-        F.col("progress.batch").alias("last_batch_id"),
+        F.col("report.timestamp").alias("last_progress_at"),
+        F.col("report.batchId").alias("last_batch_id"),
         "entry.error_message",
         "started_at",
         "entry.terminated_at",
