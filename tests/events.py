@@ -2,6 +2,7 @@
 
 import copy
 import json
+from datetime import datetime
 
 from stopwise import schemas
 
@@ -126,7 +127,7 @@ def envelope(spark, events, topic="topic"):
             topic,
             0,
             place,
-            None,
+            datetime(2026, 8, 14, 12, 0, 8),
         )
         for place, item in enumerate(events)
     ]
