@@ -7,6 +7,7 @@ Python runs per row.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -257,40 +258,45 @@ _FIELDS = "map<string,variant>"
 _ITEMS = "array<variant>"
 
 
-def _texts(values: tuple[str, ...]) -> Column:
-    return F.array(*[F.lit(value) for value in values]).cast("array<string>")
+_RULE = (
+    "struct<kinds: array<string>, text: string, number: double, choices: array<string>, "
+    "minimum: double, maximum: double, min_length: int, min_items: int, form: string, "
+    "one_of: array<string>>"
+)
 
 
-def _rule_row(rule: Rule) -> Column:
-    is_text = isinstance(rule.equals, str)
-    return F.struct(
-        _texts(rule.kinds).alias("kinds"),
-        F.lit(rule.equals if is_text else None).cast("string").alias("text"),
-        F.lit(None if is_text else rule.equals).cast("double").alias("number"),
-        _texts(rule.choices).alias("choices"),
-        F.lit(rule.minimum).cast("double").alias("minimum"),
-        F.lit(rule.maximum).cast("double").alias("maximum"),
-        F.lit(rule.min_length).cast("int").alias("min_length"),
-        F.lit(rule.min_items).cast("int").alias("min_items"),
-        F.lit(rule.form).cast("string").alias("form"),
-        _texts(rule.one_of).alias("one_of"),
-    )
+def _rule_entry(rule: Rule) -> dict:
+    entry = {
+        "kinds": rule.kinds,
+        "text" if isinstance(rule.equals, str) else "number": rule.equals,
+        "choices": rule.choices,
+        "minimum": rule.minimum,
+        "maximum": rule.maximum,
+        "min_length": rule.min_length,
+        "min_items": rule.min_items,
+        "form": rule.form,
+        "one_of": rule.one_of,
+    }
+    return {name: value for name, value in entry.items() if value is not None}
 
 
 def _tables(contracts: dict[str, Contract]) -> tuple[Column, Column]:
-    """Contracts as constants: rules by label and path, required names by label and place."""
-    rules, required = [], []
+    """Contracts as constants: rules by label and path, required names by label and place.
+
+    Parsing a constant text is done once, while the plan is optimised.
+    """
+    rules, required = {}, {}
     for label, contract in contracts.items():
-        names: dict[str, list[str]] = {}
         for path, rule in contract.items():
-            rules += [F.lit(f"{label} {path}"), _rule_row(rule)]
+            rules[f"{label} {path}"] = _rule_entry(rule)
             place, _, name = path.rpartition(".")
-            names.setdefault(place, [])
+            names = required.setdefault(f"{label} {place}", [])
             if rule.required:
-                names[place].append(name)
-        for place, group in names.items():
-            required += [F.lit(f"{label} {place}"), _texts(tuple(group))]
-    return F.create_map(*rules), F.create_map(*required)
+                names.append(name)
+    return (
+        F.from_json(F.lit(json.dumps(rules)), f"map<string,{_RULE}>"),
+        F.from_json(F.lit(json.dumps(required)), "map<string,array<string>>"),
+    )
 
 
 def _fields(value: Column) -> Column:
