@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stopwise.functions.numbers import minutes_of_decile, percentage
 from stopwise.functions.times import moment
-from stopwise.plans.marts import eligible, lateness_decile
+from stopwise.plans.marts import lateness
 from stopwise.settings import DEFAULTS
 
 MAX_LIVE_ROWS = 2000
@@ -135,13 +135,28 @@ def route_comparison(
     )
 
 
-def _sample_measures() -> list[Column]:
-    return [
-        F.count("*").alias("observed_trip_count"),
-        eligible().alias("eligible_trip_count"),
-        F.count_if("is_predicted_late").alias("late_trip_count"),
-        lateness_decile().alias("_decile"),
-    ]
+def _sample_measures(rows: DataFrame, *keys: str, names: tuple[str, ...] = ()) -> DataFrame:
+    """Counts and lateness decile per key (of all rows without one).
+
+    Samples are first counted per second of lateness. That spreads a key with
+    very many samples over all tasks, and leaves the percentile at most half a
+    day of seconds, each with its frequency. ``names`` are kept as maxima.
+    """
+    counted = rows.groupBy(*keys, lateness().alias("_seconds"), "is_predicted_late").agg(
+        F.count("*").alias("_n"), *[F.max(name).alias(name) for name in names]
+    )
+    seconds, n = F.col("_seconds"), F.col("_n")
+
+    def total(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
+
+    return counted.groupBy(*keys).agg(
+        *[F.max(name).alias(name) for name in names],
+        total(F.lit(True)).alias("observed_trip_count"),
+        total(seconds.isNotNull()).alias("eligible_trip_count"),
+        total(F.col("is_predicted_late")).alias("late_trip_count"),
+        F.percentile(seconds, F.lit(0.9), n).alias("_decile"),
+    )
 
 
 def _sample_rates() -> list[Column]:
@@ -162,12 +177,12 @@ def routes_needing_attention(
         raise ValueError("min_eligible must be positive")
     check_limit(limit, MAX_ATTENTION_ROWS)
     rows = matching(_of_type(samples), since=start, until=end, time_column="event_timestamp")
-    grouped = (
-        rows.where(F.col("route_id").isNotNull())
-        .groupBy("route_id", "direction_id")
-        .agg(F.max("route_short_name").alias("route_short_name"), *_sample_measures())
-        .where(F.col("eligible_trip_count") >= min_eligible)
-    )
+    grouped = _sample_measures(
+        rows.where(F.col("route_id").isNotNull()),
+        "route_id",
+        "direction_id",
+        names=("route_short_name",),
+    ).where(F.col("eligible_trip_count") >= min_eligible)
     return (
         grouped.select("*", *_sample_rates())
         .orderBy(
@@ -194,7 +209,7 @@ def period_summary(
         direction_id=direction_id,
         time_column="event_timestamp",
     )
-    return rows.agg(*_sample_measures()).select("*", *_sample_rates()).drop("_decile")
+    return _sample_measures(rows).select("*", *_sample_rates()).drop("_decile")
 
 
 def routes(dim_routes: DataFrame) -> DataFrame:

@@ -40,8 +40,14 @@ def read_query(
 
 
 def replace_table(rows: DataFrame, path: str, partition_by: Iterable[str] = ()) -> None:
-    """Write a table in place of the previous one."""
-    writer = rows.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    """Write a table in place of the previous one.
+
+    Rows are rebalanced by the partition columns, so a partition is written by
+    few tasks, and by several when it is large.
+    """
+    columns = tuple(partition_by)
+    if not columns:
+        rows.write.mode("overwrite").parquet(path)
+        return
+    balanced = rows.hint("rebalance", *columns)
+    balanced.write.mode("overwrite").partitionBy(*columns).parquet(path)

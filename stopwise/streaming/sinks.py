@@ -70,7 +70,9 @@ def append_keyed(
                 & ~((F.col("run") == run) & (F.col("batch_id") == batch_id))
             )
             rows = _without(rows, elsewhere.select(*keys), keys)
-        rows.write.mode("overwrite").partitionBy(DAY).parquet(
+        # Few files per day and batch, without one task for a large day.
+        balanced = rows.hint("rebalance", DAY)
+        balanced.write.mode("overwrite").partitionBy(DAY).parquet(
             f"{target}/run={run}/batch_id={batch_id}"
         )
     finally:
@@ -78,7 +80,14 @@ def append_keyed(
 
 
 def _without(rows: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.join(stored, keys, "left_anti")
+    """Rows whose key is not stored.
+
+    The stored keys the batch repeats are found first: there the batch is the
+    side that may be broadcast, so a day of stored keys is scanned but not
+    shuffled as long as the batch is measured as small.
+    """
+    repeated = stored.join(rows.select(*keys), keys, "left_semi")
+    return rows.join(repeated, keys, "left_anti")
 
 
 def append_jdbc(

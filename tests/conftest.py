@@ -12,7 +12,7 @@ from stopwise.session import build_session
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        master="local[4]",
+        master="local[8]",
         extra={
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
