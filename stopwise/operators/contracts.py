@@ -261,7 +261,7 @@ _ITEMS = "array<variant>"
 _RULE = (
     "struct<kinds: array<string>, text: string, number: double, choices: array<string>, "
     "minimum: double, maximum: double, min_length: int, min_items: int, form: string, "
-    "one_of: array<string>>"
+    "one_of: array<string>, limited: boolean>"
 )
 
 
@@ -276,6 +276,8 @@ def _rule_entry(rule: Rule) -> dict:
         "min_items": rule.min_items,
         "form": rule.form,
         "one_of": rule.one_of,
+        # Whether anything but the type is restricted.
+        "limited": rule != Rule(rule.kinds, rule.required),
     }
     return {name: value for name, value in entry.items() if value is not None}
 
@@ -382,6 +384,7 @@ def _judged(path: Column, value: Column, kind: Column, rule: Column) -> Column:
     reason = (
         F.when(rule.isNull(), F.lit("unknown field"))
         .when(~allowed, F.lit("wrong type"))
+        .when(~rule["limited"], F.lit(None).cast("string"))
         .when(kind == "string", _text_reason(F.try_variant_get(value, "$", "string"), rule))
         .when(is_number, _number_reason(F.try_variant_get(value, "$", "double"), rule))
         .when(
