@@ -20,3 +20,38 @@ SELECT conv_id, count(*) AS n_turns,
          AS formatted_chars
 FROM turns GROUP BY conv_id
 """
+
+DECONTAMINATE = r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), item_words AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS size,
+         array_to_string(w[s : s + least(10, len(w)) - 1], ' ') AS words
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s
+        FROM item_words WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+  SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS s, w
+  FROM doc_words, sizes WHERE len(w) >= size
+), hits AS (
+  SELECT p.doc_id, p.s, p.size, v.item_id
+  FROM (SELECT doc_id, s, size, array_to_string(w[s : s + size - 1], ' ') AS words FROM places) p
+  JOIN windows v ON v.size = p.size AND v.words = p.words
+), covered AS (
+  SELECT doc_id, count(DISTINCT k) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + size)) AS k FROM hits) GROUP BY doc_id
+), item_lists AS (
+  SELECT doc_id, count(*) AS n, sha256(string_agg(i, ',' ORDER BY i)) AS sha
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(l.n, 0) AS n_items, coalesce(l.sha, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN covered c USING (doc_id) LEFT JOIN item_lists l USING (doc_id)
+"""
