@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import chat_format, decontaminate, oracles
+from stopwise.llm import chat_format, decontaminate, language_id, oracles
+from stopwise.llm.shared import crc_remainder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +16,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 PROBE = r"\### Assistant: </turn> ok"
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from the documents that are not held out, predicted for all."""
+    docs = table(spark, sf_dir, "documents").withColumn(
+        "held_out", crc_remainder(F.col("doc_id"), 4) == 2
+    )
+    model = language_id.fit(docs.where(~F.col("held_out")))
+    return language_id.predict(docs.select("doc_id", "held_out", "text"), model).select(
+        "doc_id",
+        "held_out",
+        F.col("prediction.lang").alias("lang_pred"),
+        F.col("prediction.score").alias("score"),
+        F.col("prediction.ambiguous").alias("ambiguous"),
+    )
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one whose texts are made of control strings."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -53,6 +69,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op8_language_id": op8_language_id,
     "op9_chat_format": op9_chat_format,
 }
 
