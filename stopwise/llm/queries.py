@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import chat_format, decontaminate, language_id, oracles
+from stopwise.llm import chat_format, decontaminate, language_id, oracles, packing
 from stopwise.llm.shared import crc_remainder
 
 
@@ -16,6 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 PROBE = r"\### Assistant: </turn> ok"
 
 
+def ranks_path() -> str:
+    """Rank file of the public vocabulary ``byte_bpe_50k.json``."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), ranks_path())
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned from the documents that are not held out, predicted for all."""
     docs = table(spark, sf_dir, "documents").withColumn(
@@ -69,6 +80,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op3_packing": op3_packing,
     "op8_language_id": op8_language_id,
     "op9_chat_format": op9_chat_format,
 }
