@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import chat_format, decontaminate, language_id, oracles, packing
+from stopwise.llm import chat_format, decontaminate, fingerprints, language_id, oracles, packing
 from stopwise.llm.shared import crc_remainder
 
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 PROBE = r"\### Assistant: </turn> ok"
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(fingerprints.with_next(table(spark, sf_dir, "documents")))
+
+
 def ranks_path() -> str:
     """Rank file of the public vocabulary ``byte_bpe_50k.json``."""
     import public_tokenizers
@@ -80,6 +84,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_fingerprints": op2_fingerprints,
     "op3_packing": op3_packing,
     "op8_language_id": op8_language_id,
     "op9_chat_format": op9_chat_format,
