@@ -55,3 +55,24 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words d LEFT JOIN covered c USING (doc_id) LEFT JOIN item_lists l USING (doc_id)
 """
+
+SUBSTRING_DEDUP = r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, s, row_number() OVER (PARTITION BY words ORDER BY doc_id, s) > 1 AS repeated
+  FROM (SELECT doc_id, s, md5(array_to_string(w[s : s + 19], ' ')) AS words
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM doc_words))
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS k FROM windows WHERE repeated
+), places AS (
+  SELECT doc_id, unnest(range(1, len(w) + 1)) AS k, unnest(w) AS word FROM doc_words
+), kept AS (
+  SELECT p.doc_id, count(*) FILTER (g.k IS NOT NULL) AS n_removed,
+         string_agg(word, ' ' ORDER BY p.k) FILTER (g.k IS NULL) AS text
+  FROM places p LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.k = p.k GROUP BY p.doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM doc_words d LEFT JOIN kept k USING (doc_id)
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import chat_format, decontaminate, fingerprints, language_id, oracles, packing
+from stopwise.llm import chat_format, decontaminate, fingerprints, language_id, oracles, packing, substring_dedup
 from stopwise.llm.shared import crc_remainder
 
 
@@ -82,15 +82,27 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.repeated_passages(docs).select(
+        "doc_id",
+        F.col("_words").alias("n_words"),
+        F.col("_removed").alias("n_removed"),
+        F.sha2("_kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_fingerprints": op2_fingerprints,
     "op3_packing": op3_packing,
     "op8_language_id": op8_language_id,
     "op9_chat_format": op9_chat_format,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op1_decontaminate": oracles.DECONTAMINATE,
     "op9_chat_format": oracles.CHAT_FORMAT,
+    "op10_substring_dedup": oracles.SUBSTRING_DEDUP,
 }
