@@ -152,3 +152,63 @@ def answer_blocks(
 
     met = blocks.select("block_id", "block").join(got, "block_id", "left")
     return met.select("block", "answers").mapInArrow(run, schema)
+
+
+def distinct_keys(
+    keys: np.ndarray, count: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct 64-bit keys, each key's number among them, how often each occurs, and
+    where each of ``count`` buckets, ranges of keys, begins."""
+    some, number, often = np.unique(keys, return_inverse=True, return_counts=True)
+    bucket = ((some >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
+    return some, number, often, np.searchsorted(bucket, np.arange(count + 1))
+
+
+def send_keys(block_id: int, keys: np.ndarray, count: int) -> pa.RecordBatch:
+    """A block's distinct keys, a row per bucket."""
+    some, _, _, bounds = distinct_keys(keys, count)
+    used = np.flatnonzero(np.diff(bounds))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(used, pa.int64()),
+            pa.array([block_id] * len(used), pa.int64()),
+            binary_array([some[bounds[b] : bounds[b + 1]].tobytes() for b in used]),
+        ],
+        names=["bucket", "block_id", "keys"],
+    )
+
+
+SENT_KEYS = "bucket long, block_id long, keys binary"
+
+
+def _shared(table: pa.Table) -> pa.Table:
+    each = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
+    _, number, often = np.unique(np.concatenate(each), return_inverse=True, return_counts=True)
+    shared = often[number] > 1
+    ends = np.cumsum([len(x) for x in each])
+    bits = [np.packbits(shared[e - len(x) : e]).tobytes() for x, e in zip(each, ends, strict=True)]
+    return pa.table(
+        {
+            "block_id": table.column("block_id"),
+            "bucket": table.column("bucket"),
+            "bits": binary_array(bits),
+        }
+    )
+
+
+def shared_keys(sent: DataFrame) -> DataFrame:
+    """Answers to ``send_keys``: a bit per key, whether another block has it too."""
+    return sent.groupBy("bucket").applyInArrow(
+        lambda table: _shared(table), "block_id long, bucket long, bits binary"
+    )
+
+
+def occurs_again(keys: np.ndarray, count: int, answers: dict[int, bytes]) -> np.ndarray:
+    """For each key of a block, whether it occurs twice, here or elsewhere."""
+    some, number, often, bounds = distinct_keys(keys, count)
+    again = often > 1
+    for bucket, bits in answers.items():
+        low, high = bounds[bucket], bounds[bucket + 1]
+        elsewhere = np.unpackbits(np.frombuffer(bits, np.uint8), count=int(high - low))
+        again[low:high] |= elsewhere.astype(bool)
+    return again[number]
