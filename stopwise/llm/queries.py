@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import chat_format, decontaminate, fingerprints, language_id, oracles, packing, substring_dedup
+from stopwise.llm import chat_format, decontaminate, fingerprints, jaccard_join, language_id, language_model, oracles, packing, substring_dedup
 from stopwise.llm.shared import crc_remainder
 
 
@@ -31,6 +31,17 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), ranks_path())
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_model.scores(
+        docs.withColumn("held_out", crc_remainder(F.col("doc_id"), 7) == 2)
+    )
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned from the documents that are not held out, predicted for all."""
     docs = table(spark, sf_dir, "documents").withColumn(
@@ -96,6 +107,8 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_fingerprints": op2_fingerprints,
     "op3_packing": op3_packing,
+    "op4_jaccard_join": op4_jaccard_join,
+    "op6_language_model": op6_language_model,
     "op8_language_id": op8_language_id,
     "op9_chat_format": op9_chat_format,
     "op10_substring_dedup": op10_substring_dedup,
