@@ -135,10 +135,11 @@ def map_blocks(
 def answer_blocks(
     blocks: DataFrame,
     answers: DataFrame,
-    work: Callable[[pa.RecordBatch, dict[int, bytes]], Iterator[pa.RecordBatch]],
+    work: Callable[[int, pa.RecordBatch, dict[int, bytes]], Iterator[pa.RecordBatch]],
     schema: str,
 ) -> DataFrame:
-    """Apply a function to each block and the answers (block_id, bucket, bits) it got."""
+    """Apply a function to each block's number, rows, and the answers (block_id, bucket, bits)
+    it got, as bits by bucket."""
     got = answers.groupBy("block_id").agg(
         F.collect_list(F.struct("bucket", "bits")).alias("answers")
     )
@@ -148,10 +149,11 @@ def answer_blocks(
             for i in range(batch.num_rows):
                 found = read_block(batch.column("block")[i].as_buffer().to_pybytes())
                 pairs = batch.column("answers")[i].as_py() or []
-                yield from work(found, {x["bucket"]: x["bits"] for x in pairs})
+                bits = {x["bucket"]: x["bits"] for x in pairs}
+                yield from work(batch.column("block_id")[i].as_py(), found, bits)
 
     met = blocks.select("block_id", "block").join(got, "block_id", "left")
-    return met.select("block", "answers").mapInArrow(run, schema)
+    return met.select("block_id", "block", "answers").mapInArrow(run, schema)
 
 
 def distinct_keys(

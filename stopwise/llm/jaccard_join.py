@@ -155,7 +155,7 @@ def _send(ngram: int, num: int, den: int, count: int, block_id: int, batch: pa.R
     yield B.send_keys(block_id, _all_keys(batch, ngram, num, den)[0], count)
 
 
-def _rows(ngram: int, num: int, den: int, count: int, batch: pa.RecordBatch, answers: dict):
+def _rows(ngram: int, num: int, den: int, count: int, block_id: int, batch: pa.RecordBatch, answers: dict):
     """Per document: size, set fingerprint, and where a key occurs again, keys and set."""
     keys, owners = _all_keys(batch, ngram, num, den)
     again = B.occurs_again(keys, count, answers) if len(keys) else np.zeros(0, bool)

@@ -305,7 +305,7 @@ SCORES = (
 )
 
 
-def _score(count: int, shared, batch: pa.RecordBatch, answers: dict[int, bytes]):
+def _score(count: int, shared, block_id: int, batch: pa.RecordBatch, answers: dict[int, bytes]):
     vocabulary, model = shared.value
     found = _tokens(batch)
     some, number, _, bounds = B.distinct_keys(found.hashes, count)

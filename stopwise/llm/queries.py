@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import chat_format, decontaminate, fingerprints, jaccard_join, language_id, language_model, oracles, packing, substring_dedup
+from stopwise.llm import byte_dedup, chat_format, decontaminate, fingerprints, jaccard_join, language_id, language_model, oracles, packing, substring_dedup
 from stopwise.llm.shared import crc_remainder
 
 
@@ -42,6 +42,17 @@ def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return byte_dedup.repeated_bytes(docs).select(
+        "doc_id",
+        F.col("_bytes").alias("n_bytes"),
+        F.col("_removed").alias("n_removed"),
+        F.col("_spans").alias("n_spans"),
+        F.sha2("_kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned from the documents that are not held out, predicted for all."""
     docs = table(spark, sf_dir, "documents").withColumn(
@@ -109,6 +120,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_jaccard_join": op4_jaccard_join,
     "op6_language_model": op6_language_model,
+    "op7_byte_dedup": op7_byte_dedup,
     "op8_language_id": op8_language_id,
     "op9_chat_format": op9_chat_format,
     "op10_substring_dedup": op10_substring_dedup,

@@ -119,7 +119,7 @@ def _decide(table: pa.Table) -> pa.Table:
     )
 
 
-def _remove(window: int, count: int, batch: pa.RecordBatch, answers: dict[int, bytes]):
+def _remove(window: int, count: int, block_id: int, batch: pa.RecordBatch, answers: dict[int, bytes]):
     _, _, kept, bounds, early, leader = _sent(batch, window, count)
     later = np.zeros(len(early), bool)
     for bucket, bits in answers.items():
