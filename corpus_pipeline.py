@@ -3,19 +3,56 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stopwise.llm.shared import stored
+from stopwise.llm import decontaminate, jaccard_join, language_id, packing, substring_dedup
+from stopwise.llm.queries import ranks_path, table
+from stopwise.llm.shared import crc_remainder, stored
 
-STAGES: list = []
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told: not those without a letter, nor ambiguous ones."""
+    learned = docs.where(crc_remainder(F.col("doc_id"), 4) != 2)
+    found = language_id.predict(docs, language_id.fit(learned))
+    told = (F.col("prediction.lang") != language_id.UNKNOWN) & ~F.col("prediction.ambiguous")
+    return found.where(told).select(*docs.columns)
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id."""
+    return jaccard_join.first_of_each(docs)
+
+
+def distinct_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that occur earlier."""
+    return substring_dedup.without_repeats(docs)
+
+
+def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no window of a benchmark item."""
+    return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of a controlled mixture."""
+    return packing.pack(docs, ranks_path())
+
+
+STAGES = [
+    ("language ID", known_language),
+    ("n-gram Jaccard join", distinct_documents),
+    ("substring dedup", distinct_passages),
+    ("benchmark decontamination", clean_of_benchmark),
+    ("packing", packed),
+]
+
+# Language identification has no SQL form; the tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))
-    for _, stage in STAGES[-1:]:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import byte_dedup, chat_format, decontaminate, fingerprints, jaccard_join, language_id, language_model, oracles, packing, substring_dedup
+from stopwise.llm import byte_dedup, chat_format, decontaminate, fingerprints, jaccard_join, language_id, language_model, oracles, packing, substring_dedup, url_filter
 from stopwise.llm.shared import crc_remainder
 
 
@@ -35,6 +35,19 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked_documents(table(spark, sf_dir, "documents"))
 
 
+# Fixed value: the rules of the query.
+RULES = (
+    url_filter.Rule("net/", "block"),
+    url_filter.Rule("example.net/en/", "allow"),
+    url_filter.Rule("example.com/de/", "block"),
+    url_filter.Rule("org/fr/", "allow"),
+)
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES)
+
+
 def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_model.scores(
@@ -119,6 +132,7 @@ QUERIES = {
     "op2_fingerprints": op2_fingerprints,
     "op3_packing": op3_packing,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_url_filter": op5_url_filter,
     "op6_language_model": op6_language_model,
     "op7_byte_dedup": op7_byte_dedup,
     "op8_language_id": op8_language_id,
