@@ -24,6 +24,8 @@ from stopwise.llm.shared import partitions, stored
 from stopwise.llm.textkit import binary_array
 
 BLOCK_BYTES = 8 << 20
+# Columns of a block besides those of the documents; no table has such names.
+ORDER, HASH = "\u00b7order", "\u00b7hash"
 BUCKET_KEYS = 1 << 21
 
 
@@ -51,8 +53,8 @@ def _pack(block_bytes: int):
             # Earlier documents first, so a block's first occurrence is its earliest.
             table = table.take(
                 pa.compute.sort_indices(
-                    table.select(["_order", "_hash"]),
-                    sort_keys=[("_order", "ascending"), ("_hash", "ascending")],
+                    table.select([ORDER, HASH]),
+                    sort_keys=[(ORDER, "ascending"), (HASH, "ascending")],
                     null_placement="at_start",
                 )
             )
@@ -89,7 +91,7 @@ def store_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(block_id, bytes, block): all documents, in blocks sorted by id and text hash."""
     rows = docs.withColumn("text", F.col("text").cast("string"))
     rows = rows.withColumns(
-        {"_order": F.col("doc_id").cast("long"), "_hash": F.xxhash64("text")}
+        {ORDER: F.col("doc_id").cast("long"), HASH: F.xxhash64("text")}
     )
     packed = rows.mapInArrow(_pack(block_bytes), "bytes long, block binary")
     # Stored without another codec: the blocks are compressed.

@@ -195,7 +195,7 @@ def _send_text(window: int, gram: int, first_count: int, count: int, block_id, b
     """Stretches by bucket: their bytes one after the other, windows, ids, places."""
     data, bounds, found = named_grams(batch, window, gram)
     trip = _travel(data, found, answers, window, first_count, count)
-    ids = batch.column("_order").fill_null(-(1 << 63)).to_numpy()
+    ids = batch.column(B.ORDER).fill_null(-(1 << 63)).to_numpy()
     row = np.searchsorted(bounds, trip.begin, "right") - 1
     squeeze = zstandard.ZstdCompressor(level=3)
     out: list[list] = [[] for _ in range(6)]
@@ -313,7 +313,7 @@ def _remove(window: int, gram: int, first_count: int, count: int, block_id, batc
     begin[edges] = gone[edges]
     upto = [np.concatenate([[0], np.cumsum(x)])[bounds] for x in (gone, begin)]
     kept = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-    plain = batch.drop_columns(["_order", "_hash"])
+    plain = batch.drop_columns([B.ORDER, B.HASH])
     yield pa.RecordBatch.from_arrays(
         [
             *plain.columns,
@@ -329,7 +329,7 @@ def repeated_bytes(
     docs: DataFrame, window: int = WINDOW, gram: int = GRAM, heavy: int = HEAVY
 ) -> DataFrame:
     """The rows with _bytes, _removed, _spans (counts) and _kept (bytes that stay)."""
-    docs = docs.drop(*_RESULTS, "_order", "_hash")
+    docs = docs.drop(*_RESULTS)
     held = B.store_blocks(docs)
     size = held.agg(F.sum("bytes")).first()[0] or 0
     first_count = B.bucket_count(size // 40, held)

@@ -175,7 +175,7 @@ def _rows(ngram: int, num: int, den: int, count: int, block_id: int, batch: pa.R
     listed = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(keys.view(np.int64)))
     yield pa.RecordBatch.from_arrays(
         [
-            batch.column("_order"),
+            batch.column(B.ORDER),
             pa.array(size.astype(np.int64)),
             pa.array(one.view(np.int64)),
             pa.array(two.view(np.int64)),

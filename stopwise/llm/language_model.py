@@ -329,7 +329,7 @@ def _score(count: int, shared, block_id: int, batch: pa.RecordBatch, answers: di
     likely = log10_likelihood(model, _with_ends(classes, found.counts), tokens)
     yield pa.RecordBatch.from_arrays(
         [
-            batch.column("_order"),
+            batch.column(B.ORDER),
             batch.column("held_out").fill_null(False),
             pa.array(tokens.astype(np.int64)),
             pa.array((per_row(c > 0) + (vocabulary.texts > 0)).astype(np.int64)),

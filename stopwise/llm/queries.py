@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopwise.llm import byte_dedup, chat_format, decontaminate, fingerprints, jaccard_join, language_id, language_model, oracles, packing, substring_dedup, url_filter
-from stopwise.llm.shared import crc_remainder
+from stopwise.llm.shared import crc_remainder, reachable
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +32,15 @@ def stored(rows: DataFrame, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers find this package where it is not installed."""
+    root = str(Path(__file__).resolve().parents[2])
+    settings = spark.sparkContext.environment
+    known = [x for x in settings.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in known:
+        settings["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

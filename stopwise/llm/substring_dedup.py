@@ -80,7 +80,7 @@ def _sent(batch: pa.RecordBatch, window: int, count: int):
 
 
 def _ids(batch: pa.RecordBatch) -> np.ndarray:
-    return batch.column("_order").fill_null(-(1 << 63)).to_numpy()
+    return batch.column(B.ORDER).fill_null(-(1 << 63)).to_numpy()
 
 
 def _send(window: int, count: int, block_id: int, batch: pa.RecordBatch):
@@ -119,7 +119,7 @@ def _decide(table: pa.Table) -> pa.Table:
     )
 
 
-def _remove(window: int, count: int, block_id: int, batch: pa.RecordBatch, answers: dict[int, bytes]):
+def _remove(window: int, count: int, names, block_id: int, batch: pa.RecordBatch, answers: dict[int, bytes]):
     _, _, kept, bounds, early, leader = _sent(batch, window, count)
     later = np.zeros(len(early), bool)
     for bucket, bits in answers.items():
@@ -150,17 +150,22 @@ def _remove(window: int, count: int, block_id: int, batch: pa.RecordBatch, answe
                 )
             )
     counts = [np.concatenate(x).astype(np.int64) if x else np.empty(0, np.int64) for x in (total, removed, spans)]
-    plain = batch.drop_columns(["_order", "_hash"])
+    plain = batch.drop_columns([B.ORDER, B.HASH])
     kept_texts = pa.array(texts, pa.binary()).cast(pa.string())
     yield pa.RecordBatch.from_arrays(
         [*plain.columns, *(pa.array(x) for x in counts), kept_texts],
-        names=[*plain.schema.names, *_RESULTS],
+        names=[*plain.schema.names, *names],
     )
 
 
-def repeated_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows with _words, _removed, _spans (counts) and _kept (kept words, one space apart)."""
-    docs = docs.drop(*_RESULTS, "_order", "_hash")
+def repeated_passages(
+    docs: DataFrame, window: int = WINDOW, names: tuple[str, ...] = _RESULTS
+) -> DataFrame:
+    """The rows with _words, _removed, _spans (counts) and _kept (kept words, one space apart).
+
+    ``names`` are other names for these; columns that have them are replaced.
+    """
+    docs = docs.drop(*names)
     stored = B.store_blocks(docs)
     size = stored.agg(F.sum("bytes")).first()[0] or 0
     count = B.bucket_count(size // 6, stored)
@@ -176,17 +181,18 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         T.StructField(f.name, T.StringType() if f.name == "text" else f.dataType)
         for f in docs.schema
     ]
-    results = [T.StructField(name, T.LongType()) for name in _RESULTS[:3]]
-    schema = T.StructType([*fields, *results, T.StructField("_kept", T.StringType())])
-    return B.answer_blocks(stored, answers, partial(_remove, window, count), schema)
+    results = [T.StructField(name, T.LongType()) for name in names[:3]]
+    schema = T.StructType([*fields, *results, T.StructField(names[3], T.StringType())])
+    return B.answer_blocks(stored, answers, partial(_remove, window, count, names), schema)
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents with repeated passages cut out; those left without a word go."""
-    found = repeated_passages(docs, window)
-    text = F.when(F.col("_removed") > 0, F.col("_kept")).otherwise(F.col("text"))
-    kept = found.where((F.col("_removed") < F.col("_words")) | (F.col("_words") == 0))
-    changed = kept.withColumn("text", text)
+    names = tuple(f"\u00b7{name}" for name in _RESULTS)
+    found = repeated_passages(docs, window, names)
+    total, removed, _, kept = (F.col(name) for name in names)
+    stays = found.where((removed < total) | (total == 0))
+    changed = stays.withColumn("text", F.when(removed > 0, kept).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         changed = changed.withColumn("n_chars", F.coalesce(length, F.col("n_chars")))
