@@ -76,3 +76,63 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_
        sha256(coalesce(k.text, '')) AS kept_sha256
 FROM doc_words d LEFT JOIN kept k USING (doc_id)
 """
+
+JACCARD_JOIN = r"""
+WITH RECURSIVE doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(w[s : s + least(3, len(w)) - 1], ' ')) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(3, len(w)) + 2)) AS s
+        FROM doc_words WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * i >= 90 * (a.n + b.n - i)
+), both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION SELECT r.x, b.y FROM reach r JOIN both_ways b ON b.x = r.y
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id)
+JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) r USING (doc_id)
+"""
+
+BYTE_DEDUP = r"""
+WITH bytes AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), windows AS (
+  SELECT doc_id, s, row_number() OVER (PARTITION BY m ORDER BY doc_id, s) > 1 AS repeated
+  FROM (SELECT doc_id, s, md5(substr(h, 2 * s + 1, 200)) AS m
+        FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS s FROM bytes))
+), edges AS (
+  SELECT doc_id, k, sum(d) AS d
+  FROM (SELECT doc_id, s AS k, 1 AS d FROM windows WHERE repeated
+        UNION ALL SELECT doc_id, s + 100, -1 FROM windows WHERE repeated) GROUP BY 1, 2
+), depth AS (
+  SELECT doc_id, k, sum(d) OVER (PARTITION BY doc_id ORDER BY k) AS now,
+         sum(d) OVER (PARTITION BY doc_id ORDER BY k) - d AS was FROM edges
+), spans AS (
+  SELECT doc_id, k AS low,
+         lead(k) OVER (PARTITION BY doc_id ORDER BY k) AS high, now > 0 AS opens
+  FROM depth WHERE (now > 0) <> (was > 0)
+), gone AS (
+  SELECT doc_id, count(*) AS n_spans, sum(high - low) AS n_removed,
+         list(low ORDER BY low) AS lows, list(high ORDER BY low) AS highs
+  FROM spans WHERE opens GROUP BY doc_id
+)
+SELECT b.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes,
+       CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       CASE WHEN g.doc_id IS NULL THEN sha256(unhex(h)) ELSE
+         sha256(unhex(array_to_string(list_transform(range(0, len(lows) + 1), lambda k:
+           substr(h, 2 * (CASE WHEN k = 0 THEN 0 ELSE highs[k] END) + 1,
+                  2 * ((CASE WHEN k = len(lows) THEN length(h) // 2 ELSE lows[k + 1] END)
+                       - (CASE WHEN k = 0 THEN 0 ELSE highs[k] END)))), ''))) END
+         AS kept_sha256
+FROM bytes b LEFT JOIN gone g USING (doc_id)
+"""

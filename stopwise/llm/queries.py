@@ -143,6 +143,8 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op1_decontaminate": oracles.DECONTAMINATE,
+    "op4_jaccard_join": oracles.JACCARD_JOIN,
+    "op7_byte_dedup": oracles.BYTE_DEDUP,
     "op9_chat_format": oracles.CHAT_FORMAT,
     "op10_substring_dedup": oracles.SUBSTRING_DEDUP,
 }
