@@ -81,7 +81,29 @@ def _(t):
     spark = t.spark
     path = f"{shared_folder(spark)}/replaced/{t.run_name}/route_health_5m"
     tables.replace_table(health(t), path, ["observation_local_date"])
-    return spark.read.parquet(path)
+    return tables.read_table(spark, path)
+
+
+@check(
+    "replaced_by_less",
+    "SNK6",
+    "SELECT * FROM health WHERE direction_id = 0",
+    dates=["observation_local_date"],
+)
+def _(t):
+    """A smaller table in place of a larger one, under dynamic overwrite."""
+    spark = t.spark
+    path = f"{shared_folder(spark)}/replaced/{t.run_name}/smaller"
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        rows = health(t)
+        tables.replace_table(rows, path, ["observation_local_date"])
+        tables.replace_table(rows.where("direction_id = 0"), path, ["observation_local_date"])
+    finally:
+        spark.conf.set(setting, before)
+    return tables.read_table(spark, path)
 
 
 # Joins -------------------------------------------------------------------
@@ -195,8 +217,8 @@ def _(t):
     "upcoming_stop_predictions",
     "WIN3",
     """
-    SELECT event_id, stop_update_index, observation_bucket, next_prediction_timestamp
-    FROM upcoming
+    SELECT u.event_id AS event_id, u.stop_update_index AS stop_update_index,
+        slot AS observation_bucket, due AS next_prediction_timestamp FROM ahead
     """,
 )
 def _(t):
@@ -208,7 +230,13 @@ def _(t):
 @check(
     "newest_event_stops",
     "WIN4",
-    "SELECT event_id, stop_update_index, observation_bucket, trip_instance_key FROM newest_stops",
+    """
+    SELECT a.u.event_id AS event_id, a.u.stop_update_index AS stop_update_index,
+        a.slot AS observation_bucket, a.trip AS trip_instance_key
+    FROM ahead a JOIN newest_events n
+        ON n.slot = a.slot AND n.trip = a.trip
+        AND n.newest.seen = a.seen AND n.newest.event = a.event
+    """,
 )
 def _(t):
     upcoming = sampling.upcoming_stops(t["trip_stop_updates"], SETTINGS)
@@ -221,9 +249,10 @@ def _(t):
     "next_stops",
     "WIN5",
     """
-    SELECT event_id, stop_update_index, observation_bucket, trip_instance_key, stop_sequence,
-        next_prediction_timestamp
-    FROM sampled
+    SELECT first_stop.u.event_id AS event_id, first_stop.u.stop_update_index AS stop_update_index,
+        slot AS observation_bucket, trip AS trip_instance_key,
+        first_stop.u.stop_sequence AS stop_sequence, first_stop.due AS next_prediction_timestamp
+    FROM picked
     """,
 )
 def _(t):
@@ -273,9 +302,10 @@ def _sampled(t: Staged) -> DataFrame:
     "delay_basis",
     "AGG1",
     """
-    SELECT event_id, stop_update_index, delay_basis, delay_prediction_timestamp,
-        scheduled_time_text
-    FROM based
+    SELECT u.event_id AS event_id, u.stop_update_index AS stop_update_index,
+        way.basis AS delay_basis, way.said AS delay_prediction_timestamp,
+        way.clock AS scheduled_time_text
+    FROM compared
     """,
 )
 def _(t):
@@ -304,7 +334,7 @@ def _(t):
     "scheduled_instants",
     "AGG3",
     """
-    SELECT event_id, stop_update_index, scheduled_prediction_timestamp FROM placed
+    SELECT event_id, stop_update_index, scheduled_prediction_timestamp FROM delayed
     """,
 )
 def _(t):

@@ -454,10 +454,15 @@ def _(t):
 @check(
     "map_centre",
     "PST8",
-    "SELECT median(latitude) AS latitude, median(longitude) AS longitude FROM live_vehicles",
+    """
+    SELECT median(latitude) AS latitude, median(longitude) AS longitude
+    FROM (SELECT * FROM live_vehicles
+          ORDER BY event_timestamp DESC NULLS FIRST, vehicle_id LIMIT 2000)
+    """,
 )
 def _(t):
-    return shaping.map_centre(serving.live_vehicles(vehicles(t)))
+    newest = [F.col("event_timestamp").desc_nulls_first(), F.col("vehicle_id").asc()]
+    return shaping.map_centre(shaping.page(serving.live_vehicles(vehicles(t)), 2000, *newest))
 
 
 _MINUTE = "strftime({value}, '%Y-%m-%d %H:%M')"

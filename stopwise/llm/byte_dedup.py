@@ -245,37 +245,59 @@ def refine(text: np.ndarray, window: int) -> np.ndarray:
 
 
 def _judge_text(window: int, table: pa.Table) -> pa.Table:
-    """Of one bucket: a bit per window a block sent, whether it begins earlier elsewhere."""
+    """Of one bucket: a bit per window a block sent, whether it begins earlier elsewhere.
+
+    Of stretches with the same bytes only the earliest is refined; the windows of
+    the others repeat as they are.
+    """
     expand = zstandard.ZstdDecompressor()
-    texts, counts, digests, ids, places, blocks, kinds, own = [], [], [], [], [], [], [], []
+    stretches: list[bytes] = []
+    parts: list[list[np.ndarray]] = [[] for _ in range(5)]
     for i, row in enumerate(table.select(["text", "count", "digest", "ids", "place"]).to_pylist()):
-        text = np.frombuffer(expand.decompress(row["text"]), np.uint8)
+        text = expand.decompress(row["text"])
         count = np.diff(B.unpack_ints(row["count"]), prepend=0)
-        digest = np.frombuffer(row["digest"], _U).reshape(-1, 2)
-        each = np.concatenate([count, np.ones(len(digest), np.int64)])
-        first = np.repeat(B.unpack_ints(row["place"]) - np.cumsum(each) + each, each)
-        texts.append(text)
-        counts.append(count)
-        digests.append(digest)
-        ids.append(np.repeat(B.unpack_ints(row["ids"]), each))
-        places.append(first + np.arange(each.sum()))
-        kinds.append(np.repeat([False, True], [int(count.sum()), len(digest)]))
-        own.append(np.full(int(each.sum()), i))
+        digests = len(row["digest"]) // 16
+        stops = np.cumsum(count + window - 1).tolist()
+        stretches += [text[a:b] for a, b in zip([0, *stops], stops, strict=False)]
+        # A fingerprint is told from text by its length, which no stretch has.
+        stretches += [row["digest"][16 * k : 16 * k + 16] for k in range(digests)]
+        values = (
+            np.concatenate([count, np.ones(digests, np.int64)]),
+            B.unpack_ints(row["ids"]),
+            B.unpack_ints(row["place"]),
+            np.full(len(count) + digests, i),
+            np.repeat([False, True], [len(count), digests]),
+        )
+        for part, value in zip(parts, values, strict=True):
+            part.append(value)
     blocks = table.column("block_id").to_numpy()
-    text, count, digest = (np.concatenate(x) for x in (texts, counts, digests))
-    kind, row, doc, place = (np.concatenate(x) for x in (kinds, own, ids, places))
-    group = np.empty(len(kind), np.int64)
-    if len(count):
+    each, doc, place, row, single = (np.concatenate(part) for part in parts)
+    order = np.lexsort((place, blocks[row], doc))
+    seen: dict[bytes, int] = {}
+    for k in order.tolist():
+        seen.setdefault(stretches[k], k)
+    first = np.zeros(len(each), bool)
+    first[list(seen.values())] = True
+    # Windows of all stretches in sent order; those of later copies repeat.
+    base = np.cumsum(each) - each
+    later = np.repeat(~first, each)
+    own = np.flatnonzero(first & ~single)
+    if len(own):
+        text = np.frombuffer(b"".join([stretches[k] for k in own.tolist()]), np.uint8)
+        count = each[own]
         length = count + window - 1
-        starts = np.cumsum(length) - length
-        at = np.arange(count.sum()) + np.repeat(starts - np.cumsum(count) + count, count)
-        group[~kind] = refine(text, window)[at]
-    if len(digest):
-        group[kind] = -1 - np.unique(digest, axis=0, return_inverse=True)[1].ravel()
-    order = np.lexsort((place, blocks[row], doc, group))
-    later = np.zeros(len(order), bool)
-    later[order[1:]] = group[order[1:]] == group[order[:-1]]
-    cuts = np.searchsorted(row, np.arange(len(blocks) + 1))
+        step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        group = refine(text, window)[np.repeat(np.cumsum(length) - length, count) + step]
+        at = np.repeat(base[own], count) + step
+        begin = np.repeat(place[own], count) + step
+        line = np.lexsort(
+            (begin, np.repeat(blocks[row[own]], count), np.repeat(doc[own], count), group)
+        )
+        same = np.zeros(len(line), bool)
+        same[line[1:]] = group[line[1:]] == group[line[:-1]]
+        later[at] = same
+    ends = np.searchsorted(row, np.arange(len(blocks) + 1))
+    cuts = np.append(base, each.sum())[ends]
     bits = [np.packbits(later[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     return pa.table(
         {
@@ -329,11 +351,14 @@ def repeated_bytes(
     docs: DataFrame, window: int = WINDOW, gram: int = GRAM, heavy: int = HEAVY
 ) -> DataFrame:
     """The rows with _bytes, _removed, _spans (counts) and _kept (bytes that stay)."""
+    if not 16 < gram <= window:
+        raise ValueError("a window holds at least one q-gram, of more than 16 bytes")
     docs = docs.drop(*_RESULTS)
     held = B.store_blocks(docs)
     size = held.agg(F.sum("bytes")).first()[0] or 0
     first_count = B.bucket_count(size // 40, held)
-    count = B.bucket_count(size // 4, held)
+    # Refining holds several numbers per byte, so its buckets are small.
+    count = B.bucket_count(size + size // 4, held)
     grams = B.map_blocks(
         held,
         partial(_send_grams, window, gram, first_count),

@@ -9,26 +9,69 @@ _SCHEDULE_CLOCK = "'^[0-9]{1,3}:[0-5][0-9]:[0-5][0-9]$'"
 
 # Columns every row must fill.
 REQUIRED_COLUMNS = {
-    "vehicle_positions": (
-        "event_id vehicle_id event_timestamp feed_timestamp published_at ingested_at latitude "
-        "longitude source schema_version kafka_topic kafka_partition kafka_offset kafka_timestamp"
-    ).split(),
-    "trip_stop_updates": (
-        "event_id stop_update_index event_timestamp feed_timestamp ingested_at published_at "
-        "trip_id source schema_version kafka_topic kafka_partition kafka_offset kafka_timestamp"
-    ).split(),
-    "service_alert_entities": (
-        "event_id informed_entity_index alert_id event_timestamp feed_timestamp ingested_at "
-        "published_at active_periods source schema_version kafka_topic kafka_partition "
-        "kafka_offset kafka_timestamp"
-    ).split(),
+    "vehicle_positions": [
+        "event_id",
+        "vehicle_id",
+        "event_timestamp",
+        "feed_timestamp",
+        "published_at",
+        "ingested_at",
+        "latitude",
+        "longitude",
+        "source",
+        "schema_version",
+        "kafka_topic",
+        "kafka_partition",
+        "kafka_offset",
+        "kafka_timestamp",
+    ],
+    "trip_stop_updates": [
+        "event_id",
+        "stop_update_index",
+        "event_timestamp",
+        "feed_timestamp",
+        "ingested_at",
+        "published_at",
+        "trip_id",
+        "source",
+        "schema_version",
+        "kafka_topic",
+        "kafka_partition",
+        "kafka_offset",
+        "kafka_timestamp",
+    ],
+    "service_alert_entities": [
+        "event_id",
+        "informed_entity_index",
+        "alert_id",
+        "event_timestamp",
+        "feed_timestamp",
+        "ingested_at",
+        "published_at",
+        "active_periods",
+        "source",
+        "schema_version",
+        "kafka_topic",
+        "kafka_partition",
+        "kafka_offset",
+        "kafka_timestamp",
+    ],
     "routes": ["route_id", "route_type"],
     "stops": ["stop_id"],
     "trips": ["trip_id", "route_id", "service_id"],
     "stop_times": ["trip_id", "stop_sequence", "stop_id"],
-    "calendar": (
-        "service_id monday tuesday wednesday thursday friday saturday sunday start_date end_date"
-    ).split(),
+    "calendar": [
+        "service_id",
+        "monday",
+        "tuesday",
+        "wednesday",
+        "thursday",
+        "friday",
+        "saturday",
+        "sunday",
+        "start_date",
+        "end_date",
+    ],
     "calendar_dates": ["service_id", "date", "exception_type"],
 }
 

@@ -15,8 +15,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SPREAD = 4096
-
 
 def left_join(
     left: DataFrame,
@@ -30,7 +28,7 @@ def left_join(
     """
     lefts = [key for key, _ in keys]
     complete = reduce(lambda a, b: a & b, [key.isNotNull() for key in lefts])
-    filler = F.concat(F.lit("~"), F.pmod(F.xxhash64(spread_by), F.lit(_SPREAD)).cast("string"))
+    filler = F.concat(F.lit("~"), F.xxhash64(spread_by).cast("string"))
     first = F.when(complete, lefts[0]).otherwise(filler)
     matches = [first == keys[0][1]] + [mine == other for mine, other in keys[1:]]
     return left.join(right, reduce(lambda a, b: a & b, [*matches, complete]), "left")
@@ -56,15 +54,33 @@ def trip_stop_schedule(
         "st.stop_id",
         F.col("st.arrival_time").alias("scheduled_arrival_time"),
         F.col("st.departure_time").alias("scheduled_departure_time"),
-        *[f"st.{c}" for c in ("stop_headsign", "pickup_type", "drop_off_type", "timepoint")],
-        *[f"t.{c}" for c in ("route_id", "service_id", "trip_headsign", "trip_short_name")],
-        *[f"t.{c}" for c in ("direction_id", "block_id", "shape_id")],
-        *[f"t.{c}" for c in ("wheelchair_accessible", "bikes_allowed")],
-        *[f"r.{c}" for c in ("agency_id", "route_short_name", "route_long_name")],
-        *[f"r.{c}" for c in ("route_type", "route_color", "route_text_color")],
-        *[f"s.{c}" for c in ("stop_code", "stop_name", "stop_lat", "stop_lon")],
-        *[f"s.{c}" for c in ("location_type", "parent_station")],
-        *[f"s.{c}" for c in ("wheelchair_boarding", "platform_code")],
+        "st.stop_headsign",
+        "st.pickup_type",
+        "st.drop_off_type",
+        "st.timepoint",
+        "t.route_id",
+        "t.service_id",
+        "t.trip_headsign",
+        "t.trip_short_name",
+        "t.direction_id",
+        "t.block_id",
+        "t.shape_id",
+        "t.wheelchair_accessible",
+        "t.bikes_allowed",
+        "r.agency_id",
+        "r.route_short_name",
+        "r.route_long_name",
+        "r.route_type",
+        "r.route_color",
+        "r.route_text_color",
+        "s.stop_code",
+        "s.stop_name",
+        "s.stop_lat",
+        "s.stop_lon",
+        "s.location_type",
+        "s.parent_station",
+        "s.wheelchair_boarding",
+        "s.platform_code",
     )
 
 
@@ -82,7 +98,10 @@ def vehicle_positions(positions: DataFrame, trips: DataFrame, routes: DataFrame)
         "t.service_id",
         "t.trip_headsign",
         F.col("t.direction_id").alias("gtfs_direction_id"),
-        *[f"r.{c}" for c in ("route_short_name", "route_long_name", "route_type", "route_color")],
+        "r.route_short_name",
+        "r.route_long_name",
+        "r.route_type",
+        "r.route_color",
         F.col("t.trip_id").isNotNull().alias("has_gtfs_trip_match"),
         F.col("r.route_id").isNotNull().alias("has_gtfs_route_match"),
     )
@@ -144,9 +163,14 @@ def alert_entities(
         resolved.alias("resolved_route_id"),
         "t.service_id",
         "t.trip_headsign",
-        *[f"r.{c}" for c in ("route_short_name", "route_long_name", "route_color")],
-        *[f"s.{c}" for c in ("stop_name", "stop_lat", "stop_lon")],
-        *[f"s.{c}" for c in ("parent_station", "platform_code")],
+        "r.route_short_name",
+        "r.route_long_name",
+        "r.route_color",
+        "s.stop_name",
+        "s.stop_lat",
+        "s.stop_lon",
+        "s.parent_station",
+        "s.platform_code",
         F.col("t.trip_id").isNotNull().alias("has_gtfs_trip_match"),
         F.col("r.route_id").isNotNull().alias("has_gtfs_route_match"),
         F.col("s.stop_id").isNotNull().alias("has_gtfs_stop_match"),

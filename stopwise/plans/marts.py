@@ -17,7 +17,7 @@ from stopwise.functions.periods import active_at
 from stopwise.functions.times import age_seconds, local_date, moment, to_local, within_seconds
 from stopwise.operators import enrich, flatten, latest, sampling
 from stopwise.settings import DEFAULTS, UNKNOWN_DIRECTION, Settings
-from stopwise.sources.tables import replace_table
+from stopwise.sources.tables import read_table, replace_table
 
 Tables = Mapping[str, DataFrame]
 
@@ -49,18 +49,44 @@ def alert_periods(tables: Tables) -> DataFrame:
 
 def dim_routes(tables: Tables) -> DataFrame:
     return tables["routes"].select(
-        *"route_id agency_id route_short_name route_long_name route_desc route_type".split(),
-        *"route_color route_text_color route_url route_sort_order route_fare_class".split(),
-        *"line_id listed_route network_id".split(),
+        "route_id",
+        "agency_id",
+        "route_short_name",
+        "route_long_name",
+        "route_desc",
+        "route_type",
+        "route_color",
+        "route_text_color",
+        "route_url",
+        "route_sort_order",
+        "route_fare_class",
+        "line_id",
+        "listed_route",
+        "network_id",
     )
 
 
 def dim_stops(tables: Tables) -> DataFrame:
     return tables["stops"].select(
-        *"stop_id stop_code stop_name stop_desc platform_name zone_id stop_address".split(),
-        *"stop_url level_id municipality on_street at_street vehicle_type".split(),
-        *"stop_lat stop_lon location_type parent_station".split(),
-        *"wheelchair_boarding platform_code".split(),
+        "stop_id",
+        "stop_code",
+        "stop_name",
+        "stop_desc",
+        "platform_name",
+        "zone_id",
+        "stop_address",
+        "stop_url",
+        "level_id",
+        "municipality",
+        "on_street",
+        "at_street",
+        "vehicle_type",
+        "stop_lat",
+        "stop_lon",
+        "location_type",
+        "parent_station",
+        "wheelchair_boarding",
+        "platform_code",
     )
 
 
@@ -103,23 +129,50 @@ def trip_monitoring_samples(tables: Tables, settings: Settings = DEFAULTS) -> Da
         "observation_bucket",
         local.alias("observation_local_timestamp"),
         F.to_date(local).alias("observation_local_date"),
-        *"event_id event_timestamp feed_timestamp ingested_at".split(),
-        *"trip_id start_date start_time trip_instance_key".split(),
+        "event_id",
+        "event_timestamp",
+        "feed_timestamp",
+        "ingested_at",
+        "trip_id",
+        "start_date",
+        "start_time",
+        "trip_instance_key",
         F.col("resolved_route_id").alias("route_id"),
         F.coalesce("direction_id", "scheduled_direction_id", F.lit(UNKNOWN_DIRECTION)).alias(
             "direction_id"
         ),
-        *"vehicle_id stop_id stop_sequence stop_name stop_lat stop_lon".split(),
-        *"route_short_name route_long_name route_type route_color".split(),
-        *"service_id trip_headsign".split(),
-        *"predicted_arrival predicted_departure next_prediction_timestamp".split(),
-        *"scheduled_arrival_time scheduled_departure_time".split(),
-        *"scheduled_prediction_timestamp delay_prediction_timestamp delay_basis".split(),
+        "vehicle_id",
+        "stop_id",
+        "stop_sequence",
+        "stop_name",
+        "stop_lat",
+        "stop_lon",
+        "route_short_name",
+        "route_long_name",
+        "route_type",
+        "route_color",
+        "service_id",
+        "trip_headsign",
+        "predicted_arrival",
+        "predicted_departure",
+        "next_prediction_timestamp",
+        "scheduled_arrival_time",
+        "scheduled_departure_time",
+        "scheduled_prediction_timestamp",
+        "delay_prediction_timestamp",
+        "delay_basis",
         F.col("delay_seconds").alias("raw_feed_delay_seconds"),
-        *"predicted_delay_seconds predicted_lateness_seconds is_predicted_late".split(),
-        *"has_gtfs_schedule_match has_gtfs_route_match has_gtfs_stop_match".split(),
-        *"trip_schedule_relationship stop_schedule_relationship".split(),
-        *"kafka_topic kafka_partition kafka_offset".split(),
+        "predicted_delay_seconds",
+        "predicted_lateness_seconds",
+        "is_predicted_late",
+        "has_gtfs_schedule_match",
+        "has_gtfs_route_match",
+        "has_gtfs_stop_match",
+        "trip_schedule_relationship",
+        "stop_schedule_relationship",
+        "kafka_topic",
+        "kafka_partition",
+        "kafka_offset",
     )
 
 
@@ -191,23 +244,42 @@ def vehicle_latest_state(tables: Tables, as_of=None, settings: Settings = DEFAUL
         "vehicle_id",
         "event_timestamp",
         to_local(seen, settings.timezone).alias("event_local_timestamp"),
-        *"feed_timestamp ingested_at published_at".split(),
+        "feed_timestamp",
+        "ingested_at",
+        "published_at",
         F.col("resolved_route_id").alias("route_id"),
-        *"route_short_name route_long_name route_type route_color".split(),
-        *"trip_id service_id trip_headsign".split(),
+        "route_short_name",
+        "route_long_name",
+        "route_type",
+        "route_color",
+        "trip_id",
+        "service_id",
+        "trip_headsign",
         F.col("gtfs_direction_id").alias("direction_id"),
-        *"latitude longitude bearing speed_mps odometer occupancy_status".split(),
-        *"has_gtfs_trip_match has_gtfs_route_match".split(),
+        "latitude",
+        "longitude",
+        "bearing",
+        "speed_mps",
+        "odometer",
+        "occupancy_status",
+        "has_gtfs_trip_match",
+        "has_gtfs_route_match",
         age_seconds(seen, now).alias("source_age_seconds"),
         within_seconds(seen, now, settings.vehicle_freshness_seconds).alias("is_fresh"),
-        *"kafka_topic kafka_partition kafka_offset".split(),
+        "kafka_topic",
+        "kafka_partition",
+        "kafka_offset",
     )
 
 
 def newest_alert_entities(alerts: DataFrame) -> DataFrame:
-    """Entities of the newest stored snapshot (the other side of the join is one row)."""
-    newest = alerts.agg(F.max("feed_timestamp").alias("feed_timestamp"))
-    return alerts.join(F.broadcast(newest), "feed_timestamp").select(*alerts.columns)
+    """Entities of the newest stored snapshot.
+
+    The newest time is one value, known before the entities are read, so the
+    second scan skips all files and row groups of older snapshots.
+    """
+    newest = alerts.agg(F.max("feed_timestamp")).first()[0]
+    return alerts.where(F.col("feed_timestamp") == F.lit(newest))
 
 
 def _distinct(column: str) -> Column:
@@ -224,10 +296,17 @@ def service_alerts_latest_snapshot(
     """
     now, seen = moment(as_of), F.col("feed_timestamp")
     entities = enriched_alerts(tables, newest_alert_entities(tables["service_alert_entities"]))
-    newest = (
-        "event_timestamp feed_timestamp ingested_at cause effect severity header_text "
-        "description_text url"
-    ).split()
+    newest = [
+        "event_timestamp",
+        "feed_timestamp",
+        "ingested_at",
+        "cause",
+        "effect",
+        "severity",
+        "header_text",
+        "description_text",
+        "url",
+    ]
     grouped = (
         entities.withColumn("_active", active_at(flatten.periods_of(), now))
         .groupBy("alert_id")
@@ -262,5 +341,5 @@ def build(tables: Tables, target: str, settings: Settings = DEFAULTS) -> None:
         trip_monitoring_samples(tables, settings), samples, ["observation_local_date"]
     )
     spark = tables["routes"].sparkSession
-    health = route_health(spark.read.parquet(samples), settings)
+    health = route_health(read_table(spark, samples), settings)
     replace_table(health, f"{target}/route_health_5m", ["observation_local_date"])

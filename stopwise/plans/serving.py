@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stopwise.functions.numbers import minutes_of_decile, percentage
-from stopwise.functions.times import moment
+from stopwise.functions.times import local_date, moment
 from stopwise.plans.marts import lateness
 from stopwise.settings import DEFAULTS
 
@@ -32,9 +32,16 @@ def matching(
     bucket=None,
     time_column: str = "observation_bucket",
 ) -> DataFrame:
-    """Rows of a half-open time range, a route, a direction, a bucket - each if given."""
+    """Rows of a half-open time range, a route, a direction, a bucket - each if given.
+
+    Where the rows have a local date, which is what stored tables are partitioned by, it
+    is bounded as well. That drops no row: the local date never decreases with
+    time, and a bucket begins at most a day before what it contains.
+    """
     time = F.col(time_column)
     conditions: list[Column] = []
+    if "observation_local_date" in rows.columns:
+        conditions += _days(since, until, bucket, time_column)
     if since is not None:
         conditions.append(time >= moment(since))
     if until is not None:
@@ -48,6 +55,21 @@ def matching(
     return reduce(DataFrame.where, conditions, rows)
 
 
+def _days(since, until, bucket, time_column: str) -> list[Column]:
+    """The local dates that a time range can touch."""
+    day = F.col("observation_local_date")
+    earlier = F.expr("INTERVAL 1 DAY") if time_column == "event_timestamp" else None
+    out: list[Column] = []
+    if since is not None:
+        first = moment(since) if earlier is None else moment(since) - earlier
+        out.append(day >= local_date(first, DEFAULTS.timezone))
+    if until is not None:
+        out.append(day <= local_date(moment(until), DEFAULTS.timezone))
+    if bucket is not None:
+        out.append(day == local_date(moment(bucket), DEFAULTS.timezone))
+    return out
+
+
 def _of_type(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("route_type") == DEFAULTS.route_type)
 
@@ -255,10 +277,19 @@ def trip_samples(
         rows.orderBy(*SAMPLE_ORDERS[sort_by](), "trip_instance_key")
         .limit(limit)
         .select(
-            *"observation_bucket observation_local_timestamp route_id route_short_name".split(),
-            *"direction_id trip_id trip_instance_key stop_name delay_basis".split(),
-            *"scheduled_prediction_timestamp delay_prediction_timestamp".split(),
-            *"predicted_delay_seconds is_predicted_late".split(),
+            "observation_bucket",
+            "observation_local_timestamp",
+            "route_id",
+            "route_short_name",
+            "direction_id",
+            "trip_id",
+            "trip_instance_key",
+            "stop_name",
+            "delay_basis",
+            "scheduled_prediction_timestamp",
+            "delay_prediction_timestamp",
+            "predicted_delay_seconds",
+            "is_predicted_late",
         )
     )
 
@@ -281,8 +312,17 @@ def live_vehicles(
         rows.orderBy(F.col("event_timestamp").desc_nulls_first(), "vehicle_id")
         .limit(limit + 1)
         .select(
-            *"vehicle_id event_timestamp route_id route_short_name trip_id trip_headsign".split(),
-            *"direction_id latitude longitude occupancy_status source_age_seconds".split(),
+            "vehicle_id",
+            "event_timestamp",
+            "route_id",
+            "route_short_name",
+            "trip_id",
+            "trip_headsign",
+            "direction_id",
+            "latitude",
+            "longitude",
+            "occupancy_status",
+            "source_age_seconds",
         )
     )
 
@@ -301,7 +341,18 @@ def active_alerts(alerts: DataFrame, route_id: str | None = None, limit: int = 1
         rows.orderBy(F.col("feed_timestamp").desc_nulls_first(), "alert_id")
         .limit(limit + 1)
         .select(
-            *"alert_id feed_timestamp cause severity effect header_text description_text".split(),
-            *"url route_ids stop_ids trip_ids direction_ids source_age_seconds".split(),
+            "alert_id",
+            "feed_timestamp",
+            "cause",
+            "severity",
+            "effect",
+            "header_text",
+            "description_text",
+            "url",
+            "route_ids",
+            "stop_ids",
+            "trip_ids",
+            "direction_ids",
+            "source_age_seconds",
         )
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopwise.functions import text
@@ -122,12 +122,19 @@ def most_late_routes(comparison: DataFrame, limit: int = 10) -> DataFrame:
 
 
 def page(rows: DataFrame, limit: int, *order: Column) -> DataFrame:
-    """The first rows and whether there were more (input: up to ``limit + 1`` rows)."""
-    more = rows.agg((F.count("*") > limit).alias("is_truncated")).select(
-        F.lit(1).alias("_one"), "is_truncated"
+    """The first rows and whether there were more.
+
+    At most ``limit + 1`` rows reach the window, so one task can hold them.
+    """
+    first = rows.orderBy(*order).limit(limit + 1)
+    one = Window.partitionBy(F.lit(0))
+    counted = first.withColumns(
+        {
+            "is_truncated": F.count("*").over(one) > limit,
+            "_place": F.row_number().over(one.orderBy(*order)),
+        }
     )
-    kept = rows.orderBy(*order).limit(limit).withColumn("_one", F.lit(1))
-    return kept.join(more, "_one").drop("_one")
+    return counted.where(F.col("_place") <= limit).drop("_place")
 
 
 def map_centre(vehicles: DataFrame) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 STAGED = (
@@ -40,14 +42,46 @@ def read_query(
 
 
 def replace_table(rows: DataFrame, path: str, partition_by: Iterable[str] = ()) -> None:
-    """Write a table in place of the previous one.
+    """Write a table in place of the previous one, whole.
 
-    Rows are rebalanced by the partition columns, so a partition is written by
-    few tasks, and by several when it is large.
+    The rows go to a new snapshot folder, and one small file then names it as the one in
+    force. Readers (``read_table``) see the old table or the new one; a failed write
+    changes nothing, and the session's overwrite mode does not matter. Rows are
+    rebalanced by the partition columns, so a partition is written by few tasks, and by
+    several when it is large.
     """
+    spark = rows.sparkSession
     columns = tuple(partition_by)
-    if not columns:
-        rows.write.mode("overwrite").parquet(path)
-        return
-    balanced = rows.hint("rebalance", *columns)
-    balanced.write.mode("overwrite").partitionBy(*columns).parquet(path)
+    known = _versions(spark, path)
+    version = 1 + max((row["version"] for row in known), default=0)
+    snapshot = f"snapshot-{version:08d}-{uuid.uuid4().hex[:8]}"
+    if columns:
+        balanced = rows.hint("rebalance", *columns)
+        balanced.write.partitionBy(*columns).parquet(f"{path}/{snapshot}")
+    else:
+        rows.write.parquet(f"{path}/{snapshot}")
+    spark.createDataFrame([(version, snapshot)], _VERSION).coalesce(1).write.mode(
+        "append"
+    ).json(f"{path}/{_POINTER}")
+
+
+_POINTER = "_current"
+_VERSION = "version bigint, snapshot string"
+
+
+def _versions(spark: SparkSession, path: str) -> list:
+    try:
+        return spark.read.schema(_VERSION).json(f"{path}/{_POINTER}").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The snapshot in force of a table written by ``replace_table``."""
+    known = _versions(spark, path)
+    if not known:
+        raise ValueError(f"no table has been written to {path}")
+    newest = max(known, key=lambda row: (row["version"], row["snapshot"]))
+    return spark.read.parquet(f"{path}/{newest['snapshot']}")

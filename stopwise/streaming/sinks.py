@@ -1,39 +1,62 @@
 """Sinks.
 
-The keyed sink makes at-least-once delivery effectively once: a micro-batch
-owns one folder, which a replay overwrites, and rows whose key is already
-stored elsewhere are left out.
+The keyed sink makes at-least-once delivery effectively once. Its table is
+partitioned by a function of the key, the slot, so all copies of a key meet in one
+slot whatever times they carry. A micro-batch owns one folder per slot, which
+a replay overwrites, and rows whose key is already stored elsewhere in their
+slot are left out. Only the slots of the batch are opened or listed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stopwise.operators.constraints import KEYS, enforced
 
 DAY = "event_date"
-_PLACE = f"run string, batch_id bigint, {DAY} date"
+SLOT = "slot"
+HASH_SLOTS = 64
+_PLACE = f"{SLOT} string, run string, batch_id bigint, {DAY} date"
 
 
-def stored_rows(spark: SparkSession, target: str, columns: str) -> DataFrame | None:
-    """Rows of a keyed table with their place, or None while it does not exist."""
+def slot_of(event_id: str = "event_id") -> Column:
+    """The UTC day in an event id that ends in epoch seconds, else one of 64 hash slots.
+
+    Ids whose number is no time of this or the next century are hashed too, so the
+    number of slots is bounded.
+    """
+    seconds = F.try_to_number(F.regexp_extract(event_id, r":([0-9]{9,10})$", 1), F.lit("9999999999"))
+    day = F.date_format(F.timestamp_seconds(seconds.cast("long")), "yyyy-MM-dd")
+    hashed = F.concat(F.lit("h"), F.pmod(F.xxhash64(event_id), F.lit(HASH_SLOTS)).cast("string"))
+    return F.coalesce(day, hashed)
+
+
+def stored_rows(
+    spark: SparkSession, target: str, columns: str, slot: str | None = None
+) -> DataFrame | None:
+    """Rows of a keyed table, or of one slot, with their place; None where there are none."""
+    path = target if slot is None else f"{target}/{SLOT}={slot}"
     try:
-        return spark.read.schema(f"{columns}, {_PLACE}").parquet(target)
+        return (
+            spark.read.schema(f"{columns}, {_PLACE}").option("basePath", target).parquet(path)
+        )
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
 
 
-def read_keyed(spark: SparkSession, target: str) -> DataFrame:
-    """A keyed table without its place columns."""
-    return spark.read.parquet(target).drop("run", "batch_id", DAY)
+def read_keyed(spark: SparkSession, target: str, *, with_day: bool = False) -> DataFrame:
+    """A keyed table without its place columns; its day, for filters, if asked for."""
+    rows = spark.read.parquet(target).drop(SLOT, "run", "batch_id")
+    return rows if with_day else rows.drop(DAY)
 
 
 def _ddl(rows: DataFrame) -> str:
@@ -50,52 +73,59 @@ def append_keyed(
     time_column: str = "event_timestamp",
     table: str | None = None,
 ) -> None:
-    """Append the rows of a micro-batch whose key is not stored yet.
-
-    The time of an event is part of its id, so a duplicate has the same day,
-    and only the partitions of the days in the batch are searched.
-    """
+    """Append the rows of a micro-batch whose key is not stored yet."""
     spark = batch.sparkSession
     rows = batch if table is None else enforced(batch, table)
-    rows = rows.dropDuplicates(keys).withColumn(DAY, F.to_date(time_column))
+    rows = rows.dropDuplicates(keys).withColumns(
+        {
+            SLOT: slot_of(keys[0]),
+            "run": F.lit(run),
+            "batch_id": F.lit(batch_id).cast("bigint"),
+            DAY: F.to_date(time_column),
+        }
+    )
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        days = [row[DAY] for row in rows.select(DAY).distinct().collect()]
-        if not days:
-            return
-        stored = stored_rows(spark, target, _ddl(batch))
-        if stored is not None:
-            elsewhere = stored.where(
-                F.col(DAY).isin(days)
-                & ~((F.col("run") == run) & (F.col("batch_id") == batch_id))
-            )
-            rows = _without(rows, elsewhere.select(*keys), keys)
-        # Few files per day and batch, without one task for a large day.
-        balanced = rows.hint("rebalance", DAY)
-        balanced.write.mode("overwrite").partitionBy(DAY).parquet(
-            f"{target}/run={run}/batch_id={batch_id}"
+        # At most a few days and 64 hash slots, however large the batch.
+        slots = [row[SLOT] for row in rows.select(SLOT).distinct().collect()]
+        opened = [stored_rows(spark, target, _ddl(batch), slot) for slot in sorted(slots)]
+        opened = [found.select(SLOT, "run", "batch_id", *keys) for found in opened if found is not None]
+        new = rows
+        if opened:
+            own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
+            new = _without(rows, reduce(DataFrame.unionByName, opened).where(~own), keys)
+        # Few files per slot, without one task for a large one. A replay makes
+        # the same slots, and exactly those are replaced.
+        (
+            new.hint("rebalance", SLOT)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(SLOT, "run", "batch_id", DAY)
+            .parquet(target)
         )
     finally:
         rows.unpersist()
 
 
 def _without(rows: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key is not stored.
+    """Rows whose key is not stored in their slot.
 
     The stored keys the batch repeats are found first: there the batch is the
-    side that may be broadcast, so a day of stored keys is scanned but not
-    shuffled as long as the batch is measured as small.
+    side that may be broadcast, so stored keys are scanned but not shuffled as
+    long as the batch is measured as small.
     """
-    repeated = stored.join(rows.select(*keys), keys, "left_semi")
-    return rows.join(repeated, keys, "left_anti")
+    place = [SLOT, *keys]
+    repeated = stored.join(rows.select(*place), place, "left_semi").select(*place)
+    return rows.join(repeated, place, "left_anti")
 
 
 def append_jdbc(
     batch: DataFrame, *, url: str, table: str, options: dict[str, str], writers: int = 4
 ) -> None:
     """Append to a database table; its key constraint decides about duplicates."""
+    # A shuffle limits the connections without limiting the tasks before it.
     (
-        batch.coalesce(writers)
+        batch.repartition(writers)
         .write.format("jdbc")
         .options(url=url, dbtable=table, **options)
         .mode("append")

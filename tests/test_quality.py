@@ -113,11 +113,11 @@ def test_flattened_stops(spark):
     raw = envelope(spark, [event("trip"), event("trip", "start_date", "20261399", event_id="x")])
     rows = job.flatten(job.parse(raw)).orderBy("kafka_offset", "stop_update_index").collect()
     assert [(r.stop_update_index, r.stop_id, r.delay_seconds) for r in rows[:2]] == [
-        (0, "stop-a", 120),
-        (1, "stop-b", 180),
+        (0, "quay", -15),
+        (1, "market", 240),
     ]
-    assert rows[0].start_date.isoformat() == "2026-08-14"
-    assert rows[0].start_time == "25:10:00"
+    assert rows[0].start_date.isoformat() == "2026-03-07"
+    assert rows[0].start_time == "24:40:30"
     assert rows[2].start_date is None
 
 
@@ -131,13 +131,13 @@ def test_flattened_alert_and_its_periods(spark):
     found = rows.where("event_id <> 'none'").orderBy("informed_entity_index").collect()
     assert [(r.informed_entity_index, r.stop_id, r.direction_id) for r in found] == [
         (0, None, 0),
-        (1, "stop-a", 1),
+        (1, "quay", 1),
     ]
     periods = flatten.alert_period_rows(rows).collect()
     numbers = sorted((r.event_id, r.active_period_index or 0) for r in periods)
     assert numbers == [
-        ("alert-5:1786708805", 1),
-        ("alert-5:1786708805", 1),
+        ("alert-5:1772884805", 1),
+        ("alert-5:1772884805", 1),
         ("none", 0),
         ("none", 0),
     ]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from stopwise.operators import expectations
 from stopwise.plans import health, marts, serving, shaping
-from stopwise.sources.tables import read_query, replace_table
+from stopwise.sources.tables import read_query, read_table, replace_table
 from stopwise.streaming import progress
 
 HEALTH = (
@@ -197,16 +197,32 @@ def test_built_tables_equal_the_plans(spark, tmp_path):
 
     tables = Staged(spark, "/root/testdata/sf0.001")
     marts.build(tables, str(tmp_path))
-    samples = spark.read.parquet(f"{tmp_path}/fct_trip_monitoring_samples")
-    stored = spark.read.parquet(f"{tmp_path}/route_health_5m")
+    samples = read_table(spark, f"{tmp_path}/fct_trip_monitoring_samples")
+    stored = read_table(spark, f"{tmp_path}/route_health_5m")
     assert expectations.differing_health(stored, marts.route_health(samples)).count() == 0
     assert expectations.inconsistent_samples(samples).count() == 0
     assert expectations.out_of_bounds_health(stored).count() == 0
-    # A date filter reaches the partitions of the stored samples.
-    plan = samples.where("observation_local_date = date'2024-01-10'")._jdf.queryExecution()
-    assert "PartitionFilters: [isnotnull(observation_local_date" in plan.executedPlan().toString()
+    # The time bounds of served queries reach the partitions, and drop no row.
+    low, high = "2024-01-10 03:00:00", "2024-01-12 21:00:00"
+    served = {
+        "health_trend": lambda rows: serving.health_trend(rows, low, high),
+        "period_summary": lambda rows: serving.matching(rows, since=low, until=high),
+    }
+    for name, query in served.items():
+        plan = query(stored)._jdf.queryExecution().executedPlan().toString()
+        filters = next(x for x in plan.split("\n") if "PartitionFilters" in x)
+        assert "(observation_local_date" in filters and ">= 2024-01-09" in filters, name
+        assert "<= 2024-01-12" in filters, name
+    plain = stored.withColumnRenamed("observation_local_date", "other_date")
+    bounded = serving.matching(stored, since=low, until=high).count()
+    assert bounded == serving.matching(plain, since=low, until=high).count() > 0
+    recent = serving.matching(samples, since=low, time_column="event_timestamp").count()
+    renamed = samples.withColumnRenamed("observation_local_date", "other_date")
+    assert recent == serving.matching(renamed, since=low, time_column="event_timestamp").count()
+    smaller = stored.limit(2)
     replace_table(stored, str(tmp_path / "copy"))
-    assert spark.read.parquet(str(tmp_path / "copy")).count() == stored.count()
+    replace_table(smaller, str(tmp_path / "copy"))
+    assert read_table(spark, str(tmp_path / "copy")).count() == 2
 
 
 def test_sampling_limits_rows_before_its_shuffle(spark):

@@ -77,6 +77,32 @@ def test_a_batch_written_twice_replaces_itself(spark, tmp_path):
     assert append([], 2) == 6
 
 
+def test_a_key_is_stored_once_whatever_its_time(spark, tmp_path):
+    job = jobs.JOBS["vehicle-state"]
+    target, key = str(tmp_path / "t"), constraints.KEYS[job.table]
+    later = event("vehicle", "source_timestamp", "2026-03-09T08:00:00+00:00")
+    other = event("vehicle", event_id="no-epoch")
+    moved = event("vehicle", "source_timestamp", "2026-03-10T08:00:00+00:00", event_id="no-epoch")
+    for batch_id, items in enumerate([[event("vehicle"), other], [later, moved]]):
+        rows = jobs.table_rows(envelope(spark, items), job)
+        sinks.append_keyed(rows, batch_id, target=target, run="r", keys=key, table=job.table)
+    table = sinks.read_keyed(spark, target, with_day=True)
+    assert table.count() == 2 and sinks.DAY in table.columns
+
+
+def test_a_batch_opens_only_its_own_slots(spark, tmp_path):
+    job = jobs.JOBS["vehicle-state"]
+    target, key = str(tmp_path / "t"), constraints.KEYS[job.table]
+    for day in range(4):
+        items = [event("vehicle", event_id=f"v:{1772000000 + 86400 * day}")]
+        rows = jobs.table_rows(envelope(spark, items), job)
+        sinks.append_keyed(rows, day, target=target, run="r", keys=key, table=job.table)
+    slots = sorted(p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("slot="))
+    assert len(slots) == 4
+    found = sinks.stored_rows(spark, target, "event_id string", slots[0].removeprefix("slot="))
+    assert len(found.inputFiles()) == 1 and found.count() == 1
+
+
 def test_a_broken_row_stores_nothing_of_its_batch(spark, tmp_path):
     job = jobs.JOBS["trip-update"]
     target, key = str(tmp_path / "t"), constraints.KEYS[job.table]
