@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopwise.llm.shared import partitions, stored
+from stopwise.llm.shared import held_packed, partitions
 from stopwise.llm.textkit import binary_array
 
 BLOCK_BYTES = 8 << 20
@@ -94,8 +94,7 @@ def store_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         {ORDER: F.col("doc_id").cast("long"), HASH: F.xxhash64("text")}
     )
     packed = rows.mapInArrow(_pack(block_bytes), "bytes long, block binary")
-    # Stored without another codec: the blocks are compressed.
-    return stored(packed.withColumn("block_id", F.monotonically_increasing_id()), "none")
+    return held_packed(packed.withColumn("block_id", F.monotonically_increasing_id()))
 
 
 def bucket_count(keys: int, blocks: DataFrame) -> int:

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from stopwise.llm import blocks as B
 from stopwise.llm.components import components
-from stopwise.llm.shared import partitions, stored
+from stopwise.llm.shared import held_packed, partitions, stored
 from stopwise.llm.textkit import (
     LOWER,
     NOT_SPACE,
@@ -273,7 +273,7 @@ def linked_documents(docs: DataFrame, ngram: int = NGRAM, num: int = NUM, den: i
             F.min("row").alias("node"), F.min("doc_id").alias("least")
         )
     )
-    kept = stored(
+    kept = held_packed(
         rows.where("shingles IS NOT NULL")
         .join(classes.select(F.col("node").alias("row")), "row", "left_semi")
         .select(F.col("row").alias("node"), "n", "keys", "shingles")

@@ -11,17 +11,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one the cluster names for checkpoints.
+def shared_base(spark: SparkSession) -> str:
+    """The folder the cluster names for checkpoints.
 
     Only a local session without that setting gets a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
             raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="stopwise-llm-")
-    return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below that one."""
+    return f"{shared_base(spark)}/llm-{uuid.uuid4().hex}"
 
 
 def stored(rows: DataFrame, codec: str = "zstd") -> DataFrame:
@@ -32,6 +37,19 @@ def stored(rows: DataFrame, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def held_packed(rows: DataFrame) -> DataFrame:
+    """Rows of packed values as a checkpoint, for a table that only one operator reads.
+
+    Where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set, Spark deletes it as
+    soon as nothing refers to it, so steps that follow find the disk free. Values are not
+    compressed and columns not pruned, hence only for what is packed and read whole.
+    """
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_base(rows.sparkSession))
+    return rows.checkpoint()
+
+
 def reachable(spark: SparkSession) -> None:
     """Let Python workers find this package where it is not installed."""
     root = str(Path(__file__).resolve().parents[2])
