@@ -2,8 +2,7 @@
 
 A text is cut where the tokenizer always cuts: before a space that follows a
 visible ASCII character and precedes a letter or digit. The pieces repeat
-often, so a worker tokenizes each distinct one once and remembers it, up to a
-fixed number of pieces.
+often, so each distinct one of a chunk is tokenized once, nearly all in one call.
 """
 
 from __future__ import annotations
@@ -15,8 +14,6 @@ import pyarrow as pa
 
 from stopwise.llm.textkit import Chunk
 
-HELD = 300_000  # pieces a worker remembers before it starts afresh
-
 # Fixed value: the pattern that splits text before the merges.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -43,39 +40,31 @@ class Tokens:
         )
         self._bytes = np.zeros(max(ranks.values()) + 1, np.int64)
         self._bytes[list(ranks.values())] = [len(token) for token in ranks]
-        self._forget()
-
-    def _forget(self) -> None:
-        self._known: dict[bytes, int] = {}
-        self._ids = np.empty(1 << 18, np.uint32)
-        self._begin = np.zeros(1 << 16, np.int64)  # by piece; one more at the end
-
-    def _learn(self, pieces: list[bytes], found: np.ndarray, lengths: np.ndarray) -> None:
-        first = len(self._known)
-        end = int(self._begin[first])
-        for name, need in (("_ids", end + len(found)), ("_begin", first + len(pieces) + 1)):
-            have = getattr(self, name)
-            if need > len(have):
-                setattr(self, name, np.concatenate([have, np.empty(need, have.dtype)]))
-        self._ids[end : end + len(found)] = found
-        self._begin[first + 1 : first + 1 + len(pieces)] = end + np.cumsum(lengths)
-        self._known.update(zip(pieces, range(first, first + len(pieces)), strict=True))
-
-    def _tokenize(self, pieces: list[bytes]) -> None:
-        """Inner pieces keep their cuts side by side, so one call does them all."""
-        inner = [p for p in pieces if _inner(p)]
-        if inner:
-            text = b"".join(inner).decode("utf-8")
-            found = np.array(self._encoding.encode_ordinary(text), np.uint32)
-            at = np.cumsum(self._bytes[found])
-            stops = np.cumsum([len(p) for p in inner])
-            last = np.searchsorted(at, stops) + 1
-            self._learn(inner, found, np.diff(last, prepend=0))
-        for piece in pieces:
-            if not _inner(piece):
-                text = piece.decode("utf-8", "replace")
-                found = np.array(self._encoding.encode_ordinary(text), np.uint32)
-                self._learn([piece], found, np.array([len(found)]))
+
+    def _distinct(self, pieces: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces, one after the other, and where each piece's ids begin.
+
+        Inner pieces keep their cuts side by side, so one call does them all; the others
+        follow after them, hence the order of the beginnings.
+        """
+        inner = _inner(pieces)
+        alike = pieces.filter(pa.array(inner))
+        _, stops, data = _buffers(alike)
+        found = np.array(self._encoding.encode_ordinary(data.tobytes().decode("utf-8")), np.uint32)
+        last = np.searchsorted(np.cumsum(self._bytes[found]), stops[1:]) + 1
+        lengths = np.zeros(len(pieces), np.int64)
+        lengths[inner] = np.diff(last, prepend=0)
+        begin = np.zeros(len(pieces), np.int64)
+        begin[inner] = last - lengths[inner]
+        each = [found]
+        end = len(found)
+        for i in np.flatnonzero(~inner).tolist():
+            text = pieces[i].as_py().decode("utf-8", "replace")
+            own = np.array(self._encoding.encode_ordinary(text), np.uint32)
+            each.append(own)
+            begin[i], lengths[i] = end, len(own)
+            end += len(own)
+        return np.concatenate(each), np.stack([begin, lengths])
 
     def encode(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the chunk, and where each text's ids begin (one more at the end)."""
@@ -98,26 +87,31 @@ class Tokens:
             len(starts),
             [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))],
         ).dictionary_encode()
-        distinct = pieces.dictionary.to_pylist()
-        if len(self._known) + len(distinct) > HELD:
-            self._forget()
-        numbers = np.array([*map(self._known.get, distinct)], float)
-        new = np.flatnonzero(np.isnan(numbers)).tolist()
-        if new:
-            fresh = [distinct[i] for i in new]
-            self._tokenize(fresh)
-            numbers[new] = [self._known[piece] for piece in fresh]
-        numbers = numbers.astype(np.int64)[pieces.indices.to_numpy()]
-        begin = self._begin[numbers]
-        length = self._begin[numbers + 1] - begin
-        done = np.zeros(len(numbers) + 1, np.int64)
+        ids, places = self._distinct(pieces.dictionary)
+        begin, length = places[:, pieces.indices.to_numpy()]
+        done = np.zeros(len(length) + 1, np.int64)
         np.cumsum(length, out=done[1:])
         place = np.arange(done[-1]) + np.repeat(begin - done[:-1], length)
-        return self._ids[place], done[np.searchsorted(starts, offsets)]
-
-
-def _inner(piece: bytes) -> bool:
-    return len(piece) > 1 and piece[0] == 32 and _FOLLOWS[piece[1]] and 32 < piece[-1] < 127
+        return ids[place], done[np.searchsorted(starts, offsets)]
+
+
+def _buffers(pieces: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each piece begins and, from zero, the borders of all; and their bytes."""
+    held = pieces.buffers()
+    borders = np.frombuffer(held[1], np.int32)[pieces.offset : pieces.offset + len(pieces) + 1]
+    data = np.frombuffer(held[2] or b"", np.uint8)[borders[0] : borders[-1]]
+    borders = borders.astype(np.int64) - borders[0]
+    return borders[:-1], borders, data
+
+
+def _inner(pieces: pa.BinaryArray) -> np.ndarray:
+    """Whether a piece begins with a space before a letter or digit and ends visibly."""
+    starts, borders, data = _buffers(pieces)
+    inner = np.diff(borders) > 1
+    first = starts[inner]
+    last = data[borders[1:][inner] - 1]
+    inner[inner] = (data[first] == 32) & _FOLLOWS[data[first + 1]] & _VISIBLE[last]
+    return inner
 
 
 _MADE: dict[str, Tokens] = {}
