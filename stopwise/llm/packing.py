@@ -292,7 +292,9 @@ def pack(
         # Millionths of a token that this source had earned and not spent before the part.
         ((exact - begin_of(F.col("part"))) * 1_000_000).cast("long").alias("owed"),
     ).where("n > 0")
-    cuts = rows.groupBy("part").applyInArrow(
+    # A stated number of partitions is not merged at run time: parts are few rows, but much work.
+    dealt = rows.repartition(partitions(spark), "part")
+    cuts = dealt.groupBy("part").applyInArrow(
         lambda part: _plan(width, part), "row long, cuts binary"
     )
     met = ids.select("row", "doc_id", "ids").join(cuts, "row")
