@@ -20,7 +20,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id."""
-    return jaccard_join.first_of_each(docs)
+    return jaccard_join.first_of_each(docs, ngram=3, num=90, den=100)
 
 
 def distinct_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

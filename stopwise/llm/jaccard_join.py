@@ -52,6 +52,9 @@ from stopwise.llm.textkit import (
 
 NGRAM = 3
 NUM, DEN = 90, 100
+# Where copies are taken out: those with some words changed or added are linked as well.
+STAGE_NGRAM = 5
+STAGE_NUM, STAGE_DEN = 80, 100
 TILE = 1 << 20  # shingles of a tile
 _HASHER = Hasher(5)
 _U = np.uint64
@@ -321,7 +324,9 @@ def linked_documents(docs: DataFrame, ngram: int = NGRAM, num: int = NUM, den: i
     )
 
 
-def first_of_each(docs: DataFrame, ngram: int = NGRAM, num: int = NUM, den: int = DEN) -> DataFrame:
+def first_of_each(
+    docs: DataFrame, ngram: int = STAGE_NGRAM, num: int = STAGE_NUM, den: int = STAGE_DEN
+) -> DataFrame:
     """The documents that are the smallest id of their component."""
     found = linked_documents(docs, ngram, num, den)
     gone = found.where("doc_id <> component_id").select("doc_id")

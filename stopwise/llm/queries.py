@@ -33,7 +33,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.linked_documents(table(spark, sf_dir, "documents"))
+    return jaccard_join.linked_documents(table(spark, sf_dir, "documents"), ngram=3, num=90, den=100)
 
 
 # Fixed value: the rules of the query.

@@ -156,6 +156,39 @@ def test_jaccard_components(spark, docs, empty, small_blocks):
     assert jaccard_join.linked_documents(empty).count() == 0
 
 
+def test_first_of_each_at_five_words_and_four_fifths(spark):
+    """Copies with an eighth to a quarter added, cut off, or some words changed, by brute force."""
+    reachable(spark)
+    import random
+
+    rng = random.Random(11)
+    base = [[f"w{rng.randint(0, 9999)}" for _ in range(200)] for _ in range(6)]
+    rows = [(k, words) for k, words in enumerate(base)]
+    for words in base:
+        for more in (24, 36, 44, 60):
+            rows.append((len(rows), words + [f"y{rng.randint(0, 9999)}" for _ in range(more)]))
+        for less in (20, 36, 60):
+            rows.append((len(rows), words[:-less]))
+        for changes in (2, 4, 8):
+            own = list(words)
+            for place in rng.sample(range(200), changes):
+                own[place] = f"x{place}"
+            rows.append((len(rows), own))
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for _, w in rows]
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = [new if r == old else r for r in root]
+    want = {k for k, r in enumerate(root) if r == k}
+    frame = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string")
+    assert {r.doc_id for r in jaccard_join.first_of_each(frame).collect()} == want
+    assert 6 < len(want) < len(rows) - 20
+    closer = {r.doc_id for r in jaccard_join.first_of_each(frame, ngram=3, num=90, den=100).collect()}
+    assert len(closer) > len(want)
+
+
 def test_jaccard_groups_larger_than_a_tile(spark, monkeypatch, small_blocks):
     reachable(spark)
     import random
