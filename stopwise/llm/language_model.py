@@ -1,16 +1,16 @@
 """A hidden Markov language model, trained and applied in Spark.
 
-A token is a word or the end of a text. A state emits a class, and a class a
-word: the most frequent words are classes of their own, all others share
-classes by their last letters, in which a word has its share of the class's
-counts plus one, and one more part is kept for words never seen. So the
-probability of a text is that of its classes, summed exactly over all paths of states by
-the scaled forward recursion, times the words' shares.
+A token is a word or the end of a text. Each word has emissions of its own in every
+state: its expected counts there, plus a share that it has in common with the words of
+its ending, its last letters. An ending's share in a state is the expected number of its
+distinct words there, dealt evenly to those words and one more part, which is kept for
+words never seen. The probability of a text is summed exactly over all paths of states
+by the scaled forward recursion.
 
 * Blocks exchange word counts: each sends its distinct words with their
   training counts, a bucket adds them up and answers each block with the totals.
-* Baum-Welch counts are computed per block over whole training texts and
-  added across partitions; only tables of states times classes reach the driver.
+* Each round of Baum-Welch is such an exchange of expected counts per word and state.
+  Only tables of fixed size reach the driver: beginnings, moves, and sums by state and ending.
 
 Words are identified by 64-bit hashes.
 
@@ -32,17 +32,16 @@ from pyspark.sql import functions as F
 
 from stopwise.llm import blocks as B
 from stopwise.llm.hmm import Hmm, expected_counts, log10_likelihood
-from stopwise.llm.shared import stored
+from stopwise.llm.shared import held_packed, stored
 from stopwise.llm.textkit import LOWER, NOT_SPACE, Chunk, Hasher, binary_array, chunks, mix, words
 
 STATES = 6
 ROUNDS = 6
-FREQUENT = 4096  # words that are classes of their own
-ENDINGS = 2048  # classes of the other words
+ENDINGS = 2048  # classes of words by their last letters
 _HASHER = Hasher(6)
 _U = np.uint64
 
-# Classes: the end, then endings, then frequent words.
+# Symbols of a block: the end, then its distinct words.
 _END = 0
 
 
@@ -111,12 +110,43 @@ def _unsqueeze(packed: bytes) -> np.ndarray:
     return np.diff(B.unpack_ints(packed), prepend=0)
 
 
-_TOTALS = "block_id long, bucket long, bits binary, words long, tokens long, top binary, mass binary"
+_TOTALS = "block_id long, bucket long, bits binary, words long, tokens long, types binary, sums binary"
 
 
-def _totals(largest: int, table: pa.Table) -> pa.Table:
+def _shaken(hashes: np.ndarray, states: int) -> np.ndarray:
+    """Factors that shake each word's emissions apart, the same wherever it occurs."""
+    out = np.empty((len(hashes), states))
+    for k in range(states):
+        one, two = (
+            ((mix(hashes + _U(2 * k + j + 17)) >> _U(11)).astype(np.float64) + 1) / 2.0**53
+            for j in (0, 1)
+        )
+        out[:, k] = np.exp(0.7 * np.sqrt(-2 * np.log(one)) * np.cos(2 * np.pi * two))
+    return out
+
+
+def _first_expected(hashes: np.ndarray, counts: np.ndarray, states: int) -> np.ndarray:
+    return (counts[:, None] / states * _shaken(hashes, states)).astype("<f4")
+
+
+def _head(begin: np.ndarray, move: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return np.concatenate([begin[None, :], move, end[None, :]])
+
+
+def _summed(head: np.ndarray, expected: np.ndarray, endings: np.ndarray) -> bytes:
+    """Of one bucket: beginnings, moves, ends, expected words, and distinct words by ending."""
+    total = expected.sum(axis=1)
+    kinds = expected / np.where(total > 0, total, 1)[:, None]
+    by_ending = np.stack(
+        [np.bincount(endings, kinds[:, k], minlength=ENDINGS + 1) for k in range(expected.shape[1])],
+        axis=1,
+    )
+    return np.concatenate([head, expected.sum(axis=0)[None, :], by_ending]).astype("<f8").tobytes()
+
+
+def _totals(states: int, table: pa.Table) -> pa.Table:
     """Of one bucket: every block's words with their counts over all blocks; on one row
-    also the bucket's sums, most frequent words, and mass of each ending class."""
+    also the bucket's sums, its words by ending, and the sums of the first model."""
     keys = [np.frombuffer(x, _U) for x in table.column("keys").to_pylist()]
     some, first, number = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
     n = np.concatenate([_unsqueeze(x) for x in table.column("n").to_pylist()])
@@ -125,11 +155,9 @@ def _totals(largest: int, table: pa.Table) -> pa.Table:
     ends = np.cumsum([len(x) for x in keys])
     answers = [_squeeze(c[number[e - len(k) : e]]) for k, e in zip(keys, ends, strict=True)]
     known = c > 0
-    top = np.lexsort((some, -c))[:largest]
-    top = top[c[top] > 0]
-    mass = np.bincount(ending[known], c[known] + 1, minlength=ENDINGS + 1).astype(np.int64)
+    types = np.bincount(ending[known], minlength=ENDINGS + 1).astype(np.int64)
+    expected = _first_expected(some, c, states).astype(np.float64)
     rest = len(keys) - 1
-    packed = np.stack([some[top].view(np.int64), c[top], ending[top]], axis=1)
     return pa.table(
         {
             "block_id": table.column("block_id"),
@@ -137,8 +165,10 @@ def _totals(largest: int, table: pa.Table) -> pa.Table:
             "bits": binary_array(answers),
             "words": pa.array([int(known.sum())] + [0] * rest, pa.int64()),
             "tokens": pa.array([int(c.sum())] + [0] * rest, pa.int64()),
-            "top": binary_array([packed.tobytes()] + [b""] * rest),
-            "mass": binary_array([_squeeze(mass)] + [b""] * rest),
+            "types": binary_array([_squeeze(types)] + [b""] * rest),
+            "sums": binary_array(
+                [_summed(np.zeros((states + 2, states)), expected, ending)] + [b""] * rest
+            ),
         }
     )
 
@@ -150,153 +180,225 @@ class Vocabulary:
     texts: int  # training texts, and so ends
     words: int  # distinct words
     tokens: int  # words and ends
-    frequent: np.ndarray  # hashes of the words that are classes, sorted
-    mass: np.ndarray  # by ending class: counts plus one of its words, and one for unseen ones
-
-    @property
-    def classes(self) -> int:
-        return 1 + ENDINGS + len(self.frequent)
-
-    def classify(self, found: _Tokens) -> np.ndarray:
-        if not len(self.frequent):
-            return found.endings
-        place = np.minimum(np.searchsorted(self.frequent, found.hashes), len(self.frequent) - 1)
-        own = self.frequent[place] == found.hashes
-        return np.where(own, 1 + ENDINGS + place, found.endings)
+    types: np.ndarray  # distinct words by ending
 
 
-def _masses(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _types(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(ENDINGS + 1, np.int64)
     for batch in batches:
-        for packed in batch.column("mass").to_pylist():
-            if packed:
-                total += _unsqueeze(packed)
+        for packed in batch.column("types").to_pylist():
+            total += _unsqueeze(packed)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(np.arange(len(total))), pa.array(total)], names=["class", "mass"]
+        [pa.array(np.arange(len(total))), pa.array(total)], names=["ending", "types"]
     )
 
 
-def _tops(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = np.frombuffer(b"".join(batch.column("top").to_pylist()), np.int64).reshape(-1, 3)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.ascontiguousarray(rows[:, k])) for k in range(3)],
-            names=["hash", "n", "class"],
-        )
-
-
 def _vocabulary(answers: DataFrame, texts: int) -> Vocabulary:
     sums = answers.agg(F.sum("words"), F.sum("tokens")).first()
-    mass = np.ones(ENDINGS + 1, np.int64)
+    types = np.zeros(ENDINGS + 1, np.int64)
     for row in (
-        answers.where("length(mass) > 0").select("mass").mapInArrow(_masses, "class long, mass long")
-        .groupBy("class").agg(F.sum("mass").alias("mass")).collect()
+        answers.where("length(types) > 0").select("types").mapInArrow(_types, "ending long, types long")
+        .groupBy("ending").agg(F.sum("types").alias("types")).collect()
     ):
-        mass[row["class"]] += row["mass"]
-    top = (
-        answers.where("length(top) > 0").select("top")
-        .mapInArrow(_tops, "hash long, n long, class long")
-        .orderBy(F.desc("n"), "hash").limit(FREQUENT).collect()
-    )
-    for row in top:
-        mass[row["class"]] -= row["n"] + 1
-    frequent = np.sort(np.array([row["hash"] for row in top], np.int64).view(_U))
-    return Vocabulary(texts, sums[0] or 0, (sums[1] or 0) + texts, frequent, mass)
+        types[row["ending"]] = row["types"]
+    return Vocabulary(texts, sums[0] or 0, (sums[1] or 0) + texts, types)
 
 
-def _with_ends(classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    return np.insert(classes, np.cumsum(counts), _END)
+@dataclass(frozen=True)
+class WordModel:
+    """The parts of the model that do not grow with the vocabulary."""
+
+    begin: np.ndarray  # by state
+    move: np.ndarray  # state x state
+    end: np.ndarray  # emission of the end by state
+    share: np.ndarray  # ending x state: what each of its words has besides its own counts
+    total: np.ndarray  # by state: sum of all words' counts and shares, and of ends
+
+    def with_words(self, expected: np.ndarray, endings: np.ndarray) -> Hmm:
+        """The model over the end and the given words."""
+        emit = (expected + self.share[endings]) / self.total
+        return Hmm(self.begin, self.move, np.concatenate([self.end[None, :], emit]))
+
+
+def word_model(sums: np.ndarray, types: np.ndarray) -> WordModel:
+    """From sums of all buckets, laid out as by ``_summed``."""
+    states = sums.shape[1]
+    begin, move = sums[0] + 0.1, sums[1 : states + 1] + 0.1
+    end, counted = sums[states + 1] + 0.1, sums[states + 2]
+    # Every state keeps a little of every ending.
+    kinds = sums[states + 3 :] + 0.1 * (types + 1)[:, None] / states
+    kinds[0] = 0
+    total = counted + kinds.sum(axis=0) + end
+    return WordModel(
+        begin / begin.sum(),
+        move / move.sum(axis=1, keepdims=True),
+        end / total,
+        kinds / (types + 1)[:, None],
+        total,
+    )
 
 
-def _sequences(vocabulary: Vocabulary, block_id: int, batch: pa.RecordBatch):
-    """Classes of a block's training texts, two bytes each, and the texts' lengths."""
-    rows = pa.array(np.flatnonzero(_training(batch)))
-    found = _tokens(batch.take(rows))
-    classes = _with_ends(vocabulary.classify(found), found.counts)
+def _added(states: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros((states + 3 + ENDINGS + 1, states))
+    for batch in batches:
+        for packed in batch.column("sums").to_pylist():
+            total += np.frombuffer(packed, "<f8").reshape(total.shape)
     yield pa.RecordBatch.from_arrays(
-        [
-            binary_array([classes.astype("<u2").tobytes()]),
-            binary_array([(found.counts + 1).astype("<i8").tobytes()]),
-        ],
-        names=["classes", "lengths"],
+        [pa.array(np.arange(len(total)))]
+        + [pa.array(np.ascontiguousarray(total[:, k])) for k in range(states)],
+        names=["place", *(f"s{k}" for k in range(states))],
     )
 
 
-def _expectation(model, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A partition's Baum-Welch counts: (part, place, state values)."""
-    sums = None
-    for batch in batches:
-        for classes, lengths in zip(
-            batch.column("classes").to_pylist(), batch.column("lengths").to_pylist(), strict=True
-        ):
-            got = expected_counts(
-                model.value,
-                np.frombuffer(classes, "<u2").astype(np.int64),
-                np.frombuffer(lengths, "<i8"),
-            )
-            sums = got if sums is None else tuple(a + b for a, b in zip(sums, got, strict=True))
-    if sums is None:
-        return
-    begin, move, emit = sums
-    part = np.repeat([0, 1, 2], [1, len(move), len(emit)])
-    place = np.concatenate([[0], np.arange(len(move)), np.arange(len(emit))])
-    values = np.concatenate([begin[None, :], move, emit])
-    used = values.any(axis=1)
+def _all_sums(answers: DataFrame, states: int) -> np.ndarray:
+    names = [f"s{k}" for k in range(states)]
+    rows = (
+        answers.where("length(sums) > 0").select("sums")
+        .mapInArrow(partial(_added, states), "place long, " + ", ".join(f"{x} double" for x in names))
+        .groupBy("place").agg(*(F.sum(x).alias(x) for x in names))
+        .toArrow()
+    )
+    out = np.zeros((states + 3 + ENDINGS + 1, states))
+    out[rows.column("place").to_numpy()] = np.stack([rows.column(x).to_numpy() for x in names], axis=1)
+    return out
+
+
+@dataclass
+class _Words:
+    """A block's distinct words in order, and its tokens as numbers among them."""
+
+    found: _Tokens
+    some: np.ndarray
+    number: np.ndarray
+    bounds: np.ndarray  # by bucket
+    endings: np.ndarray
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch, count: int) -> _Words:
+        found = _tokens(batch)
+        some, number, _, bounds = B.distinct_keys(found.hashes, count)
+        endings = np.zeros(len(some), np.int64)
+        endings[number] = found.endings
+        return cls(found, some, number, bounds, endings)
+
+    def counts(self, answers: dict[int, bytes]) -> np.ndarray:
+        c = np.zeros(len(self.some), np.int64)
+        for bucket, packed in answers.items():
+            c[self.bounds[bucket] : self.bounds[bucket + 1]] = _unsqueeze(packed)
+        return c
+
+    def expected(self, answers: dict[int, bytes], states: int) -> np.ndarray:
+        out = np.zeros((len(self.some), states))
+        for bucket, packed in answers.items():
+            got = np.frombuffer(packed, "<f4").reshape(-1, states)
+            out[self.bounds[bucket] : self.bounds[bucket + 1]] = got
+        return out
+
+
+_SENT = "bucket long, block_id long, keys binary, expected binary, endings binary, head binary"
+
+
+def _expectation(count: int, first: bool, shared, block_id: int, batch: pa.RecordBatch, answers: dict[int, bytes]):
+    """A block's Baum-Welch counts over its training texts, by bucket of its words."""
+    model = shared.value
+    states = len(model.begin)
+    own = _Words.of(batch, count)
+    before = (
+        _first_expected(own.some, own.counts(answers), states) if first else own.expected(answers, states)
+    )
+    training = _training(batch)
+    used = np.repeat(training, own.found.counts)
+    lengths = own.found.counts[training]
+    begin, move, emit = expected_counts(
+        model.with_words(before, own.endings), _with_ends(1 + own.number[used], lengths), lengths + 1
+    )
+    # A block without words still has beginnings and ends.
+    parts = np.flatnonzero(np.diff(own.bounds)) if len(own.some) else np.zeros(1, np.int64)
+    cut = [slice(own.bounds[b], own.bounds[b + 1]) for b in parts]
+    expected, endings = emit[1:].astype("<f4"), own.endings.astype("<u2")
+    head = _head(begin, move, emit[_END]).astype("<f8").tobytes()
     yield pa.RecordBatch.from_arrays(
         [
-            pa.array(part[used]),
-            pa.array(place[used]),
-            *(pa.array(np.ascontiguousarray(values[used, k])) for k in range(values.shape[1])),
+            pa.array(parts, pa.int64()),
+            pa.array([block_id] * len(parts), pa.int64()),
+            binary_array([own.some[c].tobytes() for c in cut]),
+            binary_array([expected[c].tobytes() for c in cut]),
+            binary_array([endings[c].tobytes() for c in cut]),
+            binary_array([head] + [b""] * (len(parts) - 1)),
         ],
-        names=["part", "place", *(f"s{k}" for k in range(values.shape[1]))],
+        names=[x.split()[0] for x in _SENT.split(", ")],
     )
 
 
-def _first_model(states: int, share: np.ndarray, seed: int = 1) -> Hmm:
-    """States that stay, with class shares shaken apart."""
-    rng = np.random.default_rng(seed)
-    emit = share[:, None] * np.exp(0.7 * rng.standard_normal((len(share), states)))
-    move = np.full((states, states), 0.05 / max(1, states - 1))
-    np.fill_diagonal(move, 0.95 if states > 1 else 1.0)
-    return Hmm(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
+def _expected_totals(states: int, table: pa.Table) -> pa.Table:
+    """Of one bucket: every block's words with their expected counts over all blocks, and the sums."""
+    table = table.sort_by("block_id")
+    keys = [np.frombuffer(x, _U) for x in table.column("keys").to_pylist()]
+    some, first, number = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    got = np.concatenate(
+        [np.frombuffer(x, "<f4").reshape(-1, states) for x in table.column("expected").to_pylist()]
+    )
+    endings = np.concatenate([np.frombuffer(x, "<u2") for x in table.column("endings").to_pylist()])
+    expected = np.stack(
+        [np.bincount(number, got[:, k], minlength=len(some)) for k in range(states)], axis=1
+    )
+    head = np.zeros((states + 2, states))
+    for packed in table.column("head").to_pylist():
+        if packed:
+            head += np.frombuffer(packed, "<f8").reshape(head.shape)
+    short = expected.astype("<f4")
+    ends = np.cumsum([len(x) for x in keys])
+    answers = [short[number[e - len(k) : e]].tobytes() for k, e in zip(keys, ends, strict=True)]
+    return pa.table(
+        {
+            "block_id": table.column("block_id"),
+            "bucket": table.column("bucket"),
+            "bits": binary_array(answers),
+            "sums": binary_array([_summed(head, expected, endings[first])] + [b""] * (len(keys) - 1)),
+        }
+    )
 
 
-def train(sequences: DataFrame, classes: int, states: int = STATES, rounds: int = ROUNDS) -> Hmm:
-    """Baum-Welch over stored class sequences; each round is one pass over all of them."""
-    spark = sequences.sparkSession
-    names = [f"s{k}" for k in range(states)]
-    schema = "part long, place long, " + ", ".join(f"{x} double" for x in names)
-    model = _first_model(states, np.full(classes, 1 / classes))
-    share = None
-    for _ in range(rounds):
+def _with_ends(symbols: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    return np.insert(symbols, np.cumsum(counts), _END)
+
+
+def _first_model(counted: DataFrame, vocabulary: Vocabulary, states: int) -> WordModel:
+    """States that stay, with words shaken apart."""
+    sums = _all_sums(counted, states)
+    sums[0] = vocabulary.texts / states
+    move = np.full((states, states), 0.05 / max(1, states - 1))
+    np.fill_diagonal(move, 0.95 if states > 1 else 1.0)
+    sums[1 : states + 1] = move * vocabulary.tokens / states
+    sums[states + 1] = vocabulary.texts / states
+    return word_model(sums, vocabulary.types)
+
+
+def train(
+    held: DataFrame, counted: DataFrame, vocabulary: Vocabulary, count: int, states: int, rounds: int
+) -> tuple[WordModel, DataFrame | None]:
+    """Baum-Welch over stored blocks: the model, and the table of expected counts that
+    belongs to it. Each round is one pass over all training texts."""
+    spark = held.sparkSession
+    model, answers = _first_model(counted, vocabulary, states), None
+    for _ in range(rounds if vocabulary.texts else 0):
         shared = spark.sparkContext.broadcast(model)
-        rows = (
-            sequences.mapInArrow(partial(_expectation, shared), schema)
-            .groupBy("part", "place")
-            .agg(*(F.sum(x).alias(x) for x in names))
-            .toArrow()
+        before = counted if answers is None else answers
+        sent = B.answer_blocks(
+            held,
+            before.select("block_id", "bucket", "bits"),
+            partial(_expectation, count, answers is None, shared),
+            _SENT,
         )
-        shared.unpersist()
-        part, place = (rows.column(x).to_numpy() for x in ("part", "place"))
-        values = np.stack([rows.column(x).to_numpy() for x in names], axis=1)
-        begin = np.full(states, 0.1)
-        move, emit = np.full((states, states), 0.1), np.zeros((classes, states))
-        begin += values[part == 0].sum(axis=0)
-        move[place[part == 1]] += values[part == 1]
-        emit[place[part == 2]] = values[part == 2]
-        first = share is None
-        if first:
-            # The first pass also counts the classes themselves.
-            share = emit.sum(axis=1) + 0.5
-            share /= share.sum()
-        # Every state keeps a little of every class.
-        emit += 20 * share[:, None]
-        model = Hmm(
-            begin / begin.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0)
+        answers = held_packed(
+            sent.groupBy("bucket").applyInArrow(
+                lambda table: _expected_totals(states, table),
+                "block_id long, bucket long, bits binary, sums binary",
+            )
         )
-        if first:
-            model = Hmm(model.begin, model.move, _first_model(states, share).emit)
-    return model
+        shared.unpersist()
+        model = word_model(_all_sums(answers, states), vocabulary.types)
+    return model, answers
 
 
 SCORES = (
@@ -305,28 +407,29 @@ SCORES = (
 )
 
 
-def _score(count: int, shared, block_id: int, batch: pa.RecordBatch, answers: dict[int, bytes]):
+def _score(count: int, trained: bool, shared, block_id: int, batch: pa.RecordBatch, answers: dict[int, bytes]):
     vocabulary, model = shared.value
-    found = _tokens(batch)
-    some, number, _, bounds = B.distinct_keys(found.hashes, count)
-    c = np.zeros(len(some), np.int64)
-    for bucket, packed in answers.items():
-        c[bounds[bucket] : bounds[bucket + 1]] = _unsqueeze(packed)
-    c = c[number]
-    classes = vocabulary.classify(found)
+    states = len(model.begin)
+    own = _Words.of(batch, count)
+    found = own.found
+    # Expected counts come as buckets of higher numbers.
+    c = own.counts({k: x for k, x in answers.items() if k < count})
+    if trained:
+        expected = own.expected({k - count: x for k, x in answers.items() if k >= count}, states)
+    else:
+        expected = _first_expected(own.some, c, states)
+    c = c[own.number]
     rows = np.repeat(np.arange(batch.num_rows), found.counts)
     n_rows = batch.num_rows
 
     def per_row(values: np.ndarray) -> np.ndarray:
         return np.bincount(rows, values, minlength=n_rows)
 
-    plus_one = np.log10(c + 1)
-    shared_class = classes <= ENDINGS
-    within = np.where(shared_class, plus_one - np.log10(vocabulary.mass[np.minimum(classes, ENDINGS)]), 0)
     tokens = found.counts + 1
     floor = np.log10(vocabulary.tokens + vocabulary.words + (vocabulary.texts > 0) + 1)
-    base = per_row(plus_one) + np.log10(vocabulary.texts + 1) - tokens * floor
-    likely = log10_likelihood(model, _with_ends(classes, found.counts), tokens)
+    base = per_row(np.log10(c + 1)) + np.log10(vocabulary.texts + 1) - tokens * floor
+    hmm = model.with_words(expected, own.endings)
+    likely = log10_likelihood(hmm, _with_ends(1 + own.number, found.counts), tokens)
     yield pa.RecordBatch.from_arrays(
         [
             batch.column(B.ORDER),
@@ -335,7 +438,7 @@ def _score(count: int, shared, block_id: int, batch: pa.RecordBatch, answers: di
             pa.array((per_row(c > 0) + (vocabulary.texts > 0)).astype(np.int64)),
             pa.array(np.full(n_rows, vocabulary.tokens, np.int64)),
             pa.array(base),
-            pa.array(likely + per_row(within)),
+            pa.array(likely),
         ],
         names=[x.split()[0] for x in SCORES.split(", ")],
     )
@@ -358,19 +461,13 @@ def scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> DataF
         partial(_send, count),
         "bucket long, block_id long, keys binary, n binary, endings binary",
     )
-    largest = 16 + 4 * FREQUENT // count
-    answers = stored(
-        sent.groupBy("bucket").applyInArrow(lambda table: _totals(largest, table), _TOTALS)
+    counted = stored(
+        sent.groupBy("bucket").applyInArrow(lambda table: _totals(states, table), _TOTALS)
     )
-    vocabulary = _vocabulary(answers, texts)
-    if texts:
-        sequences = stored(
-            B.map_blocks(held, partial(_sequences, vocabulary), "classes binary, lengths binary")
-        )
-        model = train(sequences, vocabulary.classes, states, rounds)
-    else:
-        model = _first_model(states, np.full(vocabulary.classes, 1 / vocabulary.classes))
+    vocabulary = _vocabulary(counted, texts)
+    model, answers = train(held, counted, vocabulary, count, states, rounds)
     shared = spark.sparkContext.broadcast((vocabulary, model))
-    return B.answer_blocks(
-        held, answers.select("block_id", "bucket", "bits"), partial(_score, count, shared), SCORES
-    )
+    known = counted.select("block_id", "bucket", "bits")
+    if answers is not None:
+        known = known.union(answers.select("block_id", F.col("bucket") + count, "bits"))
+    return B.answer_blocks(held, known, partial(_score, count, answers is not None, shared), SCORES)

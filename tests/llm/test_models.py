@@ -159,6 +159,42 @@ def test_scores_and_base(spark, docs, monkeypatch):
     assert language_model.scores(empty, rounds=1).count() == 0
 
 
+def test_rare_words_have_emissions_of_their_own(spark, monkeypatch):
+    """Two topics over 6000 words each that share their endings: only the words tell them apart."""
+    reachable(spark)
+    monkeypatch.setattr(blocks.store_blocks, "__defaults__", (60_000,))
+    rng = random.Random(8)
+    rows = []
+    for doc_id in range(600):
+        topic = "ab"[doc_id % 2]
+        rows.append((doc_id, " ".join(f"{topic}{rng.randrange(6000)}xyz" for _ in range(200)), doc_id >= 540))
+    for doc_id in (600, 601, 602):
+        # Halves of one topic or of two.
+        own = [f"{t}{rng.randrange(6000)}xyz" for t in ("ab" * 100 if doc_id == 602 else "ab"[doc_id % 2] * 200)]
+        rows.append((doc_id, " ".join(own), True))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean").repartition(3)
+    found = {r.doc_id: r for r in language_model.scores(frame).collect()}
+    # A topic has half of the words, so knowing it is worth a factor of two a word.
+    gains = [(found[k].score - found[k].base_score) / found[k].n_tokens for k in range(540, 602)]
+    assert min(gains) > 0.15
+    mixed = found[602]
+    assert (mixed.score - mixed.base_score) / mixed.n_tokens < 0
+
+
+def test_word_emissions_sum_to_one():
+    rng = np.random.default_rng(2)
+    states, kinds = 3, language_model.ENDINGS + 1
+    endings = rng.integers(1, kinds, 500)
+    expected = rng.random((500, states)) * 4
+    types = np.bincount(endings, minlength=kinds)
+    head = rng.random((states + 2, states))
+    sums = np.frombuffer(language_model._summed(head, expected, endings)).reshape(-1, states)
+    model = language_model.word_model(sums, types)
+    known = model.with_words(expected, endings).emit.sum(axis=0)
+    unseen = model.with_words(np.zeros((kinds - 1, states)), np.arange(1, kinds)).emit[1:].sum(axis=0)
+    assert known + unseen == pytest.approx(np.ones(states))
+
+
 def test_model_beats_base_on_held_out_texts(spark):
     reachable(spark)
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn(
