@@ -23,7 +23,8 @@ Only memberships leave a tile, at most one per row, never its pairs.
 
 Defined cases: a null or empty text has no shingles and is linked with nothing; rows
 of the same id are documents of their own; a missing id is no component's smallest
-unless all are missing. Other columns are ignored.
+unless all are missing. Other columns are ignored. ``first_of_each`` decides per row: of
+linked rows with the smallest id it keeps one, that of the smallest text hash.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopwise.llm import blocks as B
@@ -179,13 +180,14 @@ def _rows(ngram: int, num: int, den: int, count: int, block_id: int, batch: pa.R
     yield pa.RecordBatch.from_arrays(
         [
             batch.column(B.ORDER),
+            batch.column(B.HASH),
             pa.array(size.astype(np.int64)),
             pa.array(one.view(np.int64)),
             pa.array(two.view(np.int64)),
             listed,
             pa.array(sets, pa.binary()),
         ],
-        names=["doc_id", "n", "one", "two", "keys", "shingles"],
+        names=["doc_id", "text_hash", "n", "one", "two", "keys", "shingles"],
     )
 
 
@@ -254,8 +256,9 @@ def _multiply(num: int, den: int, table: pa.Table) -> pa.Table:
     return pa.table({"node": pa.array(node[some]), "key": pa.array(out[some])})
 
 
-def linked_documents(docs: DataFrame, ngram: int = NGRAM, num: int = NUM, den: int = DEN) -> DataFrame:
-    """Per document: doc_id, n_shingles and component_id, the smallest id reachable by links."""
+def _linked(docs: DataFrame, ngram: int, num: int, den: int) -> DataFrame:
+    """Per document: doc_id, text_hash, n, and first, the (missing, doc_id, text_hash) that
+    comes first of its component; null for a document without words."""
     only = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     held = B.store_blocks(only)
     size = held.agg(F.sum("bytes")).first()[0] or 0
@@ -266,14 +269,15 @@ def linked_documents(docs: DataFrame, ngram: int = NGRAM, num: int = NUM, den: i
             held,
             B.shared_keys(sent),
             partial(_rows, ngram, num, den, count),
-            "doc_id long, n long, one long, two long, keys array<long>, shingles binary",
+            "doc_id long, text_hash long, n long, one long, two long, keys array<long>, shingles binary",
         ).withColumn("row", F.monotonically_increasing_id())
     )
     same = ("n", "one", "two")
     # Documents without words are not equal to each other.
     classes = stored(
         rows.where("n > 0").groupBy(*same).agg(
-            F.min("row").alias("node"), F.min("doc_id").alias("least")
+            F.min("row").alias("node"),
+            F.min(F.struct(F.isnull("doc_id").alias("missing"), "doc_id", "text_hash")).alias("least"),
         )
     )
     kept = held_packed(
@@ -315,19 +319,42 @@ def linked_documents(docs: DataFrame, ngram: int = NGRAM, num: int = NUM, den: i
     labelled = classes.join(found, "node", "left").withColumn(
         "label", F.coalesce("label", "node")
     )
-    least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = labelled.join(least, "label").select(*same, "component_id")
-    return rows.join(named, list(same), "left").select(
+    least = labelled.groupBy("label").agg(F.min("least").alias("first"))
+    named = labelled.join(least, "label").select(*same, "first")
+    return rows.join(named, list(same), "left").select("doc_id", "text_hash", "n", "first")
+
+
+def linked_documents(docs: DataFrame, ngram: int = NGRAM, num: int = NUM, den: int = DEN) -> DataFrame:
+    """Per document: doc_id, n_shingles and component_id, the smallest id reachable by links."""
+    return _linked(docs, ngram, num, den).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce("first.doc_id", "doc_id").alias("component_id"),
     )
 
 
 def first_of_each(
     docs: DataFrame, ngram: int = STAGE_NGRAM, num: int = STAGE_NUM, den: int = STAGE_DEN
 ) -> DataFrame:
-    """The documents that are the smallest id of their component."""
-    found = linked_documents(docs, ngram, num, den)
-    gone = found.where("doc_id <> component_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each component, with the smallest id, and all rows without words."""
+    kinds = (
+        _linked(docs, ngram, num, den)
+        .where("first IS NOT NULL")
+        .groupBy("doc_id", "text_hash")
+        .agg(F.count("*").alias("times"), F.min("first").alias("first"))
+        .withColumn(
+            "gone",
+            ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))),
+        )
+        .where("gone OR times > 1")
+    )
+    marked = stored(kinds.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "gone"))
+    text_hash = F.xxhash64(docs["text"].cast("string"))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("id")) & (text_hash == F.col("hash"))
+    once = docs.join(marked, same, "left_anti").select(*docs.columns)
+    # Of a row that repeats, one; the limit on the rank holds before the exchange as well.
+    rank = F.row_number().over(
+        Window.partitionBy("id", "hash").orderBy(F.to_json(F.struct(*(docs[x] for x in docs.columns))))
+    )
+    repeated = docs.join(marked.where("NOT gone"), same).withColumn(B.ORDER, rank).where(F.col(B.ORDER) == 1)
+    return once.unionByName(repeated.select(*(docs[x] for x in docs.columns)))

@@ -189,6 +189,23 @@ def test_first_of_each_at_five_words_and_four_fifths(spark):
     assert len(closer) > len(want)
 
 
+def test_first_of_each_decides_per_row(spark):
+    """Repeated rows, missing ids, and one id with two texts."""
+    reachable(spark)
+    one, two, three, four = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
+    rows = [
+        (1, one, "p"), (2, two, "p"), (2, one, "p"),  # the second text of 2 is a copy of 1, the first is none
+        (3, three, "p"), (3, three, "p"), (3, three, "q"),
+        (None, two, "p"), (None, four, "p"), (None, four, "p"),
+        (4, "", "p"), (4, "", "p"), (None, None, "p"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    found = jaccard_join.first_of_each(frame)
+    assert found.columns == frame.columns
+    want = [(1, one, "p"), (2, two, "p"), (3, three, "p"), (None, four, "p"), (4, "", "p"), (4, "", "p"), (None, None, "p")]
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_jaccard_groups_larger_than_a_tile(spark, monkeypatch, small_blocks):
     reachable(spark)
     import random
