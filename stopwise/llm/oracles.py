@@ -136,3 +136,26 @@ SELECT b.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes,
          AS kept_sha256
 FROM bytes b LEFT JOIN gone g USING (doc_id)
 """
+
+HARD_NEGATIVES = r"""
+WITH used AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS codes
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), scored AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, a.label = c.label AS alike, c.r, c.vec_id,
+         CAST(list_inner_product(a.codes, c.codes) AS BIGINT) AS score
+  FROM used a JOIN used c ON a.r <> c.r WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor, r, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, r) <= 5
+)
+SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+       CAST(row_number() OVER (PARTITION BY anchor, p.r ORDER BY score DESC, vec_id, s.r) AS INTEGER) AS rank
+FROM scored s JOIN positives p USING (anchor)
+WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""

@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import byte_dedup, chat_format, decontaminate, fingerprints, jaccard_join, language_id, language_model, oracles, packing, substring_dedup, url_filter
+from stopwise.llm import (
+    byte_dedup,
+    chat_format,
+    decontaminate,
+    fingerprints,
+    hard_negatives,
+    jaccard_join,
+    language_id,
+    language_model,
+    oracles,
+    packing,
+    substring_dedup,
+    url_filter,
+)
 from stopwise.llm.shared import crc_remainder, reachable
 
 
@@ -128,6 +141,20 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 100th vector is an anchor; every 7th one has the next label."""
+    label = F.col("label").cast("long")
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id",
+        F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+        "embedding",
+        (F.col("vec_id") % 100 == 0).alias("anchor"),
+    )
+    return hard_negatives.mine(vectors).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"
+    )
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_fingerprints": op2_fingerprints,
@@ -139,6 +166,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_chat_format": op9_chat_format,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
@@ -147,4 +175,5 @@ ORACLES: dict[str, str] = {
     "op7_byte_dedup": oracles.BYTE_DEDUP,
     "op9_chat_format": oracles.CHAT_FORMAT,
     "op10_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op11_hard_negatives": oracles.HARD_NEGATIVES,
 }
