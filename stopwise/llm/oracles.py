@@ -159,3 +159,60 @@ FROM scored s JOIN positives p USING (anchor)
 WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 QUALIFY rank <= 10
 """
+
+# The heads' lengths need crc32, which is spelled out over the bits of each digit's byte.
+PREFIX_TRIE = r"""
+WITH RECURSIVE turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n
+  FROM conversations WHERE conv_id IS NOT NULL
+), crc(conv_id, name, k, value) AS (
+  SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR), 0, 4294967295 FROM turns
+  UNION ALL
+  SELECT conv_id, name, k + 1,
+         list_reduce(list_prepend(xor(value, CAST(ascii(substr(name, k + 1, 1)) AS BIGINT)),
+                                  [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                     lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)
+  FROM crc WHERE k < length(name)
+), heads AS (
+  SELECT conv_id, xor(value, 4294967295) % 6 AS h FROM crc WHERE k = length(name)
+), rebuilt AS (
+  SELECT c.conv_id, t.role, t.text, t.n AS place
+  FROM heads c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 100 AND t.n <= c.h
+  UNION ALL
+  SELECT c.conv_id, t.role, t.text, 1000000 + t.n
+  FROM heads c JOIN turns t ON t.conv_id = c.conv_id AND t.n > c.h
+), paths AS (
+  SELECT conv_id, length(text) AS chars,
+         row_number() OVER (PARTITION BY conv_id ORDER BY place) AS depth,
+         md5(length(role)::VARCHAR || ':' || role || ':' || text) AS one
+  FROM rebuilt
+), named AS (
+  SELECT conv_id, depth, chars,
+         md5(string_agg(one, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS node
+  FROM paths
+  UNION ALL SELECT conv_id, 0, 0, '' FROM heads
+), linked AS (
+  SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS up,
+         lead(node) OVER (PARTITION BY conv_id ORDER BY depth) IS NULL AS ends
+  FROM named
+), nodes AS (
+  SELECT node, depth, min(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * min(chars) AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+                         FILTER (ends), '')) AS ends_sha256
+  FROM linked GROUP BY node, depth
+), children AS (
+  SELECT up AS node, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1, 2
+), valued AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children c USING (node, depth)
+), totals AS (
+  SELECT a.node, a.depth, sum(CASE WHEN v.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+         sum(v.saved) AS saved_tokens
+  FROM valued v JOIN named a ON a.conv_id = v.conv_id AND a.depth <= v.depth GROUP BY 1, 2
+)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM valued v JOIN totals t ON t.node = v.node AND t.depth = v.depth
+LEFT JOIN nodes p ON p.node = v.up AND p.depth = v.depth - 1
+"""

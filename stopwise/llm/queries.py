@@ -16,6 +16,7 @@ from stopwise.llm import (
     language_model,
     oracles,
     packing,
+    prefix_trie,
     substring_dedup,
     url_filter,
 )
@@ -155,6 +156,17 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rebuilt(sums: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conversations that begin like the one with the next lower multiple of 100 as its id."""
+    conv = F.col("conv_id")
+    return prefix_trie.rebuilt_paths(sums, crc_remainder(conv, 6), conv - conv % 100, 5)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return prefix_trie.trie(*rebuilt(prefix_trie.prefix_sums(turns)))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_fingerprints": op2_fingerprints,
@@ -167,6 +179,7 @@ QUERIES = {
     "op9_chat_format": op9_chat_format,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_hard_negatives": op11_hard_negatives,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -176,4 +189,5 @@ ORACLES: dict[str, str] = {
     "op9_chat_format": oracles.CHAT_FORMAT,
     "op10_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op11_hard_negatives": oracles.HARD_NEGATIVES,
+    "op13_prefix_trie": oracles.PREFIX_TRIE,
 }
