@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopwise.llm import (
+    bpe,
     byte_dedup,
     chat_format,
     decontaminate,
@@ -156,6 +157,16 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def public_tokenizer() -> bpe.Tokenizer:
+    import public_tokenizers
+
+    return bpe.Tokenizer(public_tokenizers.path("byte_bpe_50k.json"), ranks_path())
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizer())
+
+
 def rebuilt(sums: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Conversations that begin like the one with the next lower multiple of 100 as its id."""
     conv = F.col("conv_id")
@@ -179,6 +190,7 @@ QUERIES = {
     "op9_chat_format": op9_chat_format,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_bpe": op12_bpe,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
