@@ -12,8 +12,8 @@ pair lies in the window or in a half that was right before, so the result is exa
 
 Decoding looks up the bytes of each id; bytes that are not UTF-8 become U+FFFD.
 
-Documents that may have a long piece, or have a special token's string, are found by a pattern
-in the JVM; only they are cut here and shuffled. A document's ids meet in one task in the
+Documents that may have a long piece, or have a special token's string, are found by the places
+where words begin; only they are cut here and shuffled. A document's ids meet in one task in the
 end, as they are one row of the result.
 
 Defined cases: a null text is empty and has no ids; the string of a special token is that token,
@@ -35,10 +35,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stopwise.llm.shared import held_packed, partitions
-from stopwise.llm.textkit import binary_array, chunks
+from stopwise.llm.textkit import SPACES, Chunk, binary_array, chunks
 from stopwise.llm.tokens import PATTERN, tokens
 
-LEAF = 1 << 12  # bytes; a quarter as many code points are never more
+LEAF = 1 << 12  # bytes
 # White space as the tokenizer has it, and its pattern in these terms.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CUT = (
@@ -171,14 +171,58 @@ def vocabulary(path: str) -> Vocabulary:
 
 # --- in Spark ------------------------------------------------------------------------------
 
+# Bytes that are white space in no place of a character: visible ASCII, first bytes of letters.
+_VISIBLE = np.zeros(256, bool)
+_VISIBLE[33:127] = _VISIBLE[0xC3:0xE0] = True
+
+
+def by_hand(chunk: Chunk, leaf: int, contents: list[bytes]) -> np.ndarray:
+    """Rows of a chunk that may have a piece longer than a leaf, or have one of the contents.
+
+    A piece never goes on from ASCII white space to a visible character, but for one space
+    that it may begin with, so it is no longer than from one such place to the next.
+    """
+    data, offsets = chunk.data, chunk.offsets
+    out = np.zeros(len(chunk), bool)
+    starts = np.flatnonzero(SPACES[data[:-1]] & _VISIBLE[data[1:]]) + 1
+    places = np.union1d(starts, offsets)
+    wide = places[:-1][np.diff(places) >= leaf]
+    out[np.searchsorted(offsets, wide, "right") - 1] = True
+    whole = data.tobytes() if contents else b""
+    for content in contents:
+        at = whole.find(content)
+        while at >= 0:
+            out[np.searchsorted(offsets, at, "right") - 1] = True
+            at = whole.find(content, at + 1)
+    return out
+
+
+@dataclass(frozen=True)
+class Tokenizer:
+    """Files of one public vocabulary, the tokenizer's JSON file and the same as ranks; whether
+    special strings are tokens; and the longest piece that is encoded at once."""
+
+    path: str
+    ranks_path: str
+    special: bool = True
+    leaf: int = LEAF
+
+    def sides(self, batch: pa.RecordBatch) -> np.ndarray:
+        """Which rows of a batch are cut by hand."""
+        contents = [x.encode() for x in vocabulary(self.path).special] if self.special else []
+        found = [by_hand(chunk, self.leaf, contents) for chunk in chunks(batch.column("text"))]
+        return np.concatenate(found) if found else np.zeros(0, bool)
+
+
 _IDS = "doc_id long, ids binary"
 _PARTS = "row long, doc_id long, part long, leaf long, ids binary, bytes binary"
 
 
-def _plain(ranks_path: str, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _plain(files: Tokenizer, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents whose pieces are all short."""
-    known = tokens(ranks_path)
+    known = tokens(files.ranks_path)
     for batch in batches:
+        batch = batch.filter(pa.array(~files.sides(batch)))
         doc_id = batch.column("doc_id")
         for chunk in chunks(batch.column("text")):
             ids, bounds = known.encode(chunk)
@@ -190,27 +234,28 @@ def _plain(ranks_path: str, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Re
             )
 
 
-def _cut(path: str, leaf: int, special: bool, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents as parts: ids of runs of short pieces, and leaves of long pieces."""
-    known = vocabulary(path)
+def _cut(files: Tokenizer, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The other documents as parts: ids of runs of short pieces, and leaves of long pieces."""
+    known = vocabulary(files.path)
     names = [x.split()[0] for x in _PARTS.split(", ")]
     for batch in batches:
+        batch = batch.filter(pa.array(files.sides(batch)))
         rows, doc_ids = batch.column("row").to_pylist(), batch.column("doc_id").to_pylist()
         for chunk in chunks(batch.column("text")):
             for k in range(len(chunk)):
                 own = rows[chunk.first + k], doc_ids[chunk.first + k]
                 out: list[tuple] = []
                 ids: list[int] = []
-                for piece in known.pieces(chunk.text(k).decode("utf-8", "replace"), special):
+                for piece in known.pieces(chunk.text(k).decode("utf-8", "replace"), files.special):
                     if isinstance(piece, int):
                         ids.append(piece)
-                    elif len(data := piece.encode()) <= leaf:
+                    elif len(data := piece.encode()) <= files.leaf:
                         ids += known.short(piece)
                     else:
                         part = out[-1][2] + 1 if out else 0
                         out.append((*own, part, 0, np.array(ids, "<u4").tobytes(), None))
                         ids = []
-                        out += [(*own, part + 1, n, None, x) for n, x in enumerate(halves(data, leaf))]
+                        out += [(*own, part + 1, n, None, x) for n, x in enumerate(halves(data, files.leaf))]
                 out.append((*own, out[-1][2] + 1 if out else 0, 0, np.array(ids, "<u4").tobytes(), None))
                 columns = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays(
@@ -249,33 +294,10 @@ def _assembled(path: str, table: pa.Table) -> pa.Table:
     )
 
 
-@dataclass(frozen=True)
-class Tokenizer:
-    """Files of one public vocabulary: the tokenizer's JSON file, and the same as ranks."""
-
-    path: str
-    ranks_path: str
-
-    def cut_by_hand(self, text: Column, special: bool, leaf: int) -> Column:
-        """Whether a text may have a piece longer than a leaf, or a special token."""
-        most = max(1, leaf // 4)
-        found = text.rlike(f"[{SPACE}]{{{most}}}|[^{SPACE}]{{{most}}}")
-        for content in specials(self.path) if special else ():
-            found = found | text.contains(content)
-        return F.coalesce(found, F.lit(False))
-
-
-def specials(path: str) -> list[str]:
-    with open(path, encoding="utf-8") as file:
-        return [x["content"] for x in json.load(file)["added_tokens"]]
-
-
-def _assembled_rows(texts: DataFrame, files: Tokenizer, special: bool, leaf: int) -> DataFrame:
+def _assembled_rows(texts: DataFrame, files: Tokenizer) -> DataFrame:
     spark = texts.sparkSession
     parts = held_packed(
-        texts.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-            partial(_cut, files.path, leaf, special), _PARTS
-        )
+        texts.withColumn("row", F.monotonically_increasing_id()).mapInArrow(partial(_cut, files), _PARTS)
     )
     # Every leaf is dealt by itself, so a long piece is encoded by many tasks.
     leaves = parts.repartition(partitions(spark), "row", "part", "leaf").mapInArrow(
@@ -284,25 +306,19 @@ def _assembled_rows(texts: DataFrame, files: Tokenizer, special: bool, leaf: int
     return leaves.groupBy("row").applyInArrow(lambda table: _assembled(files.path, table), _IDS)
 
 
-def _each(
-    docs: DataFrame, files: Tokenizer, special: bool, leaf: int, after: Callable, schema: str
-) -> DataFrame:
+def _each(docs: DataFrame, files: Tokenizer, after: Callable, schema: str) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    by_hand = files.cut_by_hand(F.col("text"), special, leaf)
-    plain = texts.where(~by_hand).mapInArrow(
-        lambda batches: after(_plain(files.ranks_path, batches)), schema
-    )
-    cut = _assembled_rows(texts.where(by_hand), files, special, leaf).mapInArrow(after, schema)
-    return plain.unionByName(cut)
+    plain = texts.mapInArrow(lambda batches: after(_plain(files, batches)), schema)
+    return plain.unionByName(_assembled_rows(texts, files).mapInArrow(after, schema))
 
 
 def _as_they_are(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from batches
 
 
-def encode(docs: DataFrame, files: Tokenizer, special: bool = True, leaf: int = LEAF) -> DataFrame:
+def encode(docs: DataFrame, files: Tokenizer) -> DataFrame:
     """(doc_id, ids): ids of each row as little-endian unsigned 32-bit numbers, for rows (doc_id, text)."""
-    return _each(docs, files, special, leaf, _as_they_are, _IDS)
+    return _each(docs, files, _as_they_are, _IDS)
 
 
 def _decoded(path: str, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,7 +363,7 @@ def _digests(path: str, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Record
         )
 
 
-def digests(docs: DataFrame, files: Tokenizer, special: bool = True, leaf: int = LEAF) -> DataFrame:
+def digests(docs: DataFrame, files: Tokenizer) -> DataFrame:
     """Per row doc_id, n_tokens, and SHA-256 of its ids and of the text decoded from them; ids of
     documents without long pieces never leave the task that makes them."""
-    return _each(docs, files, special, leaf, partial(_digests, files.path), _DIGESTS)
+    return _each(docs, files, partial(_digests, files.path), _DIGESTS)

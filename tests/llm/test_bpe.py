@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -38,7 +39,8 @@ def expected(texts, special=True):
 
 def encoded(spark, texts, **settings_):
     rows = [(k, t, 1, "x", 2) for k, t in enumerate(texts)]
-    found = bpe.encode(spark.createDataFrame(rows, SCHEMA).repartition(3), FILES, **settings_)
+    files = replace(FILES, **settings_)
+    found = bpe.encode(spark.createDataFrame(rows, SCHEMA).repartition(3), files)
     by_id = {r["doc_id"]: np.frombuffer(bytes(r["ids"]), "<u4").tolist() for r in found.collect()}
     return [by_id[k] for k in range(len(texts))]
 
@@ -50,6 +52,7 @@ def long_texts():
         "ab" * 5000 + " " + "the" * 4000,
         "".join(rng.choice("aeinrst") for _ in range(20_000)),
         " " * 7000 + "x" + "\u3000 " * 3000,
+        "\u00a0 " * 4000 + "\x1c " * 4000 + "\x85\u2003" * 3000 + " a" * 3000,
         "".join(rng.choice("日本語漢字仮名") for _ in range(6000)),
         "12" * 5000 + "!?" * 5000 + "\n" * 5000,
         "word " * 3000 + "<|endoftext|>" + "z" * 5000 + "<|endoftext|><|endoftext|>" + "é" * 5000,
