@@ -29,7 +29,7 @@ ORDER, HASH = "\u00b7order", "\u00b7hash"
 BUCKET_KEYS = 1 << 21
 
 
-def _write(table: pa.Table) -> bytes:
+def write_table(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     options = pa.ipc.IpcWriteOptions(compression="zstd")
     with pa.ipc.new_stream(sink, table.schema, options=options) as writer:
@@ -58,7 +58,7 @@ def _pack(block_bytes: int):
                     null_placement="at_start",
                 )
             )
-            packed = _write(table)
+            packed = write_table(table)
             return pa.RecordBatch.from_arrays(
                 [pa.array([size], pa.int64()), binary_array([packed])], names=["bytes", "block"]
             )

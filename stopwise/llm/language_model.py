@@ -8,9 +8,14 @@ words never seen. The probability of a text is summed exactly over all paths of
 by the scaled forward recursion.
 
 * Blocks exchange word counts: each sends its distinct words with their
-  training counts, a bucket adds them up and answers each block with the totals.
-* Each round of Baum-Welch is such an exchange of expected counts per word and state.
-  Only tables of fixed size reach the driver: beginnings, moves, and sums by state and ending.
+  training counts, a bucket adds them up and answers each block with the totals and with
+  each word's number in the bucket. Then a block is stored as numbers of its words; texts
+  are not read again.
+* Each round of Baum-Welch is an exchange of expected counts per word and state. Keys
+  do not travel again, numbers do. A word's count in a state travels as its share of the word's whole
+  count, which both sides know, in steps of 1/65535. An ending is sent by one block.
+* A round's table replaces that of the round before. Only tables of fixed size reach the
+  driver: beginnings, moves, and sums by state and ending.
 
 Words are identified by 64-bit hashes.
 
@@ -27,12 +32,13 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopwise.llm import blocks as B
 from stopwise.llm.hmm import Hmm, expected_counts, log10_likelihood
-from stopwise.llm.shared import held_packed, stored
+from stopwise.llm.shared import delete, held_packed, reclaim, stored, stored_until
 from stopwise.llm.textkit import LOWER, NOT_SPACE, Chunk, Hasher, binary_array, chunks, mix, words
 
 STATES = 6
@@ -110,7 +116,46 @@ def _unsqueeze(packed: bytes) -> np.ndarray:
     return np.diff(B.unpack_ints(packed), prepend=0)
 
 
-_TOTALS = "block_id long, bucket long, bits binary, words long, tokens long, types binary, sums binary"
+# --- packed arrays -------------------------------------------------------------------------
+
+
+def _arrays(**values: np.ndarray) -> bytes:
+    """Arrays of any lengths as one compressed row."""
+    return B.write_table(pa.table({name: pa.array([x]) for name, x in values.items()}))
+
+
+def _from_arrays(packed: bytes) -> dict[str, np.ndarray]:
+    batch = B.read_block(packed)
+    return {
+        name: column.flatten().to_numpy(zero_copy_only=False)
+        for name, column in zip(batch.schema.names, batch.columns, strict=True)
+    }
+
+
+_STEPS = 65535
+
+
+def _shares(expected: np.ndarray) -> bytes:
+    """Which part of each word's count is in each state but the last, state by state."""
+    total = expected.sum(axis=1, keepdims=True)
+    part = np.divide(expected, total, out=np.zeros_like(expected), where=total > 0)
+    steps = np.rint(part[:, :-1].T * _STEPS).astype("<u2")
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(steps).tobytes())
+
+
+def _from_shares(packed: bytes, counts: np.ndarray, states: int) -> np.ndarray:
+    """The counts dealt to states again."""
+    steps = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), "<u2")
+    part = np.empty((len(counts), states))
+    part[:, :-1] = steps.reshape(states - 1, -1).T
+    part[:, -1] = np.maximum(0, _STEPS - part[:, :-1].sum(axis=1))
+    return part * (counts / part.sum(axis=1))[:, None]
+
+
+_TOTALS = (
+    "block_id long, bucket long, known binary, bits binary, words long, tokens long, "
+    "types binary, sums binary"
+)
 
 
 def _shaken(hashes: np.ndarray, states: int) -> np.ndarray:
@@ -126,7 +171,8 @@ def _shaken(hashes: np.ndarray, states: int) -> np.ndarray:
 
 
 def _first_expected(hashes: np.ndarray, counts: np.ndarray, states: int) -> np.ndarray:
-    return (counts[:, None] / states * _shaken(hashes, states)).astype("<f4")
+    parts = _shaken(hashes, states)
+    return counts[:, None] * parts / parts.sum(axis=1, keepdims=True)
 
 
 def _head(begin: np.ndarray, move: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -145,25 +191,41 @@ def _summed(head: np.ndarray, expected: np.ndarray, endings: np.ndarray) -> byte
 
 
 def _totals(states: int, table: pa.Table) -> pa.Table:
-    """Of one bucket: every block's words with their counts over all blocks; on one row
-    also the bucket's sums, its words by ending, and the sums of the first model."""
+    """Of one bucket: to every block its words' counts over all blocks, their numbers among the
+    bucket's trained words, whether the block is the first that has the word for training, and
+    the first model's shares; on one row also the bucket's sums and words by ending."""
+    table = table.sort_by("block_id")
     keys = [np.frombuffer(x, _U) for x in table.column("keys").to_pylist()]
     some, first, number = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
     n = np.concatenate([_unsqueeze(x) for x in table.column("n").to_pylist()])
     ending = np.concatenate([_unsqueeze(x) for x in table.column("endings").to_pylist()])[first]
     c = np.bincount(number, n, minlength=len(some)).astype(np.int64)
-    ends = np.cumsum([len(x) for x in keys])
-    answers = [_squeeze(c[number[e - len(k) : e]]) for k, e in zip(keys, ends, strict=True)]
-    known = c > 0
-    types = np.bincount(ending[known], minlength=ENDINGS + 1).astype(np.int64)
-    expected = _first_expected(some, c, states).astype(np.float64)
+    trained = c > 0
+    place = np.cumsum(trained) - 1
+    used = np.flatnonzero(n > 0)
+    owner = np.zeros(len(number), bool)
+    owner[used[np.unique(number[used], return_index=True)[1]]] = True
+    expected = _first_expected(some, c, states)
+    known, answers = [], []
+    end = 0
+    for key in keys:
+        own = slice(end, end + len(key))
+        end += len(key)
+        mine = number[own]
+        had = trained[mine]
+        known.append(
+            _arrays(c=c[mine].astype(np.int64), place=place[mine[had]].astype(np.int64), owner=owner[own][had])
+        )
+        answers.append(_shares(expected[mine[had]]))
+    types = np.bincount(ending[trained], minlength=ENDINGS + 1).astype(np.int64)
     rest = len(keys) - 1
     return pa.table(
         {
             "block_id": table.column("block_id"),
             "bucket": table.column("bucket"),
+            "known": binary_array(known),
             "bits": binary_array(answers),
-            "words": pa.array([int(known.sum())] + [0] * rest, pa.int64()),
+            "words": pa.array([int(trained.sum())] + [0] * rest, pa.int64()),
             "tokens": pa.array([int(c.sum())] + [0] * rest, pa.int64()),
             "types": binary_array([_squeeze(types)] + [b""] * rest),
             "sums": binary_array(
@@ -263,67 +325,120 @@ def _all_sums(answers: DataFrame, states: int) -> np.ndarray:
     return out
 
 
-@dataclass
-class _Words:
-    """A block's distinct words in order, and its tokens as numbers among them."""
+# --- blocks as numbers of their words ------------------------------------------------------
 
-    found: _Tokens
-    some: np.ndarray
-    number: np.ndarray
-    bounds: np.ndarray  # by bucket
-    endings: np.ndarray
 
-    @classmethod
-    def of(cls, batch: pa.RecordBatch, count: int) -> _Words:
-        found = _tokens(batch)
-        some, number, _, bounds = B.distinct_keys(found.hashes, count)
-        endings = np.zeros(len(some), np.int64)
-        endings[number] = found.endings
-        return cls(found, some, number, bounds, endings)
+def _prepare(count: int, block_id: int, batch: pa.RecordBatch, answers: dict[int, bytes]):
+    """A block without its texts: per row the words by number among the block's distinct words,
+    per word its ending and counts, per trained word its place in its bucket."""
+    found = _tokens(batch)
+    some, number, _, bounds = B.distinct_keys(found.hashes, count)
+    endings = np.zeros(len(some), np.int64)
+    endings[number] = found.endings
+    training = _training(batch)
+    n = np.bincount(number, np.repeat(training, found.counts), minlength=len(some)).astype(np.int64)
+    c = np.zeros(len(some), np.int64)
+    places, owners = [np.empty(0, np.int64)], [np.empty(0, bool)]
+    for bucket in sorted(answers):
+        got = _from_arrays(answers[bucket])
+        c[bounds[bucket] : bounds[bucket + 1]] = got["c"]
+        places.append(got["place"])
+        owners.append(got["owner"])
+    kept = batch.select([B.ORDER, "held_out"])
+    packed = _arrays(
+        counts=found.counts.astype(np.int64),
+        number=number.astype(np.int32),
+        endings=endings.astype(np.uint16),
+        n=n,
+        c=c,
+        bounds=bounds.astype(np.int64),
+        place=np.concatenate(places).astype(np.int64),
+        owner=np.concatenate(owners).astype(bool),
+    )
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([block_id]), binary_array([B.write_table(pa.Table.from_batches([kept]))]), binary_array([packed])],
+        names=["block_id", "rows", "block"],
+    )
+
+
+_PREPARED = "block_id long, rows binary, block binary"
 
-    def counts(self, answers: dict[int, bytes]) -> np.ndarray:
-        c = np.zeros(len(self.some), np.int64)
-        for bucket, packed in answers.items():
-            c[self.bounds[bucket] : self.bounds[bucket + 1]] = _unsqueeze(packed)
-        return c
+
+class _Prepared:
+    def __init__(self, rows: bytes, packed: bytes) -> None:
+        self.rows = B.read_block(rows)
+        got = _from_arrays(packed)
+        self.counts, self.number = got["counts"], got["number"].astype(np.int64)
+        self.endings, self.n, self.c = got["endings"].astype(np.int64), got["n"], got["c"]
+        self.place, self.owner = got["place"], got["owner"].astype(bool)
+        self.trained = np.flatnonzero(self.c > 0)
+        self.bounds = np.searchsorted(self.trained, got["bounds"])  # of buckets, among these
 
     def expected(self, answers: dict[int, bytes], states: int) -> np.ndarray:
-        out = np.zeros((len(self.some), states))
+        """Expected counts over all blocks of this block's words."""
+        out = np.zeros((len(self.c), states))
         for bucket, packed in answers.items():
-            got = np.frombuffer(packed, "<f4").reshape(-1, states)
-            out[self.bounds[bucket] : self.bounds[bucket + 1]] = got
+            mine = self.trained[self.bounds[bucket] : self.bounds[bucket + 1]]
+            if len(mine):
+                out[mine] = _from_shares(packed, self.c[mine], states)
         return out
 
 
-_SENT = "bucket long, block_id long, keys binary, expected binary, endings binary, head binary"
+def _met(prepared: DataFrame, answers: DataFrame, work, schema: str) -> DataFrame:
+    """Apply a function to each prepared block and the answers it got."""
+    got = answers.groupBy("block_id").agg(
+        F.collect_list(F.struct("bucket", "bits")).alias("answers")
+    )
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                pairs = batch.column("answers")[i].as_py() or []
+                own = _Prepared(batch.column("rows")[i].as_py(), batch.column("block")[i].as_py())
+                bits = {x["bucket"]: x["bits"] for x in pairs}
+                yield from work(batch.column("block_id")[i].as_py(), own, bits)
+
+    return (
+        prepared.join(got, "block_id", "left")
+        .select("block_id", "rows", "block", "answers")
+        .mapInArrow(run, schema)
+    )
+
+
+_SENT = "bucket long, block_id long, place binary, shares binary, head binary"
 
 
-def _expectation(count: int, first: bool, shared, block_id: int, batch: pa.RecordBatch, answers: dict[int, bytes]):
+def _expectation(shared, block_id: int, own: _Prepared, answers: dict[int, bytes]):
     """A block's Baum-Welch counts over its training texts, by bucket of its words."""
     model = shared.value
     states = len(model.begin)
-    own = _Words.of(batch, count)
-    before = (
-        _first_expected(own.some, own.counts(answers), states) if first else own.expected(answers, states)
-    )
-    training = _training(batch)
-    used = np.repeat(training, own.found.counts)
-    lengths = own.found.counts[training]
+    training = _training(own.rows)
+    used = np.repeat(training, own.counts)
+    lengths = own.counts[training]
     begin, move, emit = expected_counts(
-        model.with_words(before, own.endings), _with_ends(1 + own.number[used], lengths), lengths + 1
+        model.with_words(own.expected(answers, states), own.endings),
+        _with_ends(1 + own.number[used], lengths),
+        lengths + 1,
     )
     # A block without words still has beginnings and ends.
-    parts = np.flatnonzero(np.diff(own.bounds)) if len(own.some) else np.zeros(1, np.int64)
-    cut = [slice(own.bounds[b], own.bounds[b + 1]) for b in parts]
-    expected, endings = emit[1:].astype("<f4"), own.endings.astype("<u2")
+    parts = np.flatnonzero(np.diff(own.bounds)) if len(own.trained) else np.zeros(1, np.int64)
+    mine = [slice(own.bounds[b], own.bounds[b + 1]) for b in parts]
+    places = [
+        _arrays(
+            place=np.diff(own.place[c], prepend=0),
+            n=own.n[own.trained[c]],
+            owner=own.owner[c],
+            endings=own.endings[own.trained[c]][own.owner[c]].astype(np.uint16),
+        )
+        for c in mine
+    ]
     head = _head(begin, move, emit[_END]).astype("<f8").tobytes()
     yield pa.RecordBatch.from_arrays(
         [
             pa.array(parts, pa.int64()),
             pa.array([block_id] * len(parts), pa.int64()),
-            binary_array([own.some[c].tobytes() for c in cut]),
-            binary_array([expected[c].tobytes() for c in cut]),
-            binary_array([endings[c].tobytes() for c in cut]),
+            binary_array(places),
+            binary_array([_shares(emit[1:][own.trained[c]]) for c in mine]),
             binary_array([head] + [b""] * (len(parts) - 1)),
         ],
         names=[x.split()[0] for x in _SENT.split(", ")],
@@ -331,30 +446,27 @@ def _expectation(count: int, first: bool, shared, block_id: int, batch: pa.Recor
 
 
 def _expected_totals(states: int, table: pa.Table) -> pa.Table:
-    """Of one bucket: every block's words with their expected counts over all blocks, and the sums."""
+    """Of one bucket: to every block the shares of its words over all blocks, and the sums."""
     table = table.sort_by("block_id")
-    keys = [np.frombuffer(x, _U) for x in table.column("keys").to_pylist()]
-    some, first, number = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    got = np.concatenate(
-        [np.frombuffer(x, "<f4").reshape(-1, states) for x in table.column("expected").to_pylist()]
-    )
-    endings = np.concatenate([np.frombuffer(x, "<u2") for x in table.column("endings").to_pylist()])
-    expected = np.stack(
-        [np.bincount(number, got[:, k], minlength=len(some)) for k in range(states)], axis=1
-    )
+    sent = [_from_arrays(x) for x in table.column("place").to_pylist()]
+    places = [np.cumsum(x["place"]) for x in sent]
+    size = max((int(x[-1]) + 1 for x in places if len(x)), default=0)
+    expected, endings = np.zeros((size, states)), np.zeros(size, np.int64)
+    for got, place, packed in zip(sent, places, table.column("shares").to_pylist(), strict=True):
+        if len(place):
+            expected[place] += _from_shares(packed, got["n"], states)
+            endings[place[got["owner"].astype(bool)]] = got["endings"]
     head = np.zeros((states + 2, states))
     for packed in table.column("head").to_pylist():
         if packed:
             head += np.frombuffer(packed, "<f8").reshape(head.shape)
-    short = expected.astype("<f4")
-    ends = np.cumsum([len(x) for x in keys])
-    answers = [short[number[e - len(k) : e]].tobytes() for k, e in zip(keys, ends, strict=True)]
+    rest = [b""] * (len(places) - 1)
     return pa.table(
         {
             "block_id": table.column("block_id"),
             "bucket": table.column("bucket"),
-            "bits": binary_array(answers),
-            "sums": binary_array([_summed(head, expected, endings[first])] + [b""] * (len(keys) - 1)),
+            "bits": binary_array([_shares(expected[place]) for place in places]),
+            "sums": binary_array([_summed(head, expected, endings), *rest]),
         }
     )
 
@@ -375,29 +487,30 @@ def _first_model(counted: DataFrame, vocabulary: Vocabulary, states: int) -> Wor
 
 
 def train(
-    held: DataFrame, counted: DataFrame, vocabulary: Vocabulary, count: int, states: int, rounds: int
-) -> tuple[WordModel, DataFrame | None]:
+    prepared: DataFrame, counted: DataFrame, vocabulary: Vocabulary, states: int, rounds: int
+) -> tuple[WordModel, DataFrame]:
     """Baum-Welch over stored blocks: the model, and the table of expected counts that
     belongs to it. Each round is one pass over all training texts."""
-    spark = held.sparkSession
-    model, answers = _first_model(counted, vocabulary, states), None
+    spark = prepared.sparkSession
+    model = _first_model(counted, vocabulary, states)
+    answers, before = counted.select("block_id", "bucket", "bits"), None
     for _ in range(rounds if vocabulary.texts else 0):
         shared = spark.sparkContext.broadcast(model)
-        before = counted if answers is None else answers
-        sent = B.answer_blocks(
-            held,
-            before.select("block_id", "bucket", "bits"),
-            partial(_expectation, count, answers is None, shared),
-            _SENT,
-        )
-        answers = held_packed(
+        sent = _met(prepared, answers, partial(_expectation, shared), _SENT)
+        totals, path = stored_until(
             sent.groupBy("bucket").applyInArrow(
                 lambda table: _expected_totals(states, table),
                 "block_id long, bucket long, bits binary, sums binary",
             )
         )
+        model = word_model(_all_sums(totals, states), vocabulary.types)
+        answers = totals.select("block_id", "bucket", "bits")
         shared.unpersist()
-        model = word_model(_all_sums(answers, states), vocabulary.types)
+        if before is not None:
+            delete(spark, before)
+        before = path
+        del sent, totals
+        reclaim(spark)
     return model, answers
 
 
@@ -407,33 +520,25 @@ SCORES = (
 )
 
 
-def _score(count: int, trained: bool, shared, block_id: int, batch: pa.RecordBatch, answers: dict[int, bytes]):
+def _score(shared, block_id: int, own: _Prepared, answers: dict[int, bytes]):
     vocabulary, model = shared.value
-    states = len(model.begin)
-    own = _Words.of(batch, count)
-    found = own.found
-    # Expected counts come as buckets of higher numbers.
-    c = own.counts({k: x for k, x in answers.items() if k < count})
-    if trained:
-        expected = own.expected({k - count: x for k, x in answers.items() if k >= count}, states)
-    else:
-        expected = _first_expected(own.some, c, states)
-    c = c[own.number]
-    rows = np.repeat(np.arange(batch.num_rows), found.counts)
-    n_rows = batch.num_rows
+    expected = own.expected(answers, len(model.begin))
+    c = own.c[own.number]
+    n_rows = len(own.counts)
+    rows = np.repeat(np.arange(n_rows), own.counts)
 
     def per_row(values: np.ndarray) -> np.ndarray:
         return np.bincount(rows, values, minlength=n_rows)
 
-    tokens = found.counts + 1
+    tokens = own.counts + 1
     floor = np.log10(vocabulary.tokens + vocabulary.words + (vocabulary.texts > 0) + 1)
     base = per_row(np.log10(c + 1)) + np.log10(vocabulary.texts + 1) - tokens * floor
     hmm = model.with_words(expected, own.endings)
-    likely = log10_likelihood(hmm, _with_ends(1 + own.number, found.counts), tokens)
+    likely = log10_likelihood(hmm, _with_ends(1 + own.number, own.counts), tokens)
     yield pa.RecordBatch.from_arrays(
         [
-            batch.column(B.ORDER),
-            batch.column("held_out").fill_null(False),
+            own.rows.column(B.ORDER),
+            own.rows.column("held_out").fill_null(False),
             pa.array(tokens.astype(np.int64)),
             pa.array((per_row(c > 0) + (vocabulary.texts > 0)).astype(np.int64)),
             pa.array(np.full(n_rows, vocabulary.tokens, np.int64)),
@@ -464,10 +569,18 @@ def scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> DataF
     counted = stored(
         sent.groupBy("bucket").applyInArrow(lambda table: _totals(states, table), _TOTALS)
     )
+    prepared = held_packed(
+        B.answer_blocks(
+            held,
+            counted.select("block_id", "bucket", F.col("known").alias("bits")),
+            partial(_prepare, count),
+            _PREPARED,
+        )
+    )
+    # The texts are not needed any more.
+    del held, sent
+    reclaim(spark)
     vocabulary = _vocabulary(counted, texts)
-    model, answers = train(held, counted, vocabulary, count, states, rounds)
+    model, answers = train(prepared, counted, vocabulary, states, rounds)
     shared = spark.sparkContext.broadcast((vocabulary, model))
-    known = counted.select("block_id", "bucket", "bits")
-    if answers is not None:
-        known = known.union(answers.select("block_id", F.col("bucket") + count, "bits"))
-    return B.answer_blocks(held, known, partial(_score, count, answers is not None, shared), SCORES)
+    return _met(prepared, answers, partial(_score, shared), SCORES)

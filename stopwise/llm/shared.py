@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -37,6 +38,27 @@ def stored(rows: DataFrame, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def stored_until(rows: DataFrame) -> tuple[DataFrame, str]:
+    """As ``stored``, and the folder, for ``delete`` once nothing reads it any more."""
+    spark = rows.sparkSession
+    path = shared_folder(spark)
+    rows.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path), path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``stored_until`` named, wherever the shared folder is."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def reclaim(spark: SparkSession) -> None:
+    """Let Spark's cleaner find shuffle files and checkpoints that no frame refers to any
+    more, so that rounds of an iteration do not pile up. Call it once per round."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def held_packed(rows: DataFrame) -> DataFrame:
     """Rows of packed values as a checkpoint, for a table that only one operator reads.
 

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,6 +160,62 @@ def test_scores_and_base(spark, docs, monkeypatch):
     assert language_model.scores(empty, rounds=1).count() == 0
 
 
+def one_machine(texts: list[str | None], held: list[bool], states: int, rounds: int) -> np.ndarray:
+    """Scores by plain Baum-Welch over all texts at once, with counts in full precision."""
+    L = language_model
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string()), "held_out": held})
+    tokens = L._tokens(batch)
+    some, number, _, _ = blocks.distinct_keys(tokens.hashes, 1)
+    endings = np.zeros(len(some), np.int64)
+    endings[number] = tokens.endings
+    training = ~np.array(held)
+    used = np.repeat(training, tokens.counts)
+    c = np.bincount(number[used], minlength=len(some))
+    types = np.bincount(endings[c > 0], minlength=L.ENDINGS + 1)
+    expected = L._first_expected(some, c, states)
+    head = np.full((states, states), 0.05 / (states - 1))
+    np.fill_diagonal(head, 0.95)
+    n = int(training.sum())
+    first = np.concatenate(
+        [np.full((1, states), n / states), head * (c.sum() + n) / states, np.full((1, states), n / states)]
+    )
+
+    def model(head: np.ndarray) -> L.WordModel:
+        sums = np.frombuffer(L._summed(head, expected, endings)).reshape(-1, states).copy()
+        return L.word_model(sums, types)
+
+    now = model(first)
+    for _ in range(rounds):
+        lengths = tokens.counts[training]
+        begin, move, emit = expected_counts(
+            now.with_words(expected, endings), L._with_ends(1 + number[used], lengths), lengths + 1
+        )
+        expected = emit[1:]
+        now = model(L._head(begin, move, emit[0]))
+    whole = L._with_ends(1 + number, tokens.counts)
+    return log10_likelihood(now.with_words(expected, endings), whole, tokens.counts + 1)
+
+
+def test_training_over_blocks_equals_one_machine(spark, monkeypatch):
+    """Also with a word that is a third of all, texts without words, and words seen once."""
+    reachable(spark)
+    monkeypatch.setattr(blocks.store_blocks, "__defaults__", (4000,))
+    rng = random.Random(12)
+    texts: list[str | None] = [None, "", "the", "once-only " * 3]
+    for k in range(150):
+        stock = [f"{'ab'[k % 2]}{rng.randrange(300)}{rng.choice(['en', 'ing', 's'])}" for _ in range(rng.randrange(60))]
+        texts.append(" ".join(x for w in stock for x in rng.choice([(w,), (w, "the")])))
+    held = [k % 7 == 2 for k in range(len(texts))]
+    frame = spark.createDataFrame(
+        [(k, t, h) for k, (t, h) in enumerate(zip(texts, held, strict=True))],
+        "doc_id long, text string, held_out boolean",
+    ).repartition(3)
+    rows = language_model.scores(frame, states=4, rounds=5).collect()
+    got = {r.doc_id: r.score for r in rows}
+    want = one_machine(texts, held, 4, 5)
+    assert [got[k] for k in range(len(texts))] == pytest.approx(want.tolist(), rel=2e-3, abs=2e-3)
+
+
 def test_rare_words_have_emissions_of_their_own(spark, monkeypatch):
     """Two topics over 6000 words each that share their endings: only the words tell them apart."""
     reachable(spark)
