@@ -129,6 +129,8 @@ def map_blocks(
             for i in range(batch.num_rows):
                 found = read_block(batch.column("block")[i].as_buffer().to_pybytes())
                 yield from work(batch.column("block_id")[i].as_py(), found)
+                del found
+                pa.default_memory_pool().release_unused()
 
     return blocks.select("block_id", "block").mapInArrow(run, schema)
 
@@ -152,6 +154,8 @@ def answer_blocks(
                 pairs = batch.column("answers")[i].as_py() or []
                 bits = {x["bucket"]: x["bits"] for x in pairs}
                 yield from work(batch.column("block_id")[i].as_py(), found, bits)
+                del found, bits, pairs
+                pa.default_memory_pool().release_unused()
 
     met = blocks.select("block_id", "block").join(got, "block_id", "left")
     return met.select("block_id", "block", "answers").mapInArrow(run, schema)

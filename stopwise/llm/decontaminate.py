@@ -263,7 +263,8 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10)
     hit = (
         contamination(docs, benchmark, window)
         .where("n_hit > 0")
-        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+        # No table has such names.
+        .select(F.col("doc_id").alias("\u00b7id"), F.col("text_hash").alias("\u00b7hash"))
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("\u00b7id")) & (F.xxhash64("text") == F.col("\u00b7hash"))
     return docs.join(hit, same, "left_anti")

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from stopwise.llm import blocks as B
 from stopwise.llm.components import components
-from stopwise.llm.shared import held_packed, partitions, stored
+from stopwise.llm.shared import held_packed, partitions, reclaim, stored
 from stopwise.llm.textkit import (
     LOWER,
     NOT_SPACE,
@@ -272,6 +272,9 @@ def _linked(docs: DataFrame, ngram: int, num: int, den: int) -> DataFrame:
             "doc_id long, text_hash long, n long, one long, two long, keys array<long>, shingles binary",
         ).withColumn("row", F.monotonically_increasing_id())
     )
+    # Texts and what blocks sent are not needed any more; what is left is far smaller.
+    del held, sent
+    reclaim(docs.sparkSession)
     same = ("n", "one", "two")
     # Documents without words are not equal to each other.
     classes = stored(
@@ -286,6 +289,7 @@ def _linked(docs: DataFrame, ngram: int, num: int, den: int) -> DataFrame:
         .select(F.col("row").alias("node"), "n", "keys", "shingles")
     )
     groups = stored(components(kept.select("node", F.explode("keys").alias("key"))))
+    reclaim(docs.sparkSession)
     sums = (
         groups.join(kept.select("node", "n"), "node")
         .groupBy("label")
@@ -348,13 +352,17 @@ def first_of_each(
         )
         .where("gone OR times > 1")
     )
-    marked = stored(kinds.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "gone"))
+    # Named as no column of a table is.
+    key, digest, gone = "\u00b7id", B.HASH, "\u00b7gone"
+    marked = stored(
+        kinds.select(F.col("doc_id").alias(key), F.col("text_hash").alias(digest), F.col("gone").alias(gone))
+    )
     text_hash = F.xxhash64(docs["text"].cast("string"))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("id")) & (text_hash == F.col("hash"))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(key)) & (text_hash == F.col(digest))
     once = docs.join(marked, same, "left_anti").select(*docs.columns)
     # Of a row that repeats, one; the limit on the rank holds before the exchange as well.
     rank = F.row_number().over(
-        Window.partitionBy("id", "hash").orderBy(F.to_json(F.struct(*(docs[x] for x in docs.columns))))
+        Window.partitionBy(key, digest).orderBy(F.to_json(F.struct(*(docs[x] for x in docs.columns))))
     )
-    repeated = docs.join(marked.where("NOT gone"), same).withColumn(B.ORDER, rank).where(F.col(B.ORDER) == 1)
+    repeated = docs.join(marked.where(~F.col(gone)), same).withColumn(B.ORDER, rank).where(F.col(B.ORDER) == 1)
     return once.unionByName(repeated.select(*(docs[x] for x in docs.columns)))

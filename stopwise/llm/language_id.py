@@ -223,8 +223,9 @@ def fit(labelled: DataFrame) -> Model:
     return Model(langs, codes, weights, trust)
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows with a struct column ``prediction`` (lang, score, ambiguous), from text alone."""
+def predict(docs: DataFrame, model: Model, name: str = "prediction") -> DataFrame:
+    """The rows with a struct column (lang, score, ambiguous), from text alone; it replaces a column
+    of that name."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf(PREDICTION)
@@ -254,7 +255,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     )
     text = F.col("text").cast("string")
     if not model.langs:
-        return docs.withColumn("prediction", unknown)
+        return docs.withColumn(name, unknown)
     has_letter = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
-    found = docs.withColumn("prediction", decoded(F.coalesce(text, F.lit(""))))
-    return found.withColumn("prediction", F.when(has_letter, F.col("prediction")).otherwise(unknown))
+    found = docs.withColumn(name, decoded(F.coalesce(text, F.lit(""))))
+    return found.withColumn(name, F.when(has_letter, F.col(name)).otherwise(unknown))

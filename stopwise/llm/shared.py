@@ -6,6 +6,8 @@ import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,9 +27,27 @@ def shared_base(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_SCRATCH: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below that one."""
-    return f"{shared_base(spark)}/llm-{uuid.uuid4().hex}"
+    """A new folder below that one, or below the innermost ``scratch``."""
+    return f"{_SCRATCH[-1] if _SCRATCH else shared_base(spark)}/llm-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Within it, operators write their tables to one folder, which is deleted at its end.
+
+    Their results read those tables, so use or store them inside, with a path taken outside.
+    """
+    folder = shared_folder(spark)
+    _SCRATCH.append(folder)
+    try:
+        yield folder
+    finally:
+        _SCRATCH.remove(folder)
+        delete(spark, folder)
 
 
 def stored(rows: DataFrame, codec: str = "zstd") -> DataFrame:
@@ -38,10 +58,10 @@ def stored(rows: DataFrame, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def stored_until(rows: DataFrame) -> tuple[DataFrame, str]:
+def stored_until(rows: DataFrame, path: str | None = None) -> tuple[DataFrame, str]:
     """As ``stored``, and the folder, for ``delete`` once nothing reads it any more."""
     spark = rows.sparkSession
-    path = shared_folder(spark)
+    path = path or shared_folder(spark)
     rows.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(rows.schema).parquet(path), path
 

@@ -38,6 +38,8 @@ from stopwise.llm.textkit import (
 )
 
 WINDOW = 20
+# Every window of a block is hashed twice and sorted, some 25 times its bytes.
+BLOCK_BYTES = 2 << 20
 _FIRST, _SECOND = Hasher(3), Hasher(4)
 _RESULTS = ("_words", "_removed", "_spans", "_kept")
 
@@ -66,15 +68,17 @@ def _sent(batch: pa.RecordBatch, window: int, count: int):
     """
     first, second, rows = _windows(batch, window)
     order = np.lexsort((first, second)) if len(first) else np.empty(0, np.int64)
-    a, b = first[order], second[order]
     fresh = np.ones(len(order), bool)
-    fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    fresh[1:] = np.diff(first[order]) != 0
+    fresh[1:] |= np.diff(second[order]) != 0
     early = np.zeros(len(order), bool)
     early[order[fresh]] = True  # lexsort is stable: the first of equals is the earliest
     leader = np.empty(len(order), np.int64)
     leader[order] = order[fresh][np.cumsum(fresh) - 1] if len(order) else order
+    del order, fresh
     kept = np.flatnonzero(early)
     buckets = (second[kept] % np.uint64(count)).astype(np.int64)
+    del second
     by, bounds = B.by_bucket(buckets, count)
     return first, rows, kept[by], bounds, early, leader
 
@@ -166,7 +170,7 @@ def repeated_passages(
     ``names`` are other names for these; columns that have them are replaced.
     """
     docs = docs.drop(*names)
-    stored = B.store_blocks(docs)
+    stored = B.store_blocks(docs, BLOCK_BYTES)
     size = stored.agg(F.sum("bytes")).first()[0] or 0
     count = B.bucket_count(size // 6, stored)
     sent = B.map_blocks(

@@ -127,9 +127,9 @@ def shingles(text: str) -> frozenset:
     return frozenset(tuple(words[k : k + 3]) for k in range(len(words) - 2))
 
 
-def linked(rows):
+def linked(rows, ngram=3, num=90):
     """Brute force over numbered (id, text) rows: component ids."""
-    sets = [shingles(text) for _, text in rows]
+    sets = [shingles(text, ngram) for _, text in rows]
     parent = list(range(len(rows)))
 
     def root(k):
@@ -139,7 +139,7 @@ def linked(rows):
 
     for a in range(len(rows)):
         for b in range(a):
-            if sets[a] and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]):
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b]):
                 parent[root(a)] = root(b)
     least = {}
     for k, (doc_id, _) in enumerate(rows):
