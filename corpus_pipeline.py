@@ -7,20 +7,20 @@ from pyspark.sql import functions as F
 
 from stopwise.llm import decontaminate, jaccard_join, language_id, packing, substring_dedup
 from stopwise.llm.queries import ranks_path, table
-from stopwise.llm.shared import crc_remainder, stored
+from stopwise.llm.shared import crc_remainder, delete, reclaim, scratch, shared_folder, stored_until
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told: not those without a letter, nor ambiguous ones."""
+    """Documents that a language is predicted for; those without a letter go."""
     learned = docs.where(crc_remainder(F.col("doc_id"), 4) != 2)
-    found = language_id.predict(docs, language_id.fit(learned))
-    told = (F.col("prediction.lang") != language_id.UNKNOWN) & ~F.col("prediction.ambiguous")
-    return found.where(told).select(*docs.columns)
+    own = "\u00b7prediction"  # no table has such a name
+    found = language_id.predict(docs, language_id.fit(learned), own)
+    return found.where(F.col(f"{own}.lang") != language_id.UNKNOWN).select(*docs.columns)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id."""
-    return jaccard_join.first_of_each(docs, ngram=3, num=90, den=100)
+    """Of each group of documents linked at five words and 0.8 the one with the smallest id."""
+    return jaccard_join.first_of_each(docs)
 
 
 def distinct_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +51,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage over ``documents``.
+
+    What a stage kept is deleted as soon as the next one is stored, and so are its own tables.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        path = shared_folder(spark)
+        with scratch(spark):
+            docs, path = stored_until(stage(spark, docs, sf_dir), path)
+        if before is not None:
+            delete(spark, before)
+        before = path
+        reclaim(spark)
     return STAGES[-1][1](spark, docs, sf_dir)
