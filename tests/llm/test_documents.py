@@ -120,11 +120,11 @@ def test_refined_buckets_equal_windows():
         assert len(set(same.values())) == len(names)
 
 
-def shingles(text: str) -> frozenset:
+def shingles(text: str, ngram: int = 3) -> frozenset:
     words = WORD.findall(text.translate(LOWER))
-    if len(words) < 3:
+    if len(words) < ngram:
         return frozenset([tuple(words)] if words else [])
-    return frozenset(tuple(words[k : k + 3]) for k in range(len(words) - 2))
+    return frozenset(tuple(words[k : k + ngram]) for k in range(len(words) - ngram + 1))
 
 
 def linked(rows, ngram=3, num=90):
