@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopwise.llm.shared import held_packed, partitions
+from stopwise.llm.shared import held_dealt, held_packed, partitions
 from stopwise.llm.textkit import binary_array
 
 BLOCK_BYTES = 8 << 20
@@ -87,14 +87,21 @@ def _pack(block_bytes: int):
     return run
 
 
-def store_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(block_id, bytes, block): all documents, in blocks sorted by id and text hash."""
+def store_blocks(
+    docs: DataFrame, block_bytes: int = BLOCK_BYTES, *, dealt: int | None = None
+) -> DataFrame:
+    """(block_id, bytes, block): all documents, in blocks sorted by id and text hash.
+
+    Blocks are dealt to ``dealt`` partitions by their number, if given: answers then come to
+    them and they need not move again.
+    """
     rows = docs.withColumn("text", F.col("text").cast("string"))
     rows = rows.withColumns(
         {ORDER: F.col("doc_id").cast("long"), HASH: F.xxhash64("text")}
     )
     packed = rows.mapInArrow(_pack(block_bytes), "bytes long, block binary")
-    return held_packed(packed.withColumn("block_id", F.monotonically_increasing_id()))
+    numbered = packed.withColumn("block_id", F.monotonically_increasing_id())
+    return held_packed(numbered) if dealt is None else held_dealt(numbered, dealt, "block_id")
 
 
 def bucket_count(keys: int, blocks: DataFrame) -> int:

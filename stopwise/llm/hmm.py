@@ -38,20 +38,26 @@ class Steps:
         return out
 
 
-def forward(model: Hmm, steps: Steps, laid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Scaled forward variables, the scales, and the emissions of all places."""
-    emitted = model.emit[laid]
+def forward(
+    model: Hmm, steps: Steps, laid: np.ndarray, kind: type = np.float64
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Scaled forward variables (state x place), the scales, and the emissions of all places."""
+    emitted = np.take(np.ascontiguousarray(model.emit.T, kind), laid, axis=1)
+    step = np.ascontiguousarray(model.move.T, kind)
     alpha = np.empty_like(emitted)
-    scale = np.empty(len(laid))
+    scale = np.empty(len(laid), kind)
     now = None
     for t, n in enumerate(steps.active.tolist()):
-        at = int(steps.begin[t])
-        now = np.broadcast_to(model.begin, (n, len(model.begin))) if t == 0 else now[:n] @ model.move
-        now = now * emitted[at : at + n]
-        total = now.sum(axis=1)
-        now /= total[:, None]
-        alpha[at : at + n] = now
-        scale[at : at + n] = total
+        here = slice(int(steps.begin[t]), int(steps.begin[t]) + n)
+        if now is None:
+            now = model.begin.astype(kind)[:, None] * emitted[:, here]
+        else:
+            now = step @ now[:, :n]
+            now *= emitted[:, here]
+        total = now.sum(axis=0)
+        now /= total
+        alpha[:, here] = now
+        scale[here] = total
     return alpha, scale, emitted
 
 
@@ -65,9 +71,10 @@ def log10_likelihood(model: Hmm, symbols: np.ndarray, lengths: np.ndarray) -> np
 
 
 def expected_counts(
-    model: Hmm, symbols: np.ndarray, lengths: np.ndarray
+    model: Hmm, symbols: np.ndarray, lengths: np.ndarray, kind: type = np.float64
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch counts of the sequences: beginnings, moves, emissions."""
+    """Baum-Welch counts of the sequences: beginnings, moves, emissions. ``kind`` is what the
+    variables of each place are held in; counts are added up in double precision."""
     states = len(model.begin)
     begin, move = np.zeros(states), np.zeros((states, states))
     emit = np.zeros(model.emit.shape)
@@ -75,20 +82,26 @@ def expected_counts(
         return begin, move, emit
     steps = Steps(lengths)
     laid = steps.lay(symbols)
-    alpha, scale, emitted = forward(model, steps, laid)
-    # From here on alpha turns into the state probabilities, last step first.
+    alpha, scale, emitted = forward(model, steps, laid, kind)
+    # From here on these are what a place hands back, and the state probabilities.
+    emitted /= scale
+    back = np.ascontiguousarray(model.move, kind)
     later = None
     for t in range(len(steps.active) - 1, -1, -1):
         at, n = int(steps.begin[t]), int(steps.active[t])
-        beta = np.ones((n, states))
-        if later is not None:
-            go = len(later)
-            move += alpha[at : at + go].T @ later
-            beta[:go] = later @ model.move.T
-        later = beta * emitted[at : at + n] / scale[at : at + n, None]
-        alpha[at : at + n] *= beta
+        here = slice(at, at + n)
+        if later is None:
+            later = emitted[:, here]
+            continue
+        go = later.shape[1]
+        move += alpha[:, at : at + go] @ later.T
+        beta = back @ later
+        alpha[:, at : at + go] *= beta
+        # Sequences that end here hand back their emission alone.
+        later = emitted[:, here]
+        later[:, :go] *= beta
     move *= model.move
-    begin += alpha[: steps.active[0]].sum(axis=0)
+    begin += alpha[:, : steps.active[0]].sum(axis=1, dtype=np.float64)
     for k in range(states):
-        emit[:, k] = np.bincount(laid, alpha[:, k], minlength=len(emit))
+        emit[:, k] = np.bincount(laid, alpha[k], minlength=len(emit))
     return begin, move, emit

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from stopwise.llm import blocks as B
 from stopwise.llm.hmm import Hmm, expected_counts, log10_likelihood
-from stopwise.llm.shared import delete, held_packed, reclaim, stored, stored_until
+from stopwise.llm.shared import delete, held_dealt, partitions, reclaim, stored_until
 from stopwise.llm.textkit import LOWER, NOT_SPACE, Chunk, Hasher, binary_array, chunks, mix, words
 
 STATES = 6
@@ -419,6 +419,7 @@ def _expectation(shared, block_id: int, own: _Prepared, answers: dict[int, bytes
         model.with_words(own.expected(answers, states), own.endings),
         _with_ends(1 + own.number[used], lengths),
         lengths + 1,
+        np.float32,
     )
     # A block without words still has beginnings and ends.
     parts = np.flatnonzero(np.diff(own.bounds)) if len(own.trained) else np.zeros(1, np.int64)
@@ -487,13 +488,19 @@ def _first_model(counted: DataFrame, vocabulary: Vocabulary, states: int) -> Wor
 
 
 def train(
-    prepared: DataFrame, counted: DataFrame, vocabulary: Vocabulary, states: int, rounds: int
+    prepared: DataFrame,
+    counted: DataFrame,
+    before: str,
+    vocabulary: Vocabulary,
+    states: int,
+    rounds: int,
 ) -> tuple[WordModel, DataFrame]:
     """Baum-Welch over stored blocks: the model, and the table of expected counts that
-    belongs to it. Each round is one pass over all training texts."""
+    belongs to it. Each round is one pass over all training texts, and its table replaces
+    the one before, the first that of the counts in the folder ``before``."""
     spark = prepared.sparkSession
     model = _first_model(counted, vocabulary, states)
-    answers, before = counted.select("block_id", "bucket", "bits"), None
+    answers = counted.select("block_id", "bucket", "bits")
     for _ in range(rounds if vocabulary.texts else 0):
         shared = spark.sparkContext.broadcast(model)
         sent = _met(prepared, answers, partial(_expectation, shared), _SENT)
@@ -506,8 +513,7 @@ def train(
         model = word_model(_all_sums(totals, states), vocabulary.types)
         answers = totals.select("block_id", "bucket", "bits")
         shared.unpersist()
-        if before is not None:
-            delete(spark, before)
+        delete(spark, before)
         before = path
         del sent, totals
         reclaim(spark)
@@ -557,7 +563,9 @@ def scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> DataF
         "text",
         F.coalesce(F.col("held_out"), F.lit(False)).alias("held_out"),
     )
-    held = B.store_blocks(only)
+    # Blocks are dealt by number once; from then on answers come to them.
+    dealt = 2 * partitions(spark)
+    held = B.store_blocks(only, dealt=dealt)
     size = held.agg(F.sum("bytes")).first()[0] or 0
     count = B.bucket_count(size // 24, held)
     texts = only.where(~F.col("held_out")).count()
@@ -566,21 +574,25 @@ def scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> DataF
         partial(_send, count),
         "bucket long, block_id long, keys binary, n binary, endings binary",
     )
-    counted = stored(
+    counted, path = stored_until(
         sent.groupBy("bucket").applyInArrow(lambda table: _totals(states, table), _TOTALS)
     )
-    prepared = held_packed(
+    del sent
+    reclaim(spark)
+    prepared = held_dealt(
         B.answer_blocks(
             held,
             counted.select("block_id", "bucket", F.col("known").alias("bits")),
             partial(_prepare, count),
             _PREPARED,
-        )
+        ),
+        dealt,
+        "block_id",
     )
     # The texts are not needed any more.
-    del held, sent
+    del held
     reclaim(spark)
     vocabulary = _vocabulary(counted, texts)
-    model, answers = train(prepared, counted, vocabulary, states, rounds)
+    model, answers = train(prepared, counted, path, vocabulary, states, rounds)
     shared = spark.sparkContext.broadcast((vocabulary, model))
     return _met(prepared, answers, partial(_score, shared), SCORES)

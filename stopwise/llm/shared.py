@@ -92,6 +92,22 @@ def held_packed(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
+def held_dealt(rows: DataFrame, count: int, key: str) -> DataFrame:
+    """As ``held_packed``, dealt to partitions by a key, so that joins on it move the other side only.
+
+    Under adaptive execution a checkpoint does not know how it is dealt, so that is off
+    while this one is written.
+    """
+    conf = rows.sparkSession.conf
+    name = "spark.sql.adaptive.enabled"
+    before = conf.get(name)
+    conf.set(name, "false")
+    try:
+        return held_packed(rows.repartition(count, key))
+    finally:
+        conf.set(name, before)
+
+
 def reachable(spark: SparkSession) -> None:
     """Let Python workers find this package where it is not installed."""
     root = str(Path(__file__).resolve().parents[2])
