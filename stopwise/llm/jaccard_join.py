@@ -61,6 +61,16 @@ _HASHER = Hasher(5)
 _U = np.uint64
 
 
+def _parts(size: int, differ: int) -> int:
+    """Blocks for sets of at least ``size`` elements that may differ in ``differ`` ones: mostly so
+    many that more than ``differ`` of them have an element."""
+    for parts in range(differ + 1, 2 * differ + 2):
+        empty = parts * float(np.exp(-size / parts))
+        if parts - empty - 2 * empty**0.5 >= differ + 1:
+            return parts
+    return differ + 1 + differ // 8
+
+
 class SizeClasses:
     """Classes of set sizes, and the column blocks each class needs."""
 
@@ -78,7 +88,8 @@ class SizeClasses:
             lows.append(max(lows[-1] + 1, (lows[-1] - 1) * den // num + 1))
         lows.append(max(lows[-1] + 1, (lows[-1] - 1) * den // num + 1))
         self.lows = np.array(lows)
-        self.blocks = np.array([differ(high - 1) + 1 for high in lows[1:]])
+        self.differ = np.array([differ(high - 1) for high in lows[1:]])
+        self.blocks = np.array([_parts(n, most) for n, most in zip(lows, self.differ, strict=False)])
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
         """Class of each size; -1 where only equal sets are linked."""
@@ -124,6 +135,7 @@ def block_keys(
     keys, owners = [], []
     for level in (own, own - 1):
         count = np.where(level >= 0, classes.blocks[np.maximum(level, 0)], 0)
+        differ = classes.differ[np.maximum(level, 0)]
         base = np.zeros(len(sizes) + 1, np.int64)
         np.cumsum(count, out=base[1:])
         # Sets without blocks are passed over; the rest is in order of row, hash and so block.
@@ -135,8 +147,12 @@ def block_keys(
         owner = np.repeat(np.arange(len(sizes)), count)
         number = np.arange(base[-1]) - base[owner]
         salt = level[owner].astype(_U) * _U(0x9E3779B97F4A7C15) + number.astype(_U)
-        keys.append(mix(sums + mix(salt)))
-        owners.append(owner)
+        # With more blocks in use than can differ, one of those is equal in both sets.
+        full = bounds[1:] > bounds[:-1]
+        enough = np.bincount(owner[full], minlength=len(sizes)) > differ
+        told = full | ~enough[owner]
+        keys.append(mix(sums + mix(salt))[told])
+        owners.append(owner[told])
     return np.concatenate(keys), np.concatenate(owners)
 
 
