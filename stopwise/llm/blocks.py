@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopwise.llm.shared import held_dealt, held_packed, partitions
-from stopwise.llm.textkit import binary_array
+from stopwise.llm.textkit import binary_array, let_go
 
 BLOCK_BYTES = 8 << 20
 # Columns of a block besides those of the documents; no table has such names.
@@ -137,7 +137,7 @@ def map_blocks(
                 found = read_block(batch.column("block")[i].as_buffer().to_pybytes())
                 yield from work(batch.column("block_id")[i].as_py(), found)
                 del found
-                pa.default_memory_pool().release_unused()
+                let_go()
 
     return blocks.select("block_id", "block").mapInArrow(run, schema)
 
@@ -162,7 +162,7 @@ def answer_blocks(
                 bits = {x["bucket"]: x["bits"] for x in pairs}
                 yield from work(batch.column("block_id")[i].as_py(), found, bits)
                 del found, bits, pairs
-                pa.default_memory_pool().release_unused()
+                let_go()
 
     met = blocks.select("block_id", "block").join(got, "block_id", "left")
     return met.select("block_id", "block", "answers").mapInArrow(run, schema)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopwise.llm.shared import stored
-from stopwise.llm.textkit import LOWER, Chunk, chunks
+from stopwise.llm.textkit import LOWER, Chunk, chunks, let_go
 
 GRAMS = (2, 3)
 FEATURES = 1 << 15
@@ -239,6 +239,7 @@ def predict(docs: DataFrame, model: Model, name: str = "prediction") -> DataFram
             flags.append(near)
         kept = (np.concatenate(x) if x else np.empty(0) for x in (scores, flags))
         score, near = kept
+        let_go()
         return pa.StructArray.from_arrays(
             [
                 pa.array(langs, pa.string()),

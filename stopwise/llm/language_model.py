@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from stopwise.llm import blocks as B
 from stopwise.llm.hmm import Hmm, expected_counts, log10_likelihood
 from stopwise.llm.shared import delete, held_dealt, partitions, reclaim, stored_until
-from stopwise.llm.textkit import LOWER, NOT_SPACE, Chunk, Hasher, binary_array, chunks, mix, words
+from stopwise.llm.textkit import LOWER, NOT_SPACE, Chunk, Hasher, binary_array, chunks, let_go, mix, words
 
 STATES = 6
 ROUNDS = 6
@@ -397,6 +397,8 @@ def _met(prepared: DataFrame, answers: DataFrame, work, schema: str) -> DataFram
                 own = _Prepared(batch.column("rows")[i].as_py(), batch.column("block")[i].as_py())
                 bits = {x["bucket"]: x["bits"] for x in pairs}
                 yield from work(batch.column("block_id")[i].as_py(), own, bits)
+                del own, bits, pairs
+                let_go()
 
     return (
         prepared.join(got, "block_id", "left")
@@ -566,6 +568,7 @@ def scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> DataF
     # Blocks are dealt by number once; from then on answers come to them.
     dealt = 2 * partitions(spark)
     held = B.store_blocks(only, dealt=dealt)
+    reclaim(spark)
     size = held.agg(F.sum("bytes")).first()[0] or 0
     count = B.bucket_count(size // 24, held)
     texts = only.where(~F.col("held_out")).count()

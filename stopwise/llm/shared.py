@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -74,9 +75,16 @@ def delete(spark: SparkSession, path: str) -> None:
 
 def reclaim(spark: SparkSession) -> None:
     """Let Spark's cleaner find shuffle files and checkpoints that no frame refers to any
-    more, so that rounds of an iteration do not pile up. Call it once per round."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    more, so that rounds of an iteration do not pile up. Call it once per round.
+
+    Python's references reach the JVM a moment after they are dropped, and the cleaner
+    works in a thread of its own, hence the pauses.
+    """
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.2)
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def held_packed(rows: DataFrame) -> DataFrame:

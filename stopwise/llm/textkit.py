@@ -6,6 +6,8 @@ chunks of bounded size, so memory depends on the longest text, not on the batch.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,6 +16,14 @@ import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
 
+
+def let_go() -> None:
+    """Give freed memory back to the system, as workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU library has this
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 _U64 = np.uint64
 
 
