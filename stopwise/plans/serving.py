@@ -123,6 +123,7 @@ def _late_rate(digits: int = 1) -> Column:
 def health_trend(
     health: DataFrame,
     since,
+    *,
     route_id: str | None = None,
     direction_id: int | None = None,
     until=None,
@@ -140,6 +141,7 @@ def health_trend(
 def route_comparison(
     health: DataFrame,
     since,
+    *,
     route_id: str | None = None,
     direction_id: int | None = None,
     until=None,

@@ -4,53 +4,49 @@ The keyed sink makes at-least-once delivery effectively once. Its table is
 partitioned by a function of the key, the slot, so all copies of a key meet in one
 slot whatever times they carry. A micro-batch owns one folder per slot, which
 a replay overwrites, and rows whose key is already stored elsewhere in their
-slot are left out. Only the slots of the batch are opened or listed.
+slot are left out. Only the slots of the batch are opened, in one read, and files
+carry the range of their days. There are 64 slots whatever the ids, and small
+folders of a slot are merged, so the files that a batch opens do not grow
+with the number of batches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stopwise.operators.constraints import KEYS, enforced
+from stopwise.sources import files
 
 DAY = "event_date"
 SLOT = "slot"
-HASH_SLOTS = 64
-_PLACE = f"{SLOT} string, run string, batch_id bigint, {DAY} date"
+SLOTS = 64
+FOLDERS = 16  # batch folders of a slot that are merged when there are more
+MERGED = "merged"
+_PLACE = f"{SLOT} int, run string, batch_id bigint"
 
 
 def slot_of(event_id: str = "event_id") -> Column:
-    """The UTC day in an event id that ends in epoch seconds, else one of 64 hash slots.
-
-    Ids whose number is no time of this or the next century are hashed too, so the
-    number of slots is bounded.
-    """
+    """One of 64 slots: by the UTC day in an event id that ends in epoch seconds, so that
+    a batch of new events meets few slots, else by hash."""
     seconds = F.try_to_number(F.regexp_extract(event_id, r":([0-9]{9,10})$", 1), F.lit("9999999999"))
-    day = F.date_format(F.timestamp_seconds(seconds.cast("long")), "yyyy-MM-dd")
-    hashed = F.concat(F.lit("h"), F.pmod(F.xxhash64(event_id), F.lit(HASH_SLOTS)).cast("string"))
-    return F.coalesce(day, hashed)
+    day = F.floor(seconds.cast("long") / 86_400)
+    return F.pmod(F.coalesce(day, F.xxhash64(event_id)), F.lit(SLOTS)).cast("int")
 
 
 def stored_rows(
-    spark: SparkSession, target: str, columns: str, slot: str | None = None
+    spark: SparkSession, target: str, columns: str, slots: Iterable[int]
 ) -> DataFrame | None:
-    """Rows of a keyed table, or of one slot, with their place; None where there are none."""
-    path = target if slot is None else f"{target}/{SLOT}={slot}"
-    try:
-        return (
-            spark.read.schema(f"{columns}, {_PLACE}").option("basePath", target).parquet(path)
-        )
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    """Rows of some slots of a keyed table, with their place, in one read; None where there are none."""
+    folders = files.existing(spark, [f"{target}/{SLOT}={slot}" for slot in sorted(slots)])
+    if not folders:
         return None
+    wanted = f"{columns}, {_PLACE}"
+    return spark.read.schema(wanted).option("basePath", target).parquet(*folders)
 
 
 def read_keyed(spark: SparkSession, target: str, *, with_day: bool = False) -> DataFrame:
@@ -84,25 +80,26 @@ def append_keyed(
             DAY: F.to_date(time_column),
         }
     )
+    finish_merges(spark, target)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # At most a few days and 64 hash slots, however large the batch.
+        # At most 64, however large the batch.
         slots = [row[SLOT] for row in rows.select(SLOT).distinct().collect()]
-        opened = [stored_rows(spark, target, _ddl(batch), slot) for slot in sorted(slots)]
-        opened = [found.select(SLOT, "run", "batch_id", *keys) for found in opened if found is not None]
+        opened = stored_rows(spark, target, _ddl(batch), slots)
         new = rows
-        if opened:
+        if opened is not None:
             own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
-            new = _without(rows, reduce(DataFrame.unionByName, opened).where(~own), keys)
-        # Few files per slot, without one task for a large one. A replay makes
+            new = _without(rows, opened.where(~own).select(SLOT, *keys), keys)
+        # A file per slot, and more only where a slot is large. A replay makes
         # the same slots, and exactly those are replaced.
         (
             new.hint("rebalance", SLOT)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(SLOT, "run", "batch_id", DAY)
+            .partitionBy(SLOT, "run", "batch_id")
             .parquet(target)
         )
+        merge_folders(spark, target, slots, keys)
     finally:
         rows.unpersist()
 
@@ -119,6 +116,50 @@ def _without(rows: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(repeated, place, "left_anti")
 
 
+def _hidden(target: str, what: str) -> str:
+    """Folders that begin with an underscore are no part of the table."""
+    return f"{target}/_{what}"
+
+
+def merge_folders(
+    spark: SparkSession, target: str, slots: Iterable[int], keys: list[str], most: int = FOLDERS
+) -> list[int]:
+    """Rewrite the folders of slots that have more than ``most`` as one each, sorted by key.
+
+    The writer calls this after a batch, so nothing else writes. The merged rows are complete in a hidden
+    folder before the small folders make way for them by renames; a crash in between is
+    made good by ``finish_merges`` before the next batch.
+    """
+    done = []
+    for slot in slots:
+        folder = f"{target}/{SLOT}={slot}"
+        batches = [x for run in files.children(spark, folder) for x in files.children(spark, run)]
+        if len(batches) <= most:
+            continue
+        rows = spark.read.parquet(*batches)
+        staged = _hidden(target, f"merge/{slot}")
+        # One task or a few, by size; files hold ranges of keys.
+        rows.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(
+            f"{staged}/run={MERGED}/batch_id=0"
+        )
+        files.rename(spark, folder, _hidden(target, f"old/{slot}"))
+        files.rename(spark, staged, folder)
+        files.delete(spark, _hidden(target, f"old/{slot}"))
+        done.append(slot)
+    return done
+
+
+def finish_merges(spark: SparkSession, target: str) -> None:
+    """Bring a merge that was cut off to its end, or drop it if it had not replaced anything."""
+    for old in files.children(spark, _hidden(target, "old")):
+        slot = old.rsplit("/", 1)[1]
+        staged, folder = _hidden(target, f"merge/{slot}"), f"{target}/{SLOT}={slot}"
+        if files.existing(spark, [staged]) and not files.existing(spark, [folder]):
+            files.rename(spark, staged, folder)
+        files.delete(spark, old)
+    files.delete(spark, _hidden(target, "merge"))
+
+
 def append_jdbc(
     batch: DataFrame, *, url: str, table: str, options: dict[str, str], writers: int = 4
 ) -> None:

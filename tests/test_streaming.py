@@ -99,8 +99,54 @@ def test_a_batch_opens_only_its_own_slots(spark, tmp_path):
         sinks.append_keyed(rows, day, target=target, run="r", keys=key, table=job.table)
     slots = sorted(p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("slot="))
     assert len(slots) == 4
-    found = sinks.stored_rows(spark, target, "event_id string", slots[0].removeprefix("slot="))
+    found = sinks.stored_rows(spark, target, "event_id string", [int(slots[0].removeprefix("slot="))])
     assert len(found.inputFiles()) == 1 and found.count() == 1
+    assert sinks.stored_rows(spark, target, "event_id string", [63, 62]) is None
+
+
+def _append(spark, target, batch_id, items, run="r"):
+    job = jobs.JOBS["vehicle-state"]
+    rows = jobs.table_rows(envelope(spark, items), job)
+    sinks.append_keyed(rows, batch_id, target=target, run=run, keys=constraints.KEYS[job.table], table=job.table)
+
+
+def test_a_batch_writes_a_file_per_slot_at_most(spark, tmp_path):
+    """Ids without a time over thirty days, and ids with one over a year."""
+    target = str(tmp_path / "t")
+    days = [f"2026-03-{1 + k % 30:02d}T08:00:00+00:00" for k in range(300)]
+    items = [event("vehicle", "source_timestamp", day, event_id=f"id-{k}") for k, day in enumerate(days)]
+    items += [event("vehicle", event_id=f"v:{1772000000 + 86400 * k}") for k in range(365)]
+    _append(spark, target, 0, items)
+    assert 0 < len(list((tmp_path / "t").rglob("*.parquet"))) <= sinks.SLOTS
+    _append(spark, target, 1, items)
+    assert sinks.read_keyed(spark, target).count() == 665
+
+
+def test_folders_of_a_slot_are_merged(spark, tmp_path):
+    target = str(tmp_path / "t")
+    for batch_id in range(sinks.FOLDERS + 2):
+        _append(spark, target, batch_id, [event("vehicle", event_id=f"v{batch_id}:1772884800")])
+    (slot,) = [p for p in (tmp_path / "t").iterdir() if p.name.startswith("slot=")]
+    folders = sorted(f"{p.parent.name}/{p.name}" for p in slot.glob("run=*/batch_id=*"))
+    assert folders == ["run=merged/batch_id=0", f"run=r/batch_id={sinks.FOLDERS + 1}"]
+    # A replay of a merged batch and of the last one add nothing.
+    for batch_id in (3, sinks.FOLDERS + 1):
+        _append(spark, target, batch_id, [event("vehicle", event_id=f"v{batch_id}:1772884800")])
+    assert sinks.read_keyed(spark, target).count() == sinks.FOLDERS + 2
+
+
+def test_a_merge_that_was_cut_off_is_finished(spark, tmp_path):
+    target = str(tmp_path / "t")
+    _append(spark, target, 0, [event("vehicle")])
+    (slot,) = [p for p in (tmp_path / "t").iterdir() if p.name.startswith("slot=")]
+    number = slot.name.removeprefix("slot=")
+    staged = tmp_path / "t" / "_merge" / number / "run=merged" / "batch_id=0"
+    spark.read.parquet(str(slot / "run=r" / "batch_id=0")).write.parquet(str(staged))
+    (tmp_path / "t" / "_old").mkdir()
+    slot.rename(tmp_path / "t" / "_old" / number)
+    _append(spark, target, 1, [event("vehicle"), event("vehicle", event_id="v9:1772884800")])
+    assert sinks.read_keyed(spark, target).count() == 2
+    assert not list((tmp_path / "t" / "_old").iterdir())
 
 
 def test_a_broken_row_stores_nothing_of_its_batch(spark, tmp_path):
