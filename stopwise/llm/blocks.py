@@ -168,12 +168,23 @@ def answer_blocks(
     return met.select("block_id", "block", "answers").mapInArrow(run, schema)
 
 
+def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct 64-bit keys, and each key's number among them; only they are sorted."""
+    coded = pa.array(keys, pa.uint64()).dictionary_encode()
+    some = coded.dictionary.to_numpy()
+    order = np.argsort(some)
+    place = np.empty(len(some), np.int64)
+    place[order] = np.arange(len(some))
+    return some[order], place[coded.indices.to_numpy()]
+
+
 def distinct_keys(
     keys: np.ndarray, count: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct 64-bit keys, each key's number among them, how often each occurs, and
     where each of ``count`` buckets, ranges of keys, begins."""
-    some, number, often = np.unique(keys, return_inverse=True, return_counts=True)
+    some, number = numbered(keys)
+    often = np.bincount(number, minlength=len(some))
     bucket = ((some >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
     return some, number, often, np.searchsorted(bucket, np.arange(count + 1))
 
@@ -197,8 +208,8 @@ SENT_KEYS = "bucket long, block_id long, keys binary"
 
 def _shared(table: pa.Table) -> pa.Table:
     each = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
-    _, number, often = np.unique(np.concatenate(each), return_inverse=True, return_counts=True)
-    shared = often[number] > 1
+    number = pa.array(np.concatenate(each), pa.uint64()).dictionary_encode().indices.to_numpy()
+    shared = np.bincount(number)[number] > 1
     ends = np.cumsum([len(x) for x in each])
     bits = [np.packbits(shared[e - len(x) : e]).tobytes() for x, e in zip(each, ends, strict=True)]
     return pa.table(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopwise.llm.shared import delete, stored_until
+from stopwise.llm.shared import delete, reclaim, stored_until
 
 
 def components(members: DataFrame) -> DataFrame:
@@ -34,6 +34,7 @@ def components(members: DataFrame) -> DataFrame:
         if before is not None:
             delete(spark, before)
         before = path
+        reclaim(spark)
         if moved.where("new").isEmpty():
             delete(spark, pairs)
             return labels

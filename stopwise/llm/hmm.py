@@ -46,18 +46,17 @@ def forward(
     step = np.ascontiguousarray(model.move.T, kind)
     alpha = np.empty_like(emitted)
     scale = np.empty(len(laid), kind)
-    now = None
-    for t, n in enumerate(steps.active.tolist()):
-        here = slice(int(steps.begin[t]), int(steps.begin[t]) + n)
-        if now is None:
-            now = model.begin.astype(kind)[:, None] * emitted[:, here]
+    before = 0
+    for at, n in zip(steps.begin.tolist(), steps.active.tolist(), strict=False):
+        now, total = alpha[:, at : at + n], scale[at : at + n]
+        if at:
+            np.matmul(step, alpha[:, before : before + n], out=now)
+            now *= emitted[:, at : at + n]
         else:
-            now = step @ now[:, :n]
-            now *= emitted[:, here]
-        total = now.sum(axis=0)
+            np.multiply(model.begin.astype(kind)[:, None], emitted[:, :n], out=now)
+        np.add.reduce(now, axis=0, out=total)
         now /= total
-        alpha[:, here] = now
-        scale[here] = total
+        before = at
     return alpha, scale, emitted
 
 
@@ -83,24 +82,23 @@ def expected_counts(
     steps = Steps(lengths)
     laid = steps.lay(symbols)
     alpha, scale, emitted = forward(model, steps, laid, kind)
-    # From here on these are what a place hands back, and the state probabilities.
+    # What each place hands back to the one before it, and what it has from the one after it.
     emitted /= scale
+    beta = np.ones_like(alpha)
     back = np.ascontiguousarray(model.move, kind)
-    later = None
-    for t in range(len(steps.active) - 1, -1, -1):
-        at, n = int(steps.begin[t]), int(steps.active[t])
-        here = slice(at, at + n)
-        if later is None:
-            later = emitted[:, here]
-            continue
-        go = later.shape[1]
-        move += alpha[:, at : at + go] @ later.T
-        beta = back @ later
-        alpha[:, at : at + go] *= beta
-        # Sequences that end here hand back their emission alone.
-        later = emitted[:, here]
-        later[:, :go] *= beta
+    begins, active = steps.begin.tolist(), steps.active.tolist()
+    for t in range(len(active) - 2, -1, -1):
+        at, go, after = begins[t], active[t + 1], begins[t + 1]
+        own = beta[:, at : at + go]
+        np.matmul(back, emitted[:, after : after + go], out=own)
+        # A sequence that ends at this place hands back its emission alone.
+        emitted[:, at : at + go] *= own
+    # Place ``n`` steps on in the same sequence, for all that go on.
+    first = int(steps.active[0])
+    earlier = steps.rank[first:] + np.repeat(steps.begin[:-2], steps.active[1:])
+    move += np.take(alpha, earlier, axis=1) @ emitted[:, first:].T
     move *= model.move
+    alpha *= beta
     begin += alpha[:, : steps.active[0]].sum(axis=1, dtype=np.float64)
     for k in range(states):
         emit[:, k] = np.bincount(laid, alpha[k], minlength=len(emit))
