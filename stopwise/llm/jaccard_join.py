@@ -316,15 +316,14 @@ def _linked(docs: DataFrame, ngram: int, num: int, den: int) -> DataFrame:
     # Small groups share a task; a large one is cut, each tile meeting each other.
     bins = 4 * partitions(docs.sparkSession)
     tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    placed = (
-        kept.join(groups, "node")
-        .join(sums, "label")
+    # Where each node goes is settled on narrow rows; sets are moved after that.
+    places = (
+        groups.join(sums, "label")
         .withColumn("own", tile)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         .select(
             "label",
             "node",
-            "shingles",
             F.when(F.col("tiles") > 1, F.col("label"))
             .otherwise(F.pmod(F.xxhash64("label"), F.lit(bins)) - bins)
             .alias("bin"),
@@ -332,6 +331,7 @@ def _linked(docs: DataFrame, ngram: int, num: int, den: int) -> DataFrame:
             F.greatest("own", "other").alias("b"),
         )
     )
+    placed = kept.select("node", "shingles").join(places, "node")
     links = placed.groupBy("bin", "a", "b").applyInArrow(
         lambda table: _multiply(num, den, table), "node long, key long"
     )
