@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from stopwise.llm import blocks as B
 from stopwise.llm.components import components
-from stopwise.llm.shared import held_packed, partitions, reclaim, stored
+from stopwise.llm.shared import partitions, reclaim, stored
 from stopwise.llm.textkit import (
     LOWER,
     NOT_SPACE,
@@ -47,6 +47,7 @@ from stopwise.llm.textkit import (
     Hasher,
     binary_array,
     chunks,
+    let_go,
     mix,
     words,
 )
@@ -176,21 +177,18 @@ def _send(ngram: int, num: int, den: int, count: int, block_id: int, batch: pa.R
 
 
 def _rows(ngram: int, num: int, den: int, count: int, block_id: int, batch: pa.RecordBatch, answers: dict):
-    """Per document: size, set fingerprint, and where a key occurs again, keys and set."""
+    """Per document: size, set fingerprint, the keys that occur again, and its place in the block."""
     keys, owners = _all_keys(batch, ngram, num, den)
     again = B.occurs_again(keys, count, answers) if len(keys) else np.zeros(0, bool)
     keys, owners = keys[again], owners[again]
     order = np.argsort(owners, kind="stable")
     keys, bounds = keys[order], np.searchsorted(owners[order], np.arange(batch.num_rows + 1))
-    n, one, two, sets = [], [], [], []
-    for first, hashes, rows, sizes in _sets(batch, ngram):
+    n, one, two = [], [], []
+    for _, hashes, _, sizes in _sets(batch, ngram):
         ends = np.concatenate([[0], np.cumsum(sizes)])
         n.append(sizes)
         one.append(_sums(mix(hashes + _U(11)), ends))
         two.append(_sums(mix(hashes ^ _U(0xA5A5A5A5A5A5A5A5)), ends))
-        for row in range(len(sizes)):
-            linked = bounds[first + row] < bounds[first + row + 1]
-            sets.append(hashes[ends[row] : ends[row + 1]].tobytes() if linked else None)
     size, one, two = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (n, one, two))
     listed = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(keys.view(np.int64)))
     yield pa.RecordBatch.from_arrays(
@@ -201,12 +199,36 @@ def _rows(ngram: int, num: int, den: int, count: int, block_id: int, batch: pa.R
             pa.array(one.view(np.int64)),
             pa.array(two.view(np.int64)),
             listed,
-            pa.array(sets, pa.binary()),
+            pa.array(np.full(batch.num_rows, block_id, np.int64)),
+            pa.array(np.arange(batch.num_rows, dtype=np.int64)),
         ],
-        names=["doc_id", "text_hash", "n", "one", "two", "keys", "shingles"],
+        names=["doc_id", "text_hash", "n", "one", "two", "keys", "block_id", "place"],
     )
 
 
+_MEMBER = ("label", "node", "own", "tiles")
+
+
+def _member_sets(ngram: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets of the documents that are members of groups, read from their blocks once more."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            block = B.read_block(batch.column("block")[i].as_buffer().to_pybytes())
+            members = batch.column("members")[i].values
+            texts = block.column("text").take(members.field("place"))
+            del block
+            for first, hashes, _, sizes in _sets(pa.record_batch([texts], ["text"]), ngram):
+                ends = np.concatenate([[0], np.cumsum(sizes)])
+                packed = [hashes[low:high].tobytes() for low, high in zip(ends[:-1], ends[1:], strict=True)]
+                some = members.slice(first, len(sizes))
+                yield pa.RecordBatch.from_arrays(
+                    [*(some.field(name) for name in _MEMBER), binary_array(packed)],
+                    names=[*_MEMBER, "shingles"],
+                )
+            del texts, members
+            let_go()
+
+
 def product_links(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
     """Component number of each set, linked where num * union <= den * overlap.
 
@@ -285,11 +307,13 @@ def _linked(docs: DataFrame, ngram: int, num: int, den: int) -> DataFrame:
             held,
             B.shared_keys(sent),
             partial(_rows, ngram, num, den, count),
-            "doc_id long, text_hash long, n long, one long, two long, keys array<long>, shingles binary",
+            "doc_id long, text_hash long, n long, one long, two long, keys array<long>, "
+            "block_id long, place long",
         ).withColumn("row", F.monotonically_increasing_id())
     )
-    # Texts and what blocks sent are not needed any more; what is left is far smaller.
-    del held, sent
+    # What blocks sent is not needed any more. Sets are not kept: they weigh more than the
+    # compressed texts, from which those of candidate groups are made again.
+    del sent
     reclaim(docs.sparkSession)
     same = ("n", "one", "two")
     # Documents without words are not equal to each other.
@@ -299,10 +323,10 @@ def _linked(docs: DataFrame, ngram: int, num: int, den: int) -> DataFrame:
             F.min(F.struct(F.isnull("doc_id").alias("missing"), "doc_id", "text_hash")).alias("least"),
         )
     )
-    kept = held_packed(
-        rows.where("shingles IS NOT NULL")
+    kept = (
+        rows.where(F.size("keys") > 0)
         .join(classes.select(F.col("node").alias("row")), "row", "left_semi")
-        .select(F.col("row").alias("node"), "n", "keys", "shingles")
+        .select(F.col("row").alias("node"), "n", "keys", "block_id", "place")
     )
     groups = stored(components(kept.select("node", F.explode("keys").alias("key"))))
     reclaim(docs.sparkSession)
@@ -316,22 +340,32 @@ def _linked(docs: DataFrame, ngram: int, num: int, den: int) -> DataFrame:
     # Small groups share a task; a large one is cut, each tile meeting each other.
     bins = 4 * partitions(docs.sparkSession)
     tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    # Where each node goes is settled on narrow rows; sets are moved after that.
-    places = (
+    # Where each node goes is settled on narrow rows; sets are moved once, after that.
+    member = F.struct("place", "label", "node", tile.alias("own"), "tiles")
+    asked = (
         groups.join(sums, "label")
-        .withColumn("own", tile)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        .select(
-            "label",
-            "node",
-            F.when(F.col("tiles") > 1, F.col("label"))
-            .otherwise(F.pmod(F.xxhash64("label"), F.lit(bins)) - bins)
-            .alias("bin"),
-            F.least("own", "other").alias("a"),
-            F.greatest("own", "other").alias("b"),
+        .join(kept.select("node", "block_id", "place"), "node")
+        .groupBy("block_id")
+        .agg(F.array_sort(F.collect_list(member)).alias("members"))
+    )
+    sets = (
+        held.select("block_id", "block")
+        .join(asked, "block_id")
+        .select("block", "members")
+        .mapInArrow(
+            partial(_member_sets, ngram), "label long, node long, own int, tiles int, shingles binary"
         )
     )
-    placed = kept.select("node", "shingles").join(places, "node")
+    placed = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
+        "label",
+        "node",
+        F.when(F.col("tiles") > 1, F.col("label"))
+        .otherwise(F.pmod(F.xxhash64("label"), F.lit(bins)) - bins)
+        .alias("bin"),
+        F.least("own", "other").alias("a"),
+        F.greatest("own", "other").alias("b"),
+        "shingles",
+    )
     links = placed.groupBy("bin", "a", "b").applyInArrow(
         lambda table: _multiply(num, den, table), "node long, key long"
     )
