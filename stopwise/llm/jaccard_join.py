@@ -64,11 +64,13 @@ _U = np.uint64
 
 def _parts(size: int, differ: int) -> int:
     """Blocks for sets of at least ``size`` elements that may differ in ``differ`` ones: mostly so
-    many that more than ``differ`` of them have an element."""
-    for parts in range(differ + 1, 2 * differ + 2):
-        empty = parts * float(np.exp(-size / parts))
-        if parts - empty - 2 * empty**0.5 >= differ + 1:
-            return parts
+    many that more than ``differ`` of them have two elements, or else one."""
+    for scarce in (lambda mean: 1 + mean, lambda mean: 1.0):
+        for parts in range(differ + 1, 2 * differ + 2):
+            mean = size / parts
+            weak = parts * float(np.exp(-mean)) * scarce(mean)
+            if parts - weak - 2 * weak**0.5 >= differ + 1:
+                return parts
     return differ + 1 + differ // 8
 
 
@@ -129,7 +131,12 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def block_keys(
     hashes: np.ndarray, rows: np.ndarray, sizes: np.ndarray, num: int, den: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the column blocks of each set, for its own size class and the one below."""
+    """Keys of the column blocks of each set, for its own size class and the one below.
+
+    Sets that differ in at most ``differ`` of their blocks share a key among the first
+    ``differ`` + 1 of each, in any order that depends on a block's content alone. Blocks of
+    most elements come first: those of one or none say little and would tie strangers.
+    """
     classes = SizeClasses(num, den, int(sizes.max(initial=0)))
     own = classes.of(sizes)
     mixed = mix(hashes + _U(1))
@@ -148,11 +155,11 @@ def block_keys(
         owner = np.repeat(np.arange(len(sizes)), count)
         number = np.arange(base[-1]) - base[owner]
         salt = level[owner].astype(_U) * _U(0x9E3779B97F4A7C15) + number.astype(_U)
-        # With more blocks in use than can differ, one of those is equal in both sets.
-        full = bounds[1:] > bounds[:-1]
-        enough = np.bincount(owner[full], minlength=len(sizes)) > differ
-        told = full | ~enough[owner]
-        keys.append(mix(sums + mix(salt))[told])
+        key = mix(sums + mix(salt))
+        order = np.lexsort((key, -np.diff(bounds), owner))
+        rank = np.arange(len(order)) - base[owner]
+        told = order[rank <= differ[owner]]
+        keys.append(key[told])
         owners.append(owner[told])
     return np.concatenate(keys), np.concatenate(owners)
 

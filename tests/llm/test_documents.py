@@ -6,6 +6,7 @@ import hashlib
 import re
 import zlib
 
+import numpy as np
 import pytest
 
 from stopwise.llm import (
@@ -235,6 +236,50 @@ def test_size_classes_never_part_linked_sizes():
             assert union - -(-90 * union // 100) < classes.blocks[own]
 
 
+@pytest.mark.parametrize("num", [80, 90])
+def test_linked_sets_share_a_key(num):
+    """Pairs at and near the bound, with elements taken away and added; none is missed."""
+    rng = np.random.default_rng(num)
+
+    def drawn(count):
+        return rng.integers(0, 1 << 63, count).astype(np.uint64)
+
+    linked = 0
+    for _ in range(600):
+        size = int(rng.integers(3, 700))
+        base = drawn(size)
+        spare = size * (100 - num) // num + 1
+        changed = int(rng.integers(0, spare + 1))
+        less = int(rng.integers(0, changed + 1))
+        one, two = np.unique(base), np.unique(np.concatenate([base[less:], drawn(changed - less)]))
+        both = len(np.intersect1d(one, two))
+        if both == len(one) == len(two) or 100 * both < num * (len(one) + len(two) - both):
+            continue
+        linked += 1
+        sizes = np.array([len(one), len(two)])
+        keys, owners = jaccard_join.block_keys(
+            np.concatenate([one, two]), np.repeat([0, 1], sizes), sizes, num, 100
+        )
+        assert np.isin(keys[owners == 0], keys[owners == 1]).any()
+    assert linked > 300
+
+
+def test_common_shingles_tie_no_strangers():
+    """Sets that share six elements of 300 with all others have hardly a key in common."""
+    rng = np.random.default_rng(5)
+    common = rng.integers(0, 1 << 63, 6).astype(np.uint64)
+    sets = [
+        np.unique(np.concatenate([common, rng.integers(0, 1 << 63, 294).astype(np.uint64)]))
+        for _ in range(400)
+    ]
+    sizes = np.array([len(x) for x in sets])
+    keys, owners = jaccard_join.block_keys(
+        np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes), sizes, 80, 100
+    )
+    _, number, times = np.unique(keys, return_inverse=True, return_counts=True)
+    assert len(np.unique(owners[times[number] > 1])) < 40
+
+
 def test_contamination(spark, docs, empty):
     long_text = max((t for t in samples.texts() if t), key=len).split(" ")
     items = [
