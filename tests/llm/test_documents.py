@@ -242,7 +242,7 @@ def test_linked_sets_share_a_key(num):
     rng = np.random.default_rng(num)
 
     def drawn(count):
-        return rng.integers(0, 1 << 63, count).astype(np.uint64)
+        return rng.integers(0, 1 << 64, count, dtype=np.uint64)
 
     linked = 0
     for _ in range(600):
@@ -264,20 +264,16 @@ def test_linked_sets_share_a_key(num):
     assert linked > 300
 
 
-def test_common_shingles_tie_no_strangers():
-    """Sets that share six elements of 300 with all others have hardly a key in common."""
+def test_a_set_has_no_more_keys_than_its_prefix():
+    """Per size class one key more than blocks may differ."""
     rng = np.random.default_rng(5)
-    common = rng.integers(0, 1 << 63, 6).astype(np.uint64)
-    sets = [
-        np.unique(np.concatenate([common, rng.integers(0, 1 << 63, 294).astype(np.uint64)]))
-        for _ in range(400)
-    ]
-    sizes = np.array([len(x) for x in sets])
-    keys, owners = jaccard_join.block_keys(
-        np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes), sizes, 80, 100
-    )
-    _, number, times = np.unique(keys, return_inverse=True, return_counts=True)
-    assert len(np.unique(owners[times[number] > 1])) < 40
+    sizes = np.array([3, 40, 300, 301, 2000])
+    classes = jaccard_join.SizeClasses(80, 100, 2000)
+    hashes = np.concatenate([np.sort(rng.integers(0, 1 << 64, n, dtype=np.uint64)) for n in sizes])
+    _, owners = jaccard_join.block_keys(hashes, np.repeat(np.arange(len(sizes)), sizes), sizes, 80, 100)
+    own = classes.of(sizes)
+    want = [sum(int(classes.differ[k]) + 1 for k in (x, x - 1) if k >= 0) for x in own]
+    assert np.bincount(owners, minlength=len(sizes)).tolist() == want
 
 
 def test_contamination(spark, docs, empty):
