@@ -13,11 +13,15 @@ neighbouring ones. Per block the equal contents are a key:
 1. blocks of documents exchange the keys of their column blocks; a document
    none of whose keys occurs elsewhere is linked with nothing;
 2. equal sets become one row; rows connected by keys form candidate groups;
-3. each group is multiplied out: overlap counts of one row against the others
+3. a group larger than a tile, which chains of keys can make of strangers, is first
+   multiplied out on sketches, two bytes for each column block: sets that may differ in
+   ``differ`` blocks have all others equal, so pairs with fewer equal ones are not linked,
+   and what is left falls apart into small groups;
+4. each group is multiplied out: overlap counts of one row against the others
    are accumulated over the columns they share, pairs below the bound that
    their sizes give are dropped, and rows found linked leave the columns. A
    group larger than a tile is cut into tiles, and tiles are multiplied in pairs;
-4. links connect rows to components, and copies get the component of their set.
+5. links connect rows to components, and copies get the component of their set.
 
 Only memberships leave a tile, at most one per row, never its pairs.
 
@@ -29,7 +33,7 @@ linked rows with the smallest id it keeps one, that of the smallest text hash.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -58,6 +62,7 @@ NUM, DEN = 90, 100
 STAGE_NGRAM = 5
 STAGE_NUM, STAGE_DEN = 80, 100
 TILE = 1 << 20  # shingles of a tile
+SKETCH_TILE = 1 << 21  # shingles of a tile whose sets are sketched
 _HASHER = Hasher(5)
 _U = np.uint64
 
@@ -98,6 +103,17 @@ class SizeClasses:
         """Class of each size; -1 where only equal sets are linked."""
         return np.searchsorted(self.lows, sizes, "right") - 1
 
+    def count(self, level: np.ndarray) -> np.ndarray:
+        """Column blocks of sets of each class."""
+        return np.where(level >= 0, self.blocks[np.maximum(level, 0)], 0)
+
+    def equal(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Blocks, at both levels, that linked sets of two classes have in common at least."""
+        low = np.minimum(one, two)
+        least = self.blocks[low] - self.differ[low]
+        below = np.maximum(self.count(low - 1) - self.differ[low], 0)
+        return np.where(one == two, least + below, least)
+
 
 def shingle_sets(chunk: Chunk, ngram: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of a chunk in order of (row, hash), and their rows."""
@@ -128,6 +144,24 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
+def _block_hashes(
+    hashes: np.ndarray, mixed: np.ndarray, rows: np.ndarray, level: np.ndarray, count: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A hash of each column block of each set, the block's set, and its number of elements."""
+    base = np.zeros(len(level) + 1, np.int64)
+    np.cumsum(count, out=base[1:])
+    # Sets without blocks are passed over; the rest is in order of row, hash and so block.
+    used = count[rows] > 0
+    part = ((hashes[used] >> _U(32)) * count[rows[used]].astype(_U)) >> _U(32)
+    place = base[rows[used]] + part.astype(np.int64)
+    bounds = np.searchsorted(place, np.arange(base[-1] + 1))
+    sums = _sums(mixed[used], bounds)
+    owner = np.repeat(np.arange(len(level)), count)
+    number = np.arange(base[-1]) - base[owner]
+    salt = level[owner].astype(_U) * _U(0x9E3779B97F4A7C15) + number.astype(_U)
+    return mix(sums + mix(salt)), owner, np.diff(bounds)
+
+
 def block_keys(
     hashes: np.ndarray, rows: np.ndarray, sizes: np.ndarray, num: int, den: int
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -142,28 +176,33 @@ def block_keys(
     mixed = mix(hashes + _U(1))
     keys, owners = [], []
     for level in (own, own - 1):
-        count = np.where(level >= 0, classes.blocks[np.maximum(level, 0)], 0)
+        count = classes.count(level)
         differ = classes.differ[np.maximum(level, 0)]
-        base = np.zeros(len(sizes) + 1, np.int64)
-        np.cumsum(count, out=base[1:])
-        # Sets without blocks are passed over; the rest is in order of row, hash and so block.
-        used = count[rows] > 0
-        part = ((hashes[used] >> _U(32)) * count[rows[used]].astype(_U)) >> _U(32)
-        place = base[rows[used]] + part.astype(np.int64)
-        bounds = np.searchsorted(place, np.arange(base[-1] + 1))
-        sums = _sums(mixed[used], bounds)
-        owner = np.repeat(np.arange(len(sizes)), count)
-        number = np.arange(base[-1]) - base[owner]
-        salt = level[owner].astype(_U) * _U(0x9E3779B97F4A7C15) + number.astype(_U)
-        key = mix(sums + mix(salt))
-        order = np.lexsort((key, -np.diff(bounds), owner))
-        rank = np.arange(len(order)) - base[owner]
+        key, owner, elements = _block_hashes(hashes, mixed, rows, level, count)
+        order = np.lexsort((key, -elements, owner))
+        first = np.cumsum(count) - count
+        rank = np.arange(len(order)) - first[owner]
         told = order[rank <= differ[owner]]
         keys.append(key[told])
         owners.append(owner[told])
     return np.concatenate(keys), np.concatenate(owners)
 
 
+def sketches(
+    hashes: np.ndarray, rows: np.ndarray, sizes: np.ndarray, num: int, den: int
+) -> list[bytes]:
+    """Two bytes of each column block's hash, for a set's own size class and then the one below."""
+    classes = SizeClasses(num, den, int(sizes.max(initial=0)))
+    own = classes.of(sizes)
+    mixed = mix(hashes + _U(1))
+    found = []
+    for level in (own, own - 1):
+        key, owner, _ = _block_hashes(hashes, mixed, rows, level, classes.count(level))
+        short = (key & _U(0xFFFF)).astype("<u2")
+        found.append(np.split(short, np.searchsorted(owner, np.arange(1, len(sizes)))))
+    return [one.tobytes() + two.tobytes() for one, two in zip(*found, strict=True)]
+
+
 def _sets(batch: pa.RecordBatch, ngram: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     for chunk in chunks(batch.column("text")):
         hashes, rows = shingle_sets(chunk, ngram)
@@ -213,10 +252,18 @@ def _rows(ngram: int, num: int, den: int, count: int, block_id: int, batch: pa.R
     )
 
 
-_MEMBER = ("label", "node", "own", "tiles")
+_MEMBER = ("label", "node", "n", "own", "tiles")
+_MEMBERS = "label long, node long, n long, own int, tiles int, packed binary"
 
 
-def _member_sets(ngram: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _packed_sets(hashes: np.ndarray, rows: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    return [hashes[low:high].tobytes() for low, high in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def _member_sets(
+    ngram: int, pack: Callable[..., list[bytes]], batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
     """Sets of the documents that are members of groups, read from their blocks once more."""
     for batch in batches:
         for i in range(batch.num_rows):
@@ -224,20 +271,21 @@ def _member_sets(ngram: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
             members = batch.column("members")[i].values
             texts = block.column("text").take(members.field("place"))
             del block
-            for first, hashes, _, sizes in _sets(pa.record_batch([texts], ["text"]), ngram):
-                ends = np.concatenate([[0], np.cumsum(sizes)])
-                packed = [hashes[low:high].tobytes() for low, high in zip(ends[:-1], ends[1:], strict=True)]
+            for first, hashes, rows, sizes in _sets(pa.record_batch([texts], ["text"]), ngram):
                 some = members.slice(first, len(sizes))
                 yield pa.RecordBatch.from_arrays(
-                    [*(some.field(name) for name in _MEMBER), binary_array(packed)],
-                    names=[*_MEMBER, "shingles"],
+                    [*(some.field(name) for name in _MEMBER), binary_array(pack(hashes, rows, sizes))],
+                    names=[*_MEMBER, "packed"],
                 )
             del texts, members
             let_go()
 
 
-def product_links(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
-    """Component number of each set, linked where num * union <= den * overlap.
+def _reached(
+    sets: list[np.ndarray], near: Callable[[int, np.ndarray, np.ndarray], np.ndarray]
+) -> np.ndarray:
+    """Component number of each set; ``near`` tells, for a row, others and their overlaps, which
+    of them are linked.
 
     One row of the sparse product at a time, breadth first: a row that is
     reached is not compared again as a column, so copies cost little.
@@ -246,7 +294,6 @@ def product_links(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
     column = np.unique(np.concatenate(sets), return_inverse=True)[1]
     row = np.repeat(np.arange(len(sets)), sizes)
     ends = np.concatenate([[0], np.cumsum(sizes)])
-    own = [column[ends[i] : ends[i + 1]] for i in range(len(sets))]
     width = int(column.max(initial=-1)) + 1
     label = np.full(len(sets), -1)
     waiting = np.ones(len(sets), bool)
@@ -259,48 +306,149 @@ def product_links(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
         order = np.argsort(column[left], kind="stable")
         by_column = row[left][order]
         starts = np.searchsorted(column[left][order], np.arange(width + 1))
-        indexed = int(waiting.sum())
+        indexed = remaining
 
+    remaining = len(sets)
     index()
     for seed in range(len(sets)):
         if not waiting[seed]:
             continue
         waiting[seed] = False
+        remaining -= 1
         label[seed] = seed
         queue = [seed]
         while queue:
             here = queue.pop()
-            if 2 * waiting.sum() < indexed:
+            if 2 * remaining < indexed:
                 index()
-            low, high = starts[own[here]], starts[own[here] + 1]
+            own = column[ends[here] : ends[here + 1]]
+            low, high = starts[own], starts[own + 1]
             length = high - low
             total = int(length.sum())
             place = np.arange(total) + np.repeat(low - np.cumsum(length) + length, length)
-            overlap = np.bincount(by_column[place], minlength=len(sets))
-            near = (num * (sizes + sizes[here] - overlap) <= den * overlap) & waiting & (overlap > 0)
-            reached = np.flatnonzero(near)
+            touched = by_column[place]
+            # Few touched rows are counted by sorting them, many in an array over all rows.
+            if 16 * total < len(sets):
+                others, overlap = np.unique(touched, return_counts=True)
+            else:
+                overlap = np.bincount(touched, minlength=len(sets))
+                others = np.flatnonzero(overlap)
+                overlap = overlap[others]
+            reached = others[near(here, others, overlap) & waiting[others]]
             waiting[reached] = False
+            remaining -= len(reached)
             label[reached] = seed
             queue.extend(reached.tolist())
     return label
 
 
-def _multiply(num: int, den: int, table: pa.Table) -> pa.Table:
+def product_links(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
+    """Component number of each set, linked where num * union <= den * overlap."""
+    sizes = np.array([len(x) for x in sets])
+    return _reached(
+        sets,
+        lambda here, others, overlap: num * (sizes[others] + sizes[here] - overlap) <= den * overlap,
+    )
+
+
+def sketch_links(packed: list[bytes], sizes: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Component number of each sketched set; linked sets are of one, others may be.
+
+    Equal blocks have equal bytes, so what is counted is never less than the equal blocks.
+    """
+    classes = SizeClasses(num, den, int(sizes.max(initial=0)))
+    own = classes.of(sizes)
+    one, two = classes.count(own), classes.count(own - 1)
+    sets = []
+    for data, level, many, fewer in zip(packed, own.tolist(), one.tolist(), two.tolist(), strict=True):
+        block = np.concatenate([np.arange(many), np.arange(fewer)])
+        kind = np.repeat(np.array([level, level - 1]), [many, fewer])
+        sets.append((kind << 48) | (block << 16) | np.frombuffer(data, "<u2").astype(np.int64))
+
+    def near(here: int, others: np.ndarray, overlap: np.ndarray) -> np.ndarray:
+        apart = np.abs(own[others] - own[here])
+        small, large = np.minimum(sizes[others], sizes[here]), np.maximum(sizes[others], sizes[here])
+        enough = overlap >= classes.equal(own[others], own[here])
+        return (apart <= 1) & (num * large <= den * small) & enough
+
+    return _reached(sets, near)
+
+
+def _multiply(links: Callable[[list[bytes], np.ndarray], np.ndarray], table: pa.Table) -> pa.Table:
     """Links within each candidate group of a bin (or within a pair of tiles of one)."""
     table = table.sort_by([("label", "ascending"), ("node", "ascending")])
     label, node = table.column("label").to_numpy(), table.column("node").to_numpy()
-    packed = table.column("shingles").to_pylist()
+    packed, sizes = table.column("packed").to_pylist(), table.column("n").to_numpy()
     begins = np.flatnonzero(np.concatenate([[True], label[1:] != label[:-1]]))
     out = node.copy()
     for low, high in zip(begins, np.append(begins[1:], len(label)), strict=True):
-        sets = [np.frombuffer(x, _U) for x in packed[low:high]]
-        out[low:high] = node[low:high][product_links(sets, num, den)]
+        out[low:high] = node[low:high][links(packed[low:high], sizes[low:high])]
     linked = out != node
     roots = np.isin(node, out[linked])
     some = linked | roots
     return pa.table({"node": pa.array(node[some]), "key": pa.array(out[some])})
 
 
+def _whole_links(num: int, den: int, packed: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    return product_links([np.frombuffer(x, _U) for x in packed], num, den)
+
+
+def _sketch_links(num: int, den: int, packed: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    return sketch_links(packed, sizes, num, den)
+
+
+def _products(
+    held: DataFrame,
+    kept: DataFrame,
+    groups: DataFrame,
+    tile_size: int,
+    making: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    links: Callable[[list[bytes], np.ndarray], np.ndarray],
+) -> DataFrame:
+    """(node, key) of nodes linked within groups (label, node), whose sets ``making`` packs.
+
+    Small groups share a task; one of more than ``tile_size`` shingles is cut, each tile
+    meeting each other.
+    """
+    bins = 4 * partitions(held.sparkSession)
+    sums = (
+        groups.join(kept.select("node", "n"), "node")
+        .groupBy("label")
+        .agg(F.sum("n").alias("total"), F.count("*").alias("rows"))
+        .where("rows > 1")
+        .select("label", F.ceil(F.col("total") / F.lit(tile_size)).cast("int").alias("tiles"))
+    )
+    tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
+    # Where each node goes is settled on narrow rows; sets are moved once, after that.
+    member = F.struct("place", "label", "node", "n", tile.alias("own"), "tiles")
+    asked = (
+        groups.join(sums, "label")
+        .join(kept.select("node", "n", "block_id", "place"), "node")
+        .groupBy("block_id")
+        .agg(F.array_sort(F.collect_list(member)).alias("members"))
+    )
+    sets = (
+        held.select("block_id", "block")
+        .join(asked, "block_id")
+        .select("block", "members")
+        .mapInArrow(making, _MEMBERS)
+    )
+    placed = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
+        "label",
+        "node",
+        "n",
+        F.when(F.col("tiles") > 1, F.col("label"))
+        .otherwise(F.pmod(F.xxhash64("label"), F.lit(bins)) - bins)
+        .alias("bin"),
+        F.least("own", "other").alias("a"),
+        F.greatest("own", "other").alias("b"),
+        "packed",
+    )
+    return placed.groupBy("bin", "a", "b").applyInArrow(
+        lambda table: _multiply(links, table), "node long, key long"
+    )
+
+
 def _linked(docs: DataFrame, ngram: int, num: int, den: int) -> DataFrame:
     """Per document: doc_id, text_hash, n, and first, the (missing, doc_id, text_hash) that
     comes first of its component; null for a document without words."""
@@ -337,45 +485,26 @@ def _linked(docs: DataFrame, ngram: int, num: int, den: int) -> DataFrame:
     )
     groups = stored(components(kept.select("node", F.explode("keys").alias("key"))))
     reclaim(docs.sparkSession)
-    sums = (
+    wide = stored(
         groups.join(kept.select("node", "n"), "node")
         .groupBy("label")
-        .agg(F.sum("n").alias("n"), F.count("*").alias("rows"))
-        .where("rows > 1")
-        .select("label", F.ceil(F.col("n") / F.lit(TILE)).cast("int").alias("tiles"))
+        .agg(F.sum("n").alias("total"))
+        .where(F.col("total") > TILE)
+        .select("label")
     )
-    # Small groups share a task; a large one is cut, each tile meeting each other.
-    bins = 4 * partitions(docs.sparkSession)
-    tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    # Where each node goes is settled on narrow rows; sets are moved once, after that.
-    member = F.struct("place", "label", "node", tile.alias("own"), "tiles")
-    asked = (
-        groups.join(sums, "label")
-        .join(kept.select("node", "block_id", "place"), "node")
-        .groupBy("block_id")
-        .agg(F.array_sort(F.collect_list(member)).alias("members"))
-    )
-    sets = (
-        held.select("block_id", "block")
-        .join(asked, "block_id")
-        .select("block", "members")
-        .mapInArrow(
-            partial(_member_sets, ngram), "label long, node long, own int, tiles int, shingles binary"
+    making = partial(_member_sets, ngram, partial(sketches, num=num, den=den))
+    nearer = components(
+        _products(
+            held, kept, groups.join(wide, "label", "left_semi"), SKETCH_TILE, making,
+            partial(_sketch_links, num, den),
         )
     )
-    placed = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
-        "label",
-        "node",
-        F.when(F.col("tiles") > 1, F.col("label"))
-        .otherwise(F.pmod(F.xxhash64("label"), F.lit(bins)) - bins)
-        .alias("bin"),
-        F.least("own", "other").alias("a"),
-        F.greatest("own", "other").alias("b"),
-        "shingles",
-    )
-    links = placed.groupBy("bin", "a", "b").applyInArrow(
-        lambda table: _multiply(num, den, table), "node long, key long"
+    groups = stored(
+        groups.join(wide, "label", "left_anti").select("node", "label").unionByName(nearer)
     )
+    reclaim(docs.sparkSession)
+    making = partial(_member_sets, ngram, _packed_sets)
+    links = _products(held, kept, groups, TILE, making, partial(_whole_links, num, den))
     found = components(links)
     labelled = classes.join(found, "node", "left").withColumn(
         "label", F.coalesce("label", "node")

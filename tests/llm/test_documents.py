@@ -221,8 +221,10 @@ def test_jaccard_groups_larger_than_a_tile(spark, monkeypatch, small_blocks):
         rows.append((k, " ".join(words)))
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     monkeypatch.setattr(jaccard_join, "TILE", 500)
-    found = sorted(tuple(r) for r in jaccard_join.linked_documents(frame).collect())
-    assert found == sorted(linked(rows))
+    for tile in (500, 1 << 20):
+        monkeypatch.setattr(jaccard_join, "SKETCH_TILE", tile)
+        found = sorted(tuple(r) for r in jaccard_join.linked_documents(frame).collect())
+        assert found == sorted(linked(rows))
 
 
 def test_size_classes_never_part_linked_sizes():
@@ -261,9 +263,31 @@ def test_linked_sets_share_a_key(num):
             np.concatenate([one, two]), np.repeat([0, 1], sizes), sizes, num, 100
         )
         assert np.isin(keys[owners == 0], keys[owners == 1]).any()
+        packed = jaccard_join.sketches(
+            np.concatenate([one, two]), np.repeat([0, 1], sizes), sizes, num, 100
+        )
+        if (jaccard_join.SizeClasses(num, 100, int(sizes.max())).of(sizes) >= 0).all():
+            assert len(set(jaccard_join.sketch_links(packed, sizes, num, 100).tolist())) == 1
     assert linked > 300
 
 
+@pytest.mark.parametrize("num", [80, 90])
+def test_sketches_part_sets_that_share_a_passage(num):
+    """Strangers with a fifth of their shingles in common share keys, but no sketch."""
+    rng = np.random.default_rng(num)
+    passage = rng.integers(0, 1 << 64, 60, dtype=np.uint64)
+    sets = [
+        np.unique(np.concatenate([passage, rng.integers(0, 1 << 64, 240, dtype=np.uint64)]))
+        for _ in range(40)
+    ]
+    sizes = np.array([len(x) for x in sets])
+    packed = jaccard_join.sketches(
+        np.concatenate(sets), np.repeat(np.arange(40), sizes), sizes, num, 100
+    )
+    found = jaccard_join.sketch_links(packed, sizes, num, 100)
+    assert len(set(found.tolist())) == 40
+
+
 def test_a_set_has_no_more_keys_than_its_prefix():
     """Per size class one key more than blocks may differ."""
     rng = np.random.default_rng(5)
