@@ -1,4 +1,4 @@
-"""Checks of the operational rules: alert life, bunching, stalled vehicles."""
+"""Checks of the operational rules: alert life, bunching, stalled vehicles, windows and limits."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from checks.projections import Staged, project
 from checks.registry import check
 from stopwise.operators import bunching, stalled
 from stopwise.session import shared_folder
-from stopwise.streaming import alerts
+from stopwise.streaming import alerts, windows
 
 # Delays of trips as detections: a fingerprint per user, times as they are. The last row is
 # far later and of a fingerprint of its own, so that the watermark passes all others.
@@ -150,3 +150,77 @@ STILL, SPAN = 6000.0, 43_200
 def _(t):
     found = stalled.stalled(t["vehicle_positions"], STILL, SPAN, seen=0.5, width=2 * SPAN)
     return found.withColumn("most_metres", F.round("most_metres", 3))
+
+
+RECORDS = """
+SELECT cast(ts as timestamp) AS event_at,
+    CASE WHEN event_id % 37 = 0 THEN null ELSE cast(ts as timestamp)
+        + cast(event_id * event_id % 95003 - 500 as int) * interval '1' millisecond END AS arrived_at,
+    event_id % 150 <> 0 AS is_valid, event_id % 450 = 7 AS is_dead_letter,
+    CASE WHEN user_id % 90 = 0 THEN null ELSE user_id END AS route_id
+FROM @events
+"""
+
+
+def _records(t: Staged):
+    rows = project(t.spark, t.folder, RECORDS)
+    return rows.withColumn("route_id", F.col("route_id").cast("string"))
+
+
+def _windows_sql(seconds: int) -> str:
+    return f"""
+    SELECT time_bucket(interval '{seconds}' second, event_at) AS window_start, {seconds} AS window_seconds,
+        count(*) AS records, count(*) FILTER (NOT is_valid) / count(*) AS invalid_ratio,
+        count(*) FILTER (is_dead_letter) / count(*) AS dead_letters_ratio,
+        count(*) FILTER (route_id IS NULL) / count(*) AS missing_route_ratio,
+        quantile_disc(ms, 0.95) AS p95
+    FROM timed GROUP BY ALL"""
+
+
+_WINDOWS = f"""
+SELECT * FROM (WITH timed AS (
+    SELECT *, greatest(cast(floor((epoch_us(arrived_at) - epoch_us(event_at)) / 1000) as bigint), 0) AS ms
+    FROM ({RECORDS.replace("@events", "events")})
+), timed_or_not AS (
+    SELECT * REPLACE (CASE WHEN arrived_at IS NULL THEN null ELSE ms END AS ms) FROM timed
+), found AS ({" UNION ALL ".join(_windows_sql(x).replace("FROM timed ", "FROM timed_or_not ") for x in windows.WINDOWS.values())}
+), classes AS (
+    SELECT * EXCLUDE (p95), cast(p95 | ((cast(1 as bigint) << greatest(length(bin(p95)) - 7, 0)) - 1) as bigint)
+        AS p95_latency_ms FROM found
+)
+SELECT *, CASE WHEN invalid_ratio > 0.01 OR dead_letters_ratio > 0.005 THEN 'critical'
+    WHEN missing_route_ratio > 0.02 OR p95_latency_ms > 60000 THEN 'warning' ELSE 'ok' END AS status
+FROM classes) q
+"""
+
+
+@check("operational_windows", "RULE4 RULE5", _WINDOWS)
+def _(t):
+    return windows.all_windows(windows.minutes(_records(t)))
+
+
+@check("streamed_windows", "RULE4 RULE5", _WINDOWS)
+def _(t):
+    """Counted by a stream in two runs on one checkpoint; a last record lets the watermark pass the others."""
+    base = f"{shared_folder(t.spark)}/windows/{t.run_name}"
+    rows = _records(t)
+    schema = "event_at timestamp, arrived_at timestamp, is_valid boolean, is_dead_letter boolean, route_id string"
+    last = rows.agg(F.max("event_at").alias("x")).select(
+        (F.col("x") + F.expr("INTERVAL 30 DAYS")).alias("event_at"),
+        F.lit(None).cast("timestamp").alias("arrived_at"),
+        F.lit(True).alias("is_valid"),
+        F.lit(False).alias("is_dead_letter"),
+        F.lit("last").alias("route_id"),
+    )
+    for part in (rows, last):
+        part.write.mode("append").parquet(f"{base}/in")
+        query = (
+            windows.minutes(t.spark.readStream.schema(schema).parquet(f"{base}/in"))
+            .writeStream.option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True)
+            .format("parquet")
+            .start(f"{base}/out")
+        )
+        query.awaitTermination()
+    counted = t.spark.read.parquet(f"{base}/out")
+    return windows.all_windows(counted)

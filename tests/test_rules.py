@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stopwise.operators import bunching, slices, stalled
-from stopwise.streaming import alerts
+from stopwise.streaming import alerts, windows
 
 START = datetime(2026, 3, 7, 11, 30)
 
@@ -254,3 +254,112 @@ def test_fingerprints_tell_missing_parts_apart(spark):
     found = [r.f for r in table.select(alerts.fingerprint("x", "y").alias("f")).collect()]
     assert len(set(found)) == 5 and found[0] == found[5]
     assert table.where(F.lit(False)).count() == 0
+
+
+# Windows and limits
+
+
+def plain_p95(values):
+    line = sorted(values)
+    return line[math.ceil(len(line) * 0.95) - 1] if line else None
+
+
+def some_records(seed, count, begin=0):
+    rng = random.Random(seed)
+    out = []
+    for k in range(count):
+        when = at(begin + rng.randint(0, 1799))
+        late = rng.choice([None, -5, rng.randint(0, 200), rng.randint(0, 200_000)])
+        out.append((
+            when, None if late is None else when + timedelta(milliseconds=late),
+            rng.choice([True, True, True, False, None]), rng.choice([False, None, True]),
+            rng.choice(["r", None]),
+        ))
+    return out
+
+
+RECORD = "event_at timestamp, arrived_at timestamp, is_valid boolean, is_dead_letter boolean, route_id string"
+
+
+def test_a_latency_class_overstates_by_less_than_a_64th(spark):
+    values = [0, 1, 127, 128, 129, 255, 256, 60_000, 86_400_000, 1 << 40]
+    values += [random.Random(3).randint(0, 1 << 34) for _ in range(500)]
+    frame = spark.createDataFrame([(v,) for v in [*values, -4, None]], "v long")
+    for r in frame.select("v", windows.latency_class(F.col("v")).alias("c")).collect():
+        if r.v is None:
+            assert r.c is None
+        elif r.v < 128:
+            assert r.c == max(r.v, 0)
+        else:
+            assert r.v <= r.c < r.v * (1 + 1 / 64)
+
+
+def test_windows_against_a_plain_loop(spark):
+    rows = some_records(4, 700) + [(None, at(0), True, False, "r")]
+    frame = spark.createDataFrame(rows, RECORD).repartition(5)
+    found = {(r.window_seconds, r.window_start): r for r in windows.all_windows(windows.minutes(frame)).collect()}
+    want = defaultdict(list)
+    for row in rows[:-1]:
+        for size in (60, 300, 900):
+            second = int(row[0].replace(tzinfo=timezone.utc).timestamp())
+            want[size, datetime.fromtimestamp(second - second % size, timezone.utc).replace(tzinfo=None)].append(row)
+    assert set(found) == set(want)
+    for key, group in want.items():
+        got, n = found[key], len(group)
+        assert got.records == n
+        assert got.invalid_ratio == sum(not r[2] for r in group) / n
+        assert got.dead_letters_ratio == sum(bool(r[3]) for r in group) / n
+        assert got.missing_route_ratio == sum(r[4] is None for r in group) / n
+        exact = plain_p95([max(round((r[1] - r[0]).total_seconds() * 1000), 0) for r in group if r[1]])
+        if exact is None:
+            assert got.p95_latency_ms is None
+        else:
+            assert exact <= got.p95_latency_ms <= exact * (1 + 1 / 64)
+        bad = got.invalid_ratio > 0.01 or got.dead_letters_ratio > 0.005
+        odd = got.missing_route_ratio > 0.02 or (got.p95_latency_ms or 0) > 60_000
+        assert got.status == ("critical" if bad else "warning" if odd else "ok")
+
+
+def test_counts_of_parts_merge_to_the_count_of_all(spark):
+    one = spark.createDataFrame(some_records(5, 300), RECORD)
+    two = spark.createDataFrame(some_records(6, 300, begin=900), RECORD)
+    apart = windows.minutes(one).unionByName(windows.minutes(two))
+    together = windows.minutes(one.unionByName(two))
+    key = lambda r: tuple(r.asDict().items())
+    for seconds in (300, 900):
+        got = windows.figures(windows.rolled(apart, seconds)).collect()
+        assert sorted(map(repr, map(key, got))) == sorted(
+            repr(key(r)) for r in windows.figures(windows.rolled(together, seconds)).collect()
+        )
+    assert windows.all_windows(windows.minutes(one.where("false"))).count() == 0
+    with pytest.raises(ValueError):
+        windows.rolled(apart, 90)
+
+
+def test_a_streams_minutes_and_its_late_rows(spark, tmp_path):
+    rows = [r for r in some_records(7, 200)]
+    end = (at(7200), None, True, False, "r")
+    after = (at(14_400), None, True, False, "r")
+    late = (at(10), at(10), True, False, "late")
+    dropped = 0
+    for part in ([*rows], [end], [late, after]):
+        spark.createDataFrame(part, RECORD).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        query = (
+            windows.minutes(spark.readStream.schema(RECORD).parquet(f"{tmp_path}/in"))
+            .writeStream.option("checkpointLocation", f"{tmp_path}/checkpoint")
+            .trigger(availableNow=True).format("parquet").start(f"{tmp_path}/out")
+        )
+        query.awaitTermination()
+        dropped += sum(
+            s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"]
+        )
+    found = spark.read.parquet(f"{tmp_path}/out")
+    known = spark.createDataFrame([*rows, end], RECORD)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, windows.minutes(known).collect()))
+    assert dropped == 1
+
+
+def test_states_of_lag(spark):
+    frame = spark.createDataFrame([(0,), (9_999,), (10_000,), (100_000,), (None,)], "lag long")
+    found = [r[0] for r in frame.select(windows.lag_status(F.col("lag"))).collect()]
+    assert found == ["ok", "ok", "warning", "critical", None]
