@@ -194,7 +194,7 @@ FROM classes) q
 """
 
 
-@check("operational_windows", "RULE4 RULE5", _WINDOWS)
+@check("batch_windows", "RULE4 RULE5", _WINDOWS)
 def _(t):
     return windows.all_windows(windows.minutes(_records(t)))
 
