@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from stopwise.session import use_rocksdb
+
 # Limits of the rule, and the kinds and states of an alert.
 COOLDOWN_SECONDS = 600
 WATERMARK = "180 seconds"
@@ -111,7 +113,11 @@ _OUT = (
 def lifecycle(
     detections: DataFrame, cooldown: int = COOLDOWN_SECONDS, watermark: str = WATERMARK
 ) -> DataFrame:
-    """Events of alerts of a stream of detections (alert_fingerprint, detected_at, observed_value)."""
+    """Events of alerts of a stream of detections (alert_fingerprint, detected_at, observed_value).
+
+    The session gets the RocksDB state store, as no other keeps a list and timers for one key.
+    """
+    use_rocksdb(detections.sparkSession)
     known = detections.where("alert_fingerprint IS NOT NULL AND detected_at IS NOT NULL")
     rows = known.withWatermark("detected_at", watermark).select(
         "alert_fingerprint",

@@ -242,6 +242,18 @@ def streamed_with(spark, folder, batches, cooldown):
         alerts.lifecycle.__defaults__ = before
 
 
+def test_life_of_alerts_in_a_session_made_elsewhere(spark, tmp_path):
+    """A session whose state store is Spark's default, which keeps no lists and timers."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, before.replace("RocksDBStateStoreProvider", "HDFSBackedStateStoreProvider"))
+    try:
+        rows = [("f1", at(1), 0.5), ("f1", at(90), None)]
+        assert streamed(spark, str(tmp_path), [rows, [("end", at(200_000), 0.0)]], 600) == plain_life(rows, 600)
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_a_gap_of_the_cooldown_is_no_end(spark):
     rows = [("f", at(0), 1.0), ("f", at(600), 3.0), ("f", at(1201), 2.0), ("g", at(0), None)]
     table = spark.createDataFrame(rows, DETECTIONS)
