@@ -123,7 +123,6 @@ def _late_rate(digits: int = 1) -> Column:
 def health_trend(
     health: DataFrame,
     since,
-    *,
     route_id: str | None = None,
     direction_id: int | None = None,
     until=None,

@@ -48,6 +48,11 @@ def test_filters_are_optional_and_ranges_half_open(buckets):
     assert serving.latest_bucket(buckets, "' OR '1'='1").first()[0] is None
 
 
+def test_a_trend_of_one_route_and_direction(buckets):
+    trend = serving.health_trend(buckets, "2026-09-01", "A", 0)
+    assert [r.observed_trip_count for r in trend.collect()] == [2, 3]
+
+
 def test_bound_parameters_are_never_text(spark, buckets):
     query = "SELECT count(*) AS n FROM {rows} WHERE route_id = :route"
     assert read_query(spark, query, {"route": "A' OR 1=1 --"}, rows=buckets).first().n == 0
