@@ -58,12 +58,13 @@ def nearest_service_instant(prediction: Column, seconds_of_service_day: Column,
     """Scheduled instant closest to a prediction.
 
     The schedule gives only a time of day, so it is placed on the local day of
-    the prediction and moved by one day when that brings it closer.
+    the prediction and moved by one day when that brings it closer. Of two instants that
+    are equally close, half a day before and after, the earlier is meant.
     """
     wall_clock = to_local(prediction, zone)
     same_day = F.unix_seconds(F.date_trunc("day", wall_clock)) + seconds_of_service_day % DAY_SECONDS
     gap_days = (F.unix_micros(wall_clock) - same_day * _MICROS) / (DAY_SECONDS * _MICROS)
-    shifted = same_day + F.round(gap_days).cast("bigint") * DAY_SECONDS
+    shifted = same_day + F.ceil(gap_days - 0.5) * DAY_SECONDS
     return to_instant(F.timestamp_seconds(shifted), zone)
 
 

@@ -70,6 +70,24 @@ def test_nearest_service_instant_matches_brute_force(spark):
             assert instant == expected, (at, seconds)
 
 
+def test_half_a_day_apart_means_the_earlier_instant(spark):
+    # 16:00 local, scheduled at 04:00; 10:18:30 local, scheduled at 22:18:30.
+    rows = [(stamp("2024-01-30 21:00:00"), 14_400), (stamp("2024-01-15 15:18:30"), 80_310)]
+    rows += [(at.replace(second=at.second + 1), seconds) for at, seconds in rows]
+    found = values(
+        spark,
+        rows,
+        "at timestamp, seconds int",
+        times.nearest_service_instant(F.col("at"), F.col("seconds"), ZONE),
+    )
+    assert [x for (x,) in found] == [
+        stamp("2024-01-30 09:00:00"),
+        stamp("2024-01-15 03:18:30"),
+        stamp("2024-01-31 09:00:00"),
+        stamp("2024-01-16 03:18:30"),
+    ]
+
+
 def test_buckets_start_at_their_origin(spark):
     at = [(stamp("2026-01-01 00:07:30"),), (stamp("1999-12-31 23:59:59.5"),)]
     found = values(
