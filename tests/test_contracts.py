@@ -3,6 +3,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from checks import streams
+from checks.projections import Staged
 from stopwise.operators import contracts, dead_letters, normalize
 from tests.events import envelope, event, without
 
@@ -95,6 +97,12 @@ def test_a_stop_needs_one_reference(spark):
     ]
 
 
+def test_messages_are_dealt_to_all_cores(spark):
+    """The events of the smallest tables are one row group, which one task would read."""
+    messages = streams.messages(Staged(spark, "/root/testdata/sf0.001"), "trip")
+    assert messages.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
 def test_dispatch(spark):
     items = [
         event("vehicle", event_type=5),
