@@ -18,6 +18,15 @@ def computed_once(rows: DataFrame, name: str, value: Column) -> DataFrame:
     return rows.select("*", F.explode(F.array(value)).alias(name))
 
 
+def projected_once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """As ``computed_once``, for values with lambdas.
+
+    A generator with a lambda is interpreted as a whole; a projection compiles all but the lambda.
+    """
+    given = f"{name}_given"
+    return computed_once(rows.select("*", value.alias(given)), name, F.col(given)).drop(given)
+
+
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is evaluated once however often ``body`` uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -7,13 +7,14 @@ per row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stopwise import settings
-from stopwise.functions.plan import computed_once
+from stopwise.functions.plan import computed_once, projected_once
 
 VIOLATIONS = "_violations"
 
@@ -254,9 +255,11 @@ CONTRACTS = {
 }
 
 _FIELDS = "map<string,variant>"
+_NAMES = "map<string,struct<`-`:boolean>>"
 _ITEMS = "array<variant>"
 _NO_TEXTS = "array<string>"
 _SCALARS = ("VOID", "STRING", "BOOLEAN")
+_CHUNK = 7  # fields per step
 
 
 def _fields(value: Column, path: str = "$") -> Column:
@@ -264,6 +267,11 @@ def _fields(value: Column, path: str = "$") -> Column:
     return F.try_variant_get(value, path, _FIELDS)
 
 
+def _names(value: Column, path: str = "$") -> Column:
+    """Field names of an object, whose values are not copied; null for anything else."""
+    return F.map_keys(F.try_variant_get(value, path, _NAMES))
+
+
 def _items(value: Column, path: str = "$") -> Column:
     """Items of a list; null for anything else."""
     return F.try_variant_get(value, path, _ITEMS)
@@ -282,23 +290,25 @@ def _lists(contract: Contract) -> list[str]:
     return sorted(path.removeprefix("payload.").removesuffix("[]") for path in ends)
 
 
-def _facts(fields: Column, rules: Contract, known: dict[str, Column]) -> Column:
-    """What the rules of an object need: its field names, and per field the type and the value
-    that is limited. ``known`` are fields that are already unpacked, as they are long."""
-    facts = [F.map_keys(fields).alias("names")]
+def _facts(value: Column, path: str, rules: Contract, known: dict[str, Column]) -> list[Column]:
+    """What the rules of an object at a path need: per field the type and the value that is
+    limited, each taken from the document itself. ``known`` are fields that are already unpacked,
+    as they are long."""
+    facts = []
     for name, rule in rules.items():
-        value = F.try_element_at(fields, F.lit(name))
-        kind = F.schema_of_variant(value)
+        place = f"{path}.{name}"
+        kind = F.schema_of_variant(F.try_variant_get(value, place, "variant"))
         if name in known:
             kind = F.when(known[name].isNotNull(), F.lit(rule.kinds[0].upper())).otherwise(kind)
         facts.append(kind.alias(f"kind_{name}"))
         if {"integer", "number"} & set(rule.kinds):
-            facts.append(F.try_variant_get(value, "$", "double").alias(f"number_{name}"))
+            facts.append(F.try_variant_get(value, place, "double").alias(f"number_{name}"))
         if isinstance(rule.equals, str) or rule.choices or rule.min_length or rule.form:
-            facts.append(F.try_variant_get(value, "$", "string").alias(f"text_{name}"))
+            facts.append(F.try_variant_get(value, place, "string").alias(f"text_{name}"))
         if rule.min_items is not None:
-            facts.append(F.size(known.get(name, _items(value))).alias(f"size_{name}"))
-    return F.struct(*facts)
+            items = known[name] if name in known else _items(value, place)
+            facts.append(F.size(items).alias(f"size_{name}"))
+    return facts
 
 
 def _missing(prefix: str, facts: Column, rules: Contract) -> list[Column]:
@@ -313,6 +323,11 @@ def _missing(prefix: str, facts: Column, rules: Contract) -> list[Column]:
     ]
 
 
+def _present(facts: Column, rules: Contract) -> Column:
+    """How many of the known fields are there."""
+    return sum((facts[f"kind_{name}"].isNotNull().cast("int") for name in rules), F.lit(0))
+
+
 def _problems(prefix: str, facts: Column, rules: Contract) -> list[Column]:
     """Per field what is wrong with its value, or null."""
     return [_judged(f"{prefix}{name}", name, facts, rules[name]) for name in sorted(rules)]
@@ -392,48 +407,61 @@ def _with_unknown(problems: Column, unknown: Column, prefix: str) -> Column:
     return F.when(F.size(unknown) == 0, problems).otherwise(F.array_sort(both))
 
 
-def _item_facts(unpacked: Column, rules: Contract) -> Column:
-    """Facts of each item (its fields) of a list of the payload."""
-    return F.transform(unpacked, lambda fields: _facts(fields, rules, {}))
+def _item_facts(items: Column, rules: Contract) -> Column:
+    """Facts of each item of a list of the payload."""
+    return F.transform(
+        items,
+        lambda item: F.struct(_names(item).alias("names"), *_facts(item, "$", rules, {})),
+    )
+
+
+def _item_wrong(item: Column, contract: Contract, place: str, said_as: str = "") -> Column:
+    """What is wrong with an item itself, or null."""
+    rule = contract[place]
+    wrong = F.when(item["names"].isNull(), F.lit(f"{said_as}{place}: wrong type"))
+    if rule.one_of:
+        none = F.lit(True)
+        for name in rule.one_of:
+            none = none & (item[f"kind_{name}"] == "VOID")
+        wrong = wrong.when(none, F.lit(f"{said_as}{place}: one of its fields is needed"))
+    return wrong
+
 
+def _any_item_bad(found: Column, contract: Contract, place: str) -> Column:
+    """Whether an item of a list has any violation."""
+    rules, prefix = _inner(contract, place), f"{place}."
 
-def _item_violations(found: Column, contract: Contract, place: str) -> tuple[Column, Column, Column]:
+    def bad(item: Column) -> Column:
+        texts = [
+            _item_wrong(item, contract, place),
+            *_missing(prefix, item, rules),
+            *_problems(prefix, item, rules),
+        ]
+        return F.coalesce(*texts).isNotNull() | (F.size(item["names"]) > _present(item, rules))
+
+    return F.coalesce(F.exists(found, bad), F.lit(False))
+
+
+def _item_violations(
+    found: Column, contract: Contract, place: str, said_as: str
+) -> tuple[Column, Column, Column]:
     """Of the items of a list: missing names, problems of the items, problems of their fields."""
-    rule, rules, prefix = contract[place], _inner(contract, place), f"{place}."
+    rules, prefix = _inner(contract, place), f"{said_as}{place}."
 
     def flat(per_item) -> Column:
         return F.coalesce(F.flatten(F.transform(found, per_item)), F.array().cast(_NO_TEXTS))
 
-    def judged(item: Column) -> Column:
-        wrong = F.when(item["names"].isNull(), F.lit(f"{place}: wrong type"))
-        if rule.one_of:
-            none = F.lit(True)
-            for name in rule.one_of:
-                none = none & (item[f"kind_{name}"] == "VOID")
-            wrong = wrong.when(none, F.lit(f"{place}: one of its fields is needed"))
-        return F.array(wrong)
-
     def fields(item: Column) -> Column:
         problems = F.array(*_problems(prefix, item, rules))
         return _with_unknown(problems, _unknown(item["names"], rules), prefix)
 
     missing = flat(lambda item: F.array(*_missing(prefix, item, rules)))
-    return missing, flat(judged), flat(fields)
-
-
-def _odd_lists(payload: Column, facts: Column, rules: Contract, lists: list[str]) -> Column:
-    """Names of lists of the payload that have no rules for items."""
-    wrong = [
-        F.when(facts[f"kind_{name}"].startswith("ARRAY"), F.lit(name))
-        for name in sorted(rules)
-        if name not in lists
-    ]
-    named = F.array(*wrong) if wrong else F.array().cast(_NO_TEXTS)
-    return F.concat(named, _unknown(facts["names"], rules))
+    judged = flat(lambda item: F.array(_item_wrong(item, contract, place, said_as)))
+    return missing, judged, flat(fields)
 
 
-def _odd_violations(payload: Column, odd: Column) -> tuple[Column, Column]:
-    """Of the items of such lists and of their fields: all are unknown."""
+def _odd_violations(payload: Column, odd: Column, said_as: str) -> tuple[Column, Column]:
+    """Of the items of lists of the payload that have no rules, and of their fields: all are unknown."""
 
     def each(per_item) -> Column:
         def of(name: Column) -> Column:
@@ -443,10 +471,10 @@ def _odd_violations(payload: Column, odd: Column) -> tuple[Column, Column]:
 
         return F.flatten(F.transform(F.array_compact(odd), of))
 
-    items = each(lambda name, item: F.array(F.concat(F.lit("payload."), name, F.lit("[]: unknown field"))))
+    items = each(lambda name, item: F.array(F.concat(F.lit(f"{said_as}payload."), name, F.lit("[]: unknown field"))))
     fields = each(
         lambda name, item: _said(
-            F.map_keys(_fields(item)), F.concat(F.lit("payload."), name, F.lit("[]."))
+            F.map_keys(_fields(item)), F.concat(F.lit(f"{said_as}payload."), name, F.lit("[]."))
         )
     )
     return items, fields
@@ -469,51 +497,116 @@ def _label(kind: Column, version: Column) -> Column:
 _GIVEN = "given"
 
 
+def _judged_object(
+    step: Callable[[str, Column], Column], name: str, prefix: str, names: Column, rules: Contract, facts
+) -> dict[str, Column]:
+    """Columns of an object: ``missing`` and ``wrong`` per field, ``array`` where it is a list,
+    and ``present``, in steps of a few fields."""
+    found, present = {}, F.lit(0)
+    order = list(rules)
+    for start in range(0, len(order), _CHUNK):
+        some = {field: rules[field] for field in order[start : start + _CHUNK]}
+        known = step(f"facts_{name}{start}", F.struct(names.isNotNull().alias("is"), *facts(some)))
+        present = present + step(f"present_{name}{start}", _present(known, some))
+        texts = {}
+        for field, rule in some.items():
+            kind = known[f"kind_{field}"]
+            texts[f"wrong_{field}"] = _judged(f"{prefix}{field}", field, known, rule)
+            texts[f"array_{field}"] = F.when(kind.startswith("ARRAY"), F.lit(field))
+            if rule.required:
+                gone = known["is"] & kind.isNull()
+                texts[f"missing_{field}"] = F.when(gone, F.lit(f"{prefix}{field}: missing"))
+        # A list, as fields of a struct that lambdas use are lost when plans are pruned.
+        judged = step(f"judged_{name}{start}", F.array(*texts.values()))
+        found |= {what: F.get(judged, F.lit(place)) for place, what in enumerate(texts)}
+    return found | {"present": present}
+
+
 def _of_contract(
-    rows: DataFrame, number: int, contract: Contract, applies: Column
-) -> tuple[DataFrame, Column]:
-    """Rows with the violations of one contract, where it applies.
+    rows: DataFrame, number: int, contract: Contract, applies: Column, said_as: str
+) -> tuple[DataFrame, dict]:
+    """Rows with what one contract says of them, where it applies, short of texts.
 
     Each step is a generated column, as compiled code is kept per step and a step of
-    some dozens of fields is small enough to stay fast.
+    a few fields is small enough to be compiled by the JVM as well. No step here has a lambda:
+    those are not compiled.
     """
-    root, payload = F.col("_root"), F.col("_payload")
+    document = F.col("_document")
     outer, inner, lists = _inner(contract, ""), _inner(contract, "payload"), _lists(contract)
 
     def step(name: str, value: Column) -> Column:
         nonlocal rows
-        rows = computed_once(rows, f"_{name}{number}", F.when(applies, value))
-        return F.col(f"_{name}{number}")
+        rows = computed_once(rows, f"_{name}_{number}", F.when(applies, value))
+        return F.col(f"_{name}_{number}")
+
+    said = {"lists": {name: step(name, _items(document, f"$.payload.{name}")) for name in lists}}
+    names, inside = F.col("_names"), F.col("_inside")
+    whole = {"payload": inside} if "payload" in outer else {}
+    said["root"] = _judged_object(
+        step, "root", said_as, names, outer, lambda some: _facts(document, "$", some, whole)
+    )
+    said["payload"] = _judged_object(
+        step,
+        "payload",
+        f"{said_as}payload.",
+        inside,
+        inner,
+        lambda some: _facts(document, "$.payload", some, said["lists"]),
+    )
+    texts = [
+        column
+        for part in ("root", "payload")
+        for name, column in said[part].items()
+        if name.startswith(("missing_", "wrong_"))
+    ]
+    texts = [F.coalesce(*texts[i : i + 16]) for i in range(0, len(texts), 16)]
+    unknown = F.coalesce(F.size(names), F.lit(0)) > said["root"]["present"]
+    unknown_inside = F.coalesce(F.size(inside), F.lit(0)) > said["payload"]["present"]
+    said["bad"] = step("bad", F.coalesce(*texts).isNotNull() | unknown | unknown_inside)
+    return rows, said
 
-    unpacked = {name: step(name, _items(F.try_element_at(payload, F.lit(name)))) for name in lists}
-    whole = {"payload": payload} if "payload" in outer else {}
-    at_root = step("root", _facts(root, outer, whole))
-    at_payload = step("inside", _facts(payload, inner, unpacked))
-    none = F.array().cast(_NO_TEXTS)
-    missing = step("missing", F.array(*_missing("", at_root, outer), *_missing("payload.", at_payload, inner)))
-    wrong = step("wrong", F.array(*_problems("", at_root, outer)))
-    bad = step("bad", F.array(*_problems("payload.", at_payload, inner)) if inner else none)
-    odd = step("odd", _odd_lists(payload, at_payload, inner, lists))
-    missing_items, bad_items, bad_fields = [], [], []
+
+def _violations(
+    rows: DataFrame, number: int, contract: Contract, said: dict, said_as: str
+) -> tuple[DataFrame, Column]:
+    """Rows with facts of the items of lists, and the violations as texts; these are made only
+    for messages that have any."""
+    outer, inner, lists = _inner(contract, ""), _inner(contract, "payload"), _lists(contract)
+    names, inside = F.col("_names"), F.col("_inside")
+    bad, missing_items, bad_items, bad_fields = said["bad"], [], [], []
     for name in lists:
-        objects = step(f"objects_{name}", F.transform(unpacked[name], lambda item: _fields(item)))
-        facts = step(f"facts_{name}", _item_facts(objects, _inner(contract, f"payload.{name}[]")))
-        of_items = _item_violations(facts, contract, f"payload.{name}[]")
-        for found, one in zip((missing_items, bad_items, bad_fields), of_items, strict=True):
-            found.append(one)
-    odd_items, odd_fields = _odd_violations(payload, odd)
-    return rows, F.array_compact(
+        place, column = f"payload.{name}[]", f"_items_{name}_{number}"
+        rows = projected_once(rows, column, _item_facts(said["lists"][name], _inner(contract, place)))
+        found = F.col(column)
+        bad = bad | _any_item_bad(found, contract, place)
+        of_items = _item_violations(found, contract, place, said_as)
+        for texts, one in zip((missing_items, bad_items, bad_fields), of_items, strict=True):
+            texts.append(one)
+
+    def texts_of(part: str, what: str, fields) -> list[Column]:
+        return [said[part][f"{what}_{x}"] for x in fields if f"{what}_{x}" in said[part]]
+
+    none = F.array().cast(_NO_TEXTS)
+    missing = F.array(*texts_of("root", "missing", outer), *texts_of("payload", "missing", inner))
+    wrong = F.array(*texts_of("root", "wrong", sorted(outer)))
+    wrong_inside = F.array(*texts_of("payload", "wrong", sorted(inner))) if inner else none
+    others = [name for name in sorted(inner) if name not in lists]
+    arrays = F.array(*texts_of("payload", "array", others)) if others else none
+    odd = F.concat(arrays, _unknown(inside, inner))
+    odd_items, odd_fields = _odd_violations(_fields(F.col("_document"), "$.payload"), odd, said_as)
+    texts = F.array_compact(
         F.concat(
             missing,
             *missing_items,
-            _with_unknown(wrong, _unknown(at_root["names"], outer), ""),
-            _with_unknown(bad, _unknown(at_payload["names"], inner), "payload."),
+            _with_unknown(wrong, _unknown(names, outer), said_as),
+            _with_unknown(wrong_inside, _unknown(inside, inner), f"{said_as}payload."),
             *bad_items,
             odd_items,
             *bad_fields,
             odd_fields,
         )
     )
+    return rows, F.when(bad, texts).otherwise(none)
 
 
 def with_violations(messages: DataFrame, contract: Contract | None = None) -> DataFrame:
@@ -532,14 +625,19 @@ def with_violations(messages: DataFrame, contract: Contract | None = None) -> Da
     rows = computed_once(messages, "_document", F.try_parse_json(F.col("value").cast("string")))
     kind, version = contract_of(document)
     named = _label(kind, version) if contract is None else F.lit(_GIVEN)
-    # Columns of their own: fields of a struct that lambdas use are lost when plans are pruned.
-    parts = {"_label": named, "_root": _fields(document), "_payload": _fields(document, "$.payload")}
+    parts = {"_label": named, "_names": _names(document), "_inside": _names(document, "$.payload")}
     for name, value in parts.items():
         rows = computed_once(rows, name, value)
+    # What needs no lambda comes first for all contracts, so that it is compiled as one stage.
+    prefixes = {name: "" if contract is not None else f"{name} at " for name in known}
+    said = []
+    for number, (name, rules) in enumerate(known.items()):
+        applies = F.col("_names").isNotNull() & (label == name)
+        rows, one = _of_contract(rows, number, rules, applies, prefixes[name])
+        said.append(one)
     found = F.lit(None).cast(_NO_TEXTS)
     for number, (name, rules) in enumerate(known.items()):
-        applies = F.col("_root").isNotNull() & (label == name)
-        rows, violations = _of_contract(rows, number, rules, applies)
+        rows, violations = _violations(rows, number, rules, said[number], prefixes[name])
         found = F.when(label == name, violations).otherwise(found)
     if contract is None:
         found = (
@@ -548,9 +646,9 @@ def with_violations(messages: DataFrame, contract: Contract | None = None) -> Da
             .when(
                 ~label.isin(*known), F.array(F.concat(F.lit("Unsupported event schema: "), label))
             )
-            .otherwise(F.transform(found, lambda text: F.concat(label, F.lit(" at "), text)))
+            .otherwise(found)
         )
     else:
         not_object = F.array(F.lit("<root>: not a JSON object"))
-        found = F.when(F.col("_root").isNull(), not_object).otherwise(found)
-    return computed_once(rows, VIOLATIONS, found).select(*messages.columns, VIOLATIONS)
+        found = F.when(F.col("_names").isNull(), not_object).otherwise(found)
+    return projected_once(rows, VIOLATIONS, found).select(*messages.columns, VIOLATIONS)

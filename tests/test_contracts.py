@@ -103,6 +103,14 @@ def test_messages_are_dealt_to_all_cores(spark):
     assert messages.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
 
 
+def test_generators_hold_no_lambda(spark):
+    """A generator with a lambda is interpreted as a whole, for each message and each contract."""
+    checked = contracts.with_violations(envelope(spark, [event("trip")]), contracts.TRIP)
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    steps = [line for line in plan.splitlines() if "Generate explode" in line]
+    assert steps and not [step for step in steps if "lambda" in step]
+
+
 def test_dispatch(spark):
     items = [
         event("vehicle", event_type=5),
