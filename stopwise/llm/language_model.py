@@ -119,35 +119,55 @@ def _unsqueeze(packed: bytes) -> np.ndarray:
 # --- packed arrays -------------------------------------------------------------------------
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """Integers in as few bytes as they need."""
+    if values.dtype.kind not in "iu" or not len(values):
+        return values
+    kind = np.promote_types(np.min_scalar_type(values.min()), np.min_scalar_type(values.max()))
+    return values.astype(kind)
+
+
 def _arrays(**values: np.ndarray) -> bytes:
     """Arrays of any lengths as one compressed row."""
-    return B.write_table(pa.table({name: pa.array([x]) for name, x in values.items()}))
+    narrow = {name: _narrow(x) for name, x in values.items()}
+    head = ",".join(f"{name}:{x.dtype.str}:{len(x)}" for name, x in narrow.items()).encode()
+    data = [len(head).to_bytes(4, "little"), head, *(x.tobytes() for x in narrow.values())]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(data))
 
 
 def _from_arrays(packed: bytes) -> dict[str, np.ndarray]:
-    batch = B.read_block(packed)
-    return {
-        name: column.flatten().to_numpy(zero_copy_only=False)
-        for name, column in zip(batch.schema.names, batch.columns, strict=True)
-    }
+    data = zstandard.ZstdDecompressor().decompress(packed)
+    at = 4 + int.from_bytes(data[:4], "little")
+    out = {}
+    for part in data[4:at].decode().split(","):
+        name, kind, size = part.split(":")
+        values = np.frombuffer(data, kind, int(size), at)
+        at += values.nbytes
+        out[name] = values.astype(np.int64) if values.dtype.kind in "iu" else values
+    return out
 
 
 _STEPS = 65535
 
 
-def _shares(expected: np.ndarray) -> bytes:
-    """Which part of each word's count is in each state but the last, state by state."""
+def _shares(expected: np.ndarray, cut: Iterable[slice]) -> list[bytes]:
+    """Which part of each word's count is in each state but the last, state by state; a text of
+    bytes for each range of words."""
     total = expected.sum(axis=1, keepdims=True)
     part = np.divide(expected, total, out=np.zeros_like(expected), where=total > 0)
     steps = np.rint(part[:, :-1].T * _STEPS).astype("<u2")
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(steps).tobytes())
+    packer = zstandard.ZstdCompressor(level=1)
+    return [packer.compress(np.ascontiguousarray(steps[:, x]).tobytes()) for x in cut]
 
 
-def _from_shares(packed: bytes, counts: np.ndarray, states: int) -> np.ndarray:
-    """The counts dealt to states again."""
-    steps = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), "<u2")
+def _from_shares(packed: Iterable[bytes], counts: np.ndarray, states: int) -> np.ndarray:
+    """The counts dealt to states again, of ranges of words that follow one another."""
     part = np.empty((len(counts), states))
-    part[:, :-1] = steps.reshape(states - 1, -1).T
+    unpacker, at = zstandard.ZstdDecompressor(), 0
+    for one in packed:
+        steps = np.frombuffer(unpacker.decompress(one), "<u2").reshape(states - 1, -1)
+        part[at : at + steps.shape[1], :-1] = steps.T
+        at += steps.shape[1]
     part[:, -1] = np.maximum(0, _STEPS - part[:, :-1].sum(axis=1))
     return part * (counts / part.sum(axis=1))[:, None]
 
@@ -216,7 +236,7 @@ def _totals(states: int, table: pa.Table) -> pa.Table:
         known.append(
             _arrays(c=c[mine].astype(np.int64), place=place[mine[had]].astype(np.int64), owner=owner[own][had])
         )
-        answers.append(_shares(expected[mine[had]]))
+        answers += _shares(expected[mine[had]], [slice(None)])
     types = np.bincount(ending[trained], minlength=ENDINGS + 1).astype(np.int64)
     rest = len(keys) - 1
     return pa.table(
@@ -377,10 +397,10 @@ class _Prepared:
     def expected(self, answers: dict[int, bytes], states: int) -> np.ndarray:
         """Expected counts over all blocks of this block's words."""
         out = np.zeros((len(self.c), states))
-        for bucket, packed in answers.items():
-            mine = self.trained[self.bounds[bucket] : self.bounds[bucket + 1]]
-            if len(mine):
-                out[mine] = _from_shares(packed, self.c[mine], states)
+        some = [b for b in sorted(answers) if self.bounds[b] < self.bounds[b + 1]]
+        if some:
+            mine = np.concatenate([self.trained[self.bounds[b] : self.bounds[b + 1]] for b in some])
+            out[mine] = _from_shares((answers[b] for b in some), self.c[mine], states)
         return out
 
 
@@ -426,12 +446,13 @@ def _expectation(shared, block_id: int, own: _Prepared, answers: dict[int, bytes
     # A block without words still has beginnings and ends.
     parts = np.flatnonzero(np.diff(own.bounds)) if len(own.trained) else np.zeros(1, np.int64)
     mine = [slice(own.bounds[b], own.bounds[b + 1]) for b in parts]
+    n, endings = own.n[own.trained], own.endings[own.trained]
     places = [
         _arrays(
             place=np.diff(own.place[c], prepend=0),
-            n=own.n[own.trained[c]],
+            n=n[c],
             owner=own.owner[c],
-            endings=own.endings[own.trained[c]][own.owner[c]].astype(np.uint16),
+            endings=endings[c][own.owner[c]],
         )
         for c in mine
     ]
@@ -441,7 +462,7 @@ def _expectation(shared, block_id: int, own: _Prepared, answers: dict[int, bytes
             pa.array(parts, pa.int64()),
             pa.array([block_id] * len(parts), pa.int64()),
             binary_array(places),
-            binary_array([_shares(emit[1:][own.trained[c]]) for c in mine]),
+            binary_array(_shares(emit[1:][own.trained], mine)),
             binary_array([head] + [b""] * (len(parts) - 1)),
         ],
         names=[x.split()[0] for x in _SENT.split(", ")],
@@ -457,7 +478,7 @@ def _expected_totals(states: int, table: pa.Table) -> pa.Table:
     expected, endings = np.zeros((size, states)), np.zeros(size, np.int64)
     for got, place, packed in zip(sent, places, table.column("shares").to_pylist(), strict=True):
         if len(place):
-            expected[place] += _from_shares(packed, got["n"], states)
+            expected[place] += _from_shares([packed], got["n"], states)
             endings[place[got["owner"].astype(bool)]] = got["endings"]
     head = np.zeros((states + 2, states))
     for packed in table.column("head").to_pylist():
@@ -468,7 +489,7 @@ def _expected_totals(states: int, table: pa.Table) -> pa.Table:
         {
             "block_id": table.column("block_id"),
             "bucket": table.column("bucket"),
-            "bits": binary_array([_shares(expected[place]) for place in places]),
+            "bits": binary_array([_shares(expected[place], [slice(None)])[0] for place in places]),
             "sums": binary_array([_summed(head, expected, endings), *rest]),
         }
     )

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from stopwise.llm import blocks, chat_format, language_id, language_model, url_filter
+from stopwise.llm import blocks, chat_format, hmm, language_id, language_model, url_filter
 from stopwise.llm.components import components
 from stopwise.llm.hmm import Hmm, expected_counts, log10_likelihood
 from stopwise.llm.queries import RULES
@@ -136,6 +136,23 @@ def test_baum_welch_counts_and_climb():
         before = after
 
 
+@pytest.mark.parametrize("kind, close", [(np.float64, 1e-9), (np.float32, 2e-3)])
+def test_pieces_side_by_side_change_nothing(monkeypatch, kind, close):
+    rng = np.random.default_rng(3)
+    move, emit = rng.random((4, 4)) ** 6 + 1e-6, rng.random((50, 4)) ** 8 + 1e-9
+    model = Hmm(np.array([0.7, 0.1, 0.1, 0.1]), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+    lengths = np.array([1, 7, 8, 9, 16, 17, 300, 3, 24, 25])
+    symbols = rng.integers(0, 50, lengths.sum())
+    whole = expected_counts(model, symbols, lengths, kind), log10_likelihood(model, symbols, lengths)
+    monkeypatch.setattr(hmm, "PIECE", 8)
+    assert len(hmm.Pieces(lengths).heads.active) == len(hmm.Pieces(lengths).rest.active) == 8
+    cut = expected_counts(model, symbols, lengths, kind), log10_likelihood(model, symbols, lengths)
+    for a, b in zip(cut[0], whole[0], strict=True):
+        np.testing.assert_allclose(a, b, rtol=close, atol=close)
+    np.testing.assert_allclose(cut[1], whole[1], rtol=1e-12)
+    assert cut[0][2].sum() == pytest.approx(lengths.sum())
+
+
 def test_scores_and_base(spark, docs, monkeypatch):
     monkeypatch.setattr(blocks.store_blocks, "__defaults__", (3000,))
     rows = docs.withColumn("held_out", F.col("row") % 4 == 1)
