@@ -7,6 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+Adding = Callable[[DataFrame, str, Column], DataFrame]
+
+
+def projected(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is left out of the plan where nothing reads it."""
+    return rows.withColumn(name, value)
+
 
 def computed_once(rows: DataFrame, name: str, value: Column) -> DataFrame:
     """Add a column that is evaluated exactly once per row.

@@ -9,14 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stopwise import settings
-from stopwise.functions.plan import computed_once, projected_once
+from stopwise.functions.plan import Adding, computed_once, projected, projected_once
 
 VIOLATIONS = "_violations"
+MEETS = "_meets"
 
 # Text formats.
 _DATE_TIME = (
@@ -84,6 +86,10 @@ class Rule:
     one_of: tuple[str, ...] = ()
 
 
+# Formats that no number's or boolean's text has, so a text that has one is a string.
+_TELLING = ("instant", "uri", "service_time")
+
+
 # A contract: rules by path. ``payload.x`` is a field of the payload, ``x[]``
 # an item of a list, ``x[].y`` a field of such an item.
 Contract = dict[str, Rule]
@@ -260,6 +266,8 @@ _ITEMS = "array<variant>"
 _NO_TEXTS = "array<string>"
 _SCALARS = ("VOID", "STRING", "BOOLEAN")
 _CHUNK = 7  # fields per step
+_HEADS = {"string": ("ST",), "boolean": ("BO",), "null": ("VO",), "array": ("AR",), "object": ("OB",)}
+_NUMBERS = ("BI", "DE", "DO", "FL")  # begins of the types of JSON numbers
 
 
 def _fields(value: Column, path: str = "$") -> Column:
@@ -523,7 +531,7 @@ def _judged_object(
 
 
 def _of_contract(
-    rows: DataFrame, number: int, contract: Contract, applies: Column, said_as: str
+    rows: DataFrame, number: int, contract: Contract, applies: Column, said_as: str, added: Adding
 ) -> tuple[DataFrame, dict]:
     """Rows with what one contract says of them, where it applies, short of texts.
 
@@ -536,7 +544,7 @@ def _of_contract(
 
     def step(name: str, value: Column) -> Column:
         nonlocal rows
-        rows = computed_once(rows, f"_{name}_{number}", F.when(applies, value))
+        rows = added(rows, f"_{name}_{number}", F.when(applies, value))
         return F.col(f"_{name}_{number}")
 
     said = {"lists": {name: step(name, _items(document, f"$.payload.{name}")) for name in lists}}
@@ -567,7 +575,7 @@ def _of_contract(
 
 
 def _violations(
-    rows: DataFrame, number: int, contract: Contract, said: dict, said_as: str
+    rows: DataFrame, number: int, contract: Contract, said: dict, said_as: str, added: Adding
 ) -> tuple[DataFrame, Column]:
     """Rows with facts of the items of lists, and the violations as texts; these are made only
     for messages that have any."""
@@ -576,7 +584,7 @@ def _violations(
     bad, missing_items, bad_items, bad_fields = said["bad"], [], [], []
     for name in lists:
         place, column = f"payload.{name}[]", f"_items_{name}_{number}"
-        rows = projected_once(rows, column, _item_facts(said["lists"][name], _inner(contract, place)))
+        rows = added(rows, column, _item_facts(said["lists"][name], _inner(contract, place)))
         found = F.col(column)
         bad = bad | _any_item_bad(found, contract, place)
         of_items = _item_violations(found, contract, place, said_as)
@@ -609,35 +617,171 @@ def _violations(
     return rows, F.when(bad, texts).otherwise(none)
 
 
-def with_violations(messages: DataFrame, contract: Contract | None = None) -> DataFrame:
-    """Messages (JSON text in ``value``) with their contract violations.
+def _tells(rule: Rule) -> bool:
+    """Whether a text that has the form or one of the values can only be a string."""
+    words = rule.choices or ((rule.equals,) if isinstance(rule.equals, str) else ())
+    if words:
+        return all(word[:1].isalpha() and word not in ("true", "false") for word in words)
+    return rule.form in _TELLING
 
-    The contract is the one the event names, unless one is given. Texts then
-    read ``type vN at path: reason``. Conditions are made from the rules, and only
-    those of a message's own contract are asked of it.
+
+def _text_holds(text: Column, rule: Rule) -> Column | None:
+    """What the rule asks of a text, if anything."""
+    conditions = []
+    if isinstance(rule.equals, str):
+        conditions.append(text == rule.equals)
+    if rule.choices:
+        conditions.append(text.isin(*rule.choices))
+    if rule.min_length:
+        conditions.append(F.length(text) >= rule.min_length)
+    if rule.form:
+        conditions.append(_form_ok(text, rule.form))
+    return reduce(Column.__and__, conditions) if conditions else None
+
+
+def _holds(value: Column, place: str, rule: Rule) -> Column:
+    """Whether a field meets its rule, as ``_judged`` and ``_missing`` have it but without saying why.
+
+    The field is looked up as seldom as its rule allows, and later conditions only where earlier ones hold.
+    """
+    kind = F.schema_of_variant(F.try_variant_get(value, place, "variant"))
+    head = F.coalesce(F.substring(kind, 1, 2), F.lit(""))
+    heads = [begin for name in rule.kinds if name in _HEADS for begin in _HEADS[name]]
+    heads += [] if rule.required else [""]
+    text = _text_holds(F.try_variant_get(value, place, "string"), rule)
+    if text is not None and rule.kinds in (("string",), ("string", "null")) and _tells(rule):
+        others = [begin for begin in heads if begin != "ST"]
+        text = F.coalesce(text, F.lit(False))
+        return text | head.isin(*others) if others else text
+    numeric = bool({"integer", "number"} & set(rule.kinds))
+    holds = head.isin(*heads, *(_NUMBERS if numeric else ()))
+    if text is not None:
+        holds = holds & ((head != "ST") | F.coalesce(text, F.lit(False)))
+    if numeric:
+        number = F.try_variant_get(value, place, "double")
+        limits = []
+        if "number" not in rule.kinds:
+            limits.append(number % 1 == 0)
+        if rule.equals is not None and not isinstance(rule.equals, str):
+            limits.append(number == float(rule.equals))
+        if rule.minimum is not None:
+            limits.append(number >= float(rule.minimum))
+        if rule.maximum is not None:
+            limits.append(number <= float(rule.maximum))
+        for limit in limits:
+            holds = holds & F.coalesce(limit, F.lit(True))
+    return holds
+
+
+def _item_holds(item: Column, contract: Contract, place: str) -> Column:
+    """Whether an item of a list meets its rules."""
+    rules, rule = _inner(contract, place), contract[place]
+    names = _names(item)
+    parts = [names.isNotNull(), F.size(_unknown(names, rules)) == 0]
+    parts += [_holds(item, f"$.{name}", one) for name, one in rules.items()]
+    if rule.one_of:
+        kinds = [F.schema_of_variant(F.try_variant_get(item, f"$.{name}", "variant")) for name in rule.one_of]
+        parts.append(reduce(Column.__or__, [~kind.eqNullSafe("VOID") for kind in kinds]))
+    return reduce(Column.__and__, parts)
+
+
+def _met(rows: DataFrame, number: int, contract: Contract, applies: Column) -> tuple[DataFrame, Column]:
+    """Rows with what decides whether a message meets a contract, and that as a column without lambdas
+    for the fields and with one per list.
+
+    A step holds the conditions of a few fields and is asked only where the steps before it hold.
+    """
+    document, names, inside = F.col("_document"), F.col("_names"), F.col("_inside")
+    outer, inner, lists = _inner(contract, ""), _inner(contract, "payload"), _lists(contract)
+    known = F.size(_unknown(names, outer)) == 0
+    conditions = [known]
+    if "payload" in outer:
+        conditions += [inside.isNotNull(), F.size(_unknown(inside, inner)) == 0]
+    conditions += [_holds(document, f"$.{x}", rule) for x, rule in outer.items() if x != "payload"]
+    conditions += [
+        _holds(document, f"$.payload.{x}", rule) for x, rule in inner.items() if x not in lists
+    ]
+    held = applies
+    for start in range(0, len(conditions), _CHUNK):
+        some = reduce(Column.__and__, conditions[start : start + _CHUNK])
+        name = f"_holds{start}_{number}"
+        rows = computed_once(rows, name, F.coalesce(F.when(held, some), F.lit(False)))
+        held = F.col(name)
+    for name in lists:
+        column, place = f"_list_{name}_{number}", f"payload.{name}[]"
+        rows = computed_once(rows, column, F.when(held, _items(document, f"$.payload.{name}")))
+        items, rule = F.col(column), inner[name]
+        each = F.forall(items, lambda item: _item_holds(item, contract, place))
+        enough = F.size(items) >= (rule.min_items or 0)
+        said = f"_holds_{name}_{number}"
+        rows = rows.withColumn(said, F.coalesce(F.when(held & items.isNotNull() & enough, each), F.lit(False)))
+        held = F.col(said)
+    return rows, held
+
+
+def with_verdict(messages: DataFrame, contract: Contract | None = None) -> DataFrame:
+    """Messages with whether they meet their contract: exactly those without violations do.
+
+    No texts are made, so this is the cheaper question where only the answer is wanted.
     """
+    rows, known = _opened(messages, contract)
+    label = F.col("_label")
+    found = F.lit(False)
+    for number, (name, rules) in enumerate(known.items()):
+        applies = F.col("_names").isNotNull() & (label == name)
+        rows, held = _met(rows, number, rules, applies)
+        found = F.when(label == name, held).otherwise(found)
+    rows = projected_once(rows, MEETS, F.coalesce(found, F.lit(False)))
+    return rows.select(*messages.columns, MEETS)
+
+
+def _opened(
+    messages: DataFrame, contract: Contract | None, added: Adding = computed_once
+) -> tuple[DataFrame, dict[str, Contract]]:
+    """Messages with their document, names of fields and the contract they name; and the contracts by name."""
     known = (
         {_GIVEN: contract}
         if contract is not None
         else {f"{kind} v{version}": found for (kind, version), found in CONTRACTS.items()}
     )
-    document, label = F.col("_document"), F.col("_label")
-    rows = computed_once(messages, "_document", F.try_parse_json(F.col("value").cast("string")))
+    document = F.col("_document")
+    rows = added(messages, "_document", F.try_parse_json(F.col("value").cast("string")))
     kind, version = contract_of(document)
     named = _label(kind, version) if contract is None else F.lit(_GIVEN)
     parts = {"_label": named, "_names": _names(document), "_inside": _names(document, "$.payload")}
     for name, value in parts.items():
-        rows = computed_once(rows, name, value)
+        rows = added(rows, name, value)
+    return rows, known
+
+
+def with_violations(
+    messages: DataFrame, contract: Contract | None = None, *, if_read: bool = False
+) -> DataFrame:
+    """Messages (JSON text in ``value``) with their contract violations.
+
+    The contract is the one the event names, unless one is given. Texts then
+    read ``type vN at path: reason``. Conditions are made from the rules, and only
+    those of a message's own contract are asked of it.
+
+    With ``if_read`` all is projections, which cost nothing where the violations are not read. A filter on
+    the violations is then to be put on a generated copy (``computed_once``), as it would be pushed below them.
+    """
+    plain, with_lambdas = (projected, projected) if if_read else (computed_once, projected_once)
+    rows, known = _opened(messages, contract, plain)
+    label = F.col("_label")
+    kind, _ = contract_of(F.col("_document"))
     # What needs no lambda comes first for all contracts, so that it is compiled as one stage.
     prefixes = {name: "" if contract is not None else f"{name} at " for name in known}
     said = []
     for number, (name, rules) in enumerate(known.items()):
         applies = F.col("_names").isNotNull() & (label == name)
-        rows, one = _of_contract(rows, number, rules, applies, prefixes[name])
+        rows, one = _of_contract(rows, number, rules, applies, prefixes[name], plain)
         said.append(one)
     found = F.lit(None).cast(_NO_TEXTS)
     for number, (name, rules) in enumerate(known.items()):
-        rows, violations = _violations(rows, number, rules, said[number], prefixes[name])
+        rows, violations = _violations(
+            rows, number, rules, said[number], prefixes[name], with_lambdas
+        )
         found = F.when(label == name, violations).otherwise(found)
     if contract is None:
         found = (
@@ -651,4 +795,4 @@ def with_violations(messages: DataFrame, contract: Contract | None = None) -> Da
     else:
         not_object = F.array(F.lit("<root>: not a JSON object"))
         found = F.when(F.col("_names").isNull(), not_object).otherwise(found)
-    return projected_once(rows, VIOLATIONS, found).select(*messages.columns, VIOLATIONS)
+    return with_lambdas(rows, VIOLATIONS, found).select(*messages.columns, VIOLATIONS)

@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from stopwise import settings
 from stopwise.functions.times import moment
-from stopwise.operators.contracts import VIOLATIONS, contract_of, with_violations
+from stopwise.operators.contracts import (
+    MEETS,
+    VIOLATIONS,
+    contract_of,
+    with_verdict,
+    with_violations,
+)
 
 
 def dead_letters(rejected: DataFrame, failed_at=None, stage: str = "schema_validation") -> DataFrame:
@@ -57,9 +63,9 @@ def route(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def route_counts(messages: DataFrame) -> DataFrame:
     """Published and rejected messages per topic."""
-    good = F.size(VIOLATIONS) == 0
+    good = F.col(MEETS)
     return (
-        with_violations(messages)
+        with_verdict(messages)
         .groupBy("topic")
         .agg(F.count_if(good).alias("published"), F.count_if(~good).alias("rejected"))
     )

@@ -88,6 +88,45 @@ def test_contract(spark, kind):
             assert f"{label} v1 at {reason}" in found, row.value
 
 
+ODD = [
+    None, True, 0, 1, 2, -1, 1.0, 0.5, 1e300, 10**20, "", " ", "x", "1", "true", "20260807", 20260807,
+    "25:10:00", "https://e.org", "2026-08-14T12:00:00Z", "2026-02-30T12:00:00Z", "WEATHER", [], [None],
+    [{}], [1, "a"], {}, {"a": None},
+]
+
+
+def _paths(value, path=""):
+    """Dotted paths of all values inside a document."""
+    inside = value.items() if isinstance(value, dict) else enumerate(value) if isinstance(value, list) else ()
+    for name, item in inside:
+        yield f"{path}{name}"
+        yield from _paths(item, f"{path}{name}.")
+
+
+def _odd_messages(kind):
+    """An example with each value replaced by each odd one, left out, or with a field beside it."""
+    for path in _paths(event(kind)):
+        yield from (event(kind, path, odd) for odd in ODD)
+        if not path[-1].isdigit():
+            yield without(kind, path)
+            yield event(kind, f"{path}_odd", 1)
+
+
+@pytest.mark.parametrize("given", [False, True])
+@pytest.mark.parametrize("kind", sorted(CASES))
+def test_the_verdict_is_that_there_are_no_violations(spark, kind, given):
+    texts = ["[1]", "{", "null", '{"event_type": "trip_update", "event_type": "trip_update"}']
+    items = [item for item, _ in CASES[kind]] + list(_odd_messages(kind)) + texts
+    contract = {"vehicle": contracts.VEHICLE, "trip": contracts.TRIP, "alert": contracts.ALERT}[kind]
+    messages = envelope(spark, items).repartition(8, "offset").persist()
+    asked = [messages, contract] if given else [messages]
+    violations = contracts.with_violations(*asked).select("offset", F.size(contracts.VIOLATIONS) == 0)
+    verdicts = contracts.with_verdict(*asked).select("offset", contracts.MEETS)
+    expected, found = dict(violations.collect()), dict(verdicts.collect())
+    assert {True, False} == set(expected.values())
+    assert [items[place] for place in expected if expected[place] != found[place]] == []
+
+
 def test_a_stop_needs_one_reference(spark):
     stop = {**event("trip")["payload"]["stop_time_updates"][0], "stop_id": None, "stop_sequence": None}
     messages = envelope(spark, [event("trip", "payload.stop_time_updates", [stop])])
