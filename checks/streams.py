@@ -387,10 +387,8 @@ def _contract(kind: str, covers: str, shape: contracts.Contract) -> None:
         f'SELECT partition, "offset", {good(kind, "contract")} AS is_valid FROM fx_{kind}_messages',
     )
     def _(t):
-        checked = contracts.with_violations(messages(t, kind), shape)
-        return checked.select(
-            "partition", "offset", (F.size(contracts.VIOLATIONS) == 0).alias("is_valid")
-        )
+        checked = contracts.with_verdict(messages(t, kind), shape)
+        return checked.select("partition", "offset", F.col(contracts.MEETS).alias("is_valid"))
 
 
 _contract("vehicle", "DQ1", contracts.VEHICLE)
@@ -413,10 +411,8 @@ oracle.add_part(
     'SELECT topic, partition, "offset", ok AS is_valid FROM all_docs',
 )
 def _(t):
-    checked = contracts.with_violations(all_messages(t))
-    return checked.select(
-        "topic", "partition", "offset", (F.size(contracts.VIOLATIONS) == 0).alias("is_valid")
-    )
+    checked = contracts.with_verdict(all_messages(t))
+    return checked.select("topic", "partition", "offset", F.col(contracts.MEETS).alias("is_valid"))
 
 
 @check(
