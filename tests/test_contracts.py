@@ -127,6 +127,16 @@ def test_the_verdict_is_that_there_are_no_violations(spark, kind, given):
     assert [items[place] for place in expected if expected[place] != found[place]] == []
 
 
+def test_texts_of_violations_are_not_made_where_nothing_reads_them(spark):
+    _, rejected = dead_letters.route(envelope(spark, [event("trip"), event("trip", "extra", 1)]))
+    letters = dead_letters.dead_letters(rejected, "2026-08-14 12:00:00")
+    with_texts, without_texts = (
+        frame._jdf.queryExecution().optimizedPlan().toString()
+        for frame in (letters, letters.drop("error_message"))
+    )
+    assert "unknown field" in with_texts and "unknown field" not in without_texts
+
+
 def test_a_stop_needs_one_reference(spark):
     stop = {**event("trip")["payload"]["stop_time_updates"][0], "stop_id": None, "stop_sequence": None}
     messages = envelope(spark, [event("trip", "payload.stop_time_updates", [stop])])
