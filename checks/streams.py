@@ -32,15 +32,18 @@ def projected(t: Staged, sql: str) -> DataFrame:
     return project(t.spark, t.folder, sql)
 
 
+def _dealt(events: DataFrame) -> DataFrame:
+    parts = PARTS_PER_CORE * events.sparkSession.sparkContext.defaultParallelism
+    return events.repartition(parts, "event_id")
+
+
 def messages(t: Staged, kind: str) -> DataFrame:
     """Messages in as many parts as a topic of the size would have.
 
     The events are a file of few row groups, often one, and a message takes long to check. Events are
     small, so they are dealt out before they become messages.
     """
-    events = driver_table(t.spark, t.folder, "events")
-    parts = PARTS_PER_CORE * t.spark.sparkContext.defaultParallelism
-    return over(TEXTS[kind][0], events=events.repartition(parts, "event_id"))
+    return over(TEXTS[kind][0], events=_dealt(driver_table(t.spark, t.folder, "events")))
 
 
 def all_messages(t: Staged) -> DataFrame:
@@ -340,7 +343,8 @@ def _stream(t: Staged, kind: str) -> DataFrame:
         .option("pathGlobFilter", "events.parquet")
         .parquet(t.folder)
     )
-    return over(TEXTS[kind][0].replace("FROM @events", "FROM @events @repeat2"), events=raw)
+    # Dealt out as in ``messages``: a batch of one file would be parsed by one task.
+    return over(TEXTS[kind][0].replace("FROM @events", "FROM @events @repeat2"), events=_dealt(raw))
 
 
 def _streamed(kind: str, covers: str) -> None:

@@ -152,6 +152,13 @@ def test_messages_are_dealt_to_all_cores(spark):
     assert messages.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
 
 
+def test_streamed_messages_are_dealt_to_all_cores(spark):
+    streamed = streams._stream(Staged(spark, "/root/testdata/sf0.001"), "trip")
+    plan = streamed._jdf.queryExecution().analyzed().toString()
+    parts = streams.PARTS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert [x for x in plan.splitlines() if "RepartitionByExpression" in x and x.endswith(f", {parts}")]
+
+
 def test_generators_hold_no_lambda(spark):
     """A generator with a lambda is interpreted as a whole, for each message and each contract."""
     checked = contracts.with_violations(envelope(spark, [event("trip")]), contracts.TRIP)
