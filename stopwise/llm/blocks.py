@@ -7,7 +7,8 @@ shuffled at the size of the compressed text.
 In an exchange every block sends its keys, sorted out into buckets by hash and
 packed, so that a (block, bucket) pair is one row. A key travels once per block,
 however often it occurs there, which is what keeps a hot key from weighing on
-its bucket. Each bucket answers every block with one bit per key.
+its bucket. Each bucket answers every block with one bit per key, and where that is
+set with the number of blocks.
 """
 
 from __future__ import annotations
@@ -209,31 +210,36 @@ SENT_KEYS = "bucket long, block_id long, keys binary"
 def _shared(table: pa.Table) -> pa.Table:
     each = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
     number = pa.array(np.concatenate(each), pa.uint64()).dictionary_encode().indices.to_numpy()
-    shared = np.bincount(number)[number] > 1
+    spread = np.minimum(np.bincount(number), 0xFFFF).astype("<u2")[number]
     ends = np.cumsum([len(x) for x in each])
-    bits = [np.packbits(shared[e - len(x) : e]).tobytes() for x, e in zip(each, ends, strict=True)]
+    answers = []
+    for e, x in zip(ends, each, strict=True):
+        own = spread[e - len(x) : e]
+        answers.append(np.packbits(own > 1).tobytes() + own[own > 1].tobytes())
     return pa.table(
         {
             "block_id": table.column("block_id"),
             "bucket": table.column("bucket"),
-            "bits": binary_array(bits),
+            "bits": binary_array(answers),
         }
     )
 
 
 def shared_keys(sent: DataFrame) -> DataFrame:
-    """Answers to ``send_keys``: a bit per key, whether another block has it too."""
+    """Answers to ``send_keys``: a bit per key, whether another block has it too, and then two bytes
+    per key that others have, in how many blocks it is."""
     return sent.groupBy("bucket").applyInArrow(
         lambda table: _shared(table), "block_id long, bucket long, bits binary"
     )
 
 
-def occurs_again(keys: np.ndarray, count: int, answers: dict[int, bytes]) -> np.ndarray:
-    """For each key of a block, whether it occurs twice, here or elsewhere."""
+def spread_of(keys: np.ndarray, count: int, answers: dict[int, bytes]) -> np.ndarray:
+    """For each key of a block, how many blocks have it, 65535 at most; 0 if it occurs only once."""
     some, number, often, bounds = distinct_keys(keys, count)
-    again = often > 1
-    for bucket, bits in answers.items():
-        low, high = bounds[bucket], bounds[bucket + 1]
-        elsewhere = np.unpackbits(np.frombuffer(bits, np.uint8), count=int(high - low))
-        again[low:high] |= elsewhere.astype(bool)
-    return again[number]
+    spread = (often > 1).astype(np.uint16)
+    for bucket, told in answers.items():
+        low, high = int(bounds[bucket]), int(bounds[bucket + 1])
+        size = (high - low + 7) // 8
+        elsewhere = np.unpackbits(np.frombuffer(told, np.uint8, size), count=high - low)
+        spread[low + np.flatnonzero(elsewhere)] = np.frombuffer(told, "<u2", offset=size)
+    return spread[number]

@@ -10,10 +10,13 @@ equal in both. How many blocks that takes follows from the size of the smaller
 set; sizes fall into classes such that linked sets are of one class or of
 neighbouring ones. Per block the equal contents are a key:
 
-1. blocks of documents exchange the keys of their column blocks; a document
-   none of whose keys occurs elsewhere is linked with nothing;
+1. blocks of documents exchange the keys of their column blocks and learn how common each
+   is. Of a set's keys, those of as many blocks as may differ and one more are enough: linked
+   sets share one of these in any order that all sets agree on. The rarest come first, so
+   that common passages tie strangers only where little else is left; a document none of whose
+   first keys occurs elsewhere is linked with nothing;
 2. equal sets become one row; rows connected by keys form candidate groups;
-3. a group larger than a tile, which chains of keys can make of strangers, is first
+3. a group larger than a tile, which chains of keys can still make of strangers, is first
    multiplied out on sketches, two bytes for each column block: sets that may differ in
    ``differ`` blocks have all others equal, so pairs with fewer equal ones are not linked,
    and what is left falls apart into small groups;
@@ -162,30 +165,47 @@ def _block_hashes(
     return mix(sums + mix(salt)), owner, np.diff(bounds)
 
 
-def block_keys(
+def level_keys(
     hashes: np.ndarray, rows: np.ndarray, sizes: np.ndarray, num: int, den: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the column blocks of each set, for its own size class and the one below.
-
-    Sets that differ in at most ``differ`` of their blocks share a key among the first
-    ``differ`` + 1 of each, in any order that depends on a block's content alone. Blocks of
-    most elements come first: those of one or none say little and would tie strangers.
-    """
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of all column blocks of each set, for its own size class and the one below: key, owner
+    (twice the row, one more below), number of elements; and by owner how many keys tell enough."""
     classes = SizeClasses(num, den, int(sizes.max(initial=0)))
     own = classes.of(sizes)
     mixed = mix(hashes + _U(1))
-    keys, owners = [], []
-    for level in (own, own - 1):
-        count = classes.count(level)
-        differ = classes.differ[np.maximum(level, 0)]
-        key, owner, elements = _block_hashes(hashes, mixed, rows, level, count)
-        order = np.lexsort((key, -elements, owner))
-        first = np.cumsum(count) - count
-        rank = np.arange(len(order)) - first[owner]
-        told = order[rank <= differ[owner]]
-        keys.append(key[told])
-        owners.append(owner[told])
-    return np.concatenate(keys), np.concatenate(owners)
+    found = []
+    enough = np.zeros(2 * len(sizes), np.int64)
+    for below, level in enumerate((own, own - 1)):
+        key, owner, elements = _block_hashes(hashes, mixed, rows, level, classes.count(level))
+        found.append((key, 2 * owner + below, elements))
+        enough[below::2] = np.where(level >= 0, classes.differ[np.maximum(level, 0)] + 1, 0)
+    keys, owners, elements = (np.concatenate(x) for x in zip(*found, strict=True))
+    return keys, owners, elements, enough
+
+
+def first_keys(
+    keys: np.ndarray, owners: np.ndarray, elements: np.ndarray, enough: np.ndarray, spread: np.ndarray
+) -> np.ndarray:
+    """Places of the keys that come first of each owner's, as many as are enough.
+
+    Sets that differ in at most ``differ`` of their blocks share a key among the first
+    ``differ`` + 1 of each, in any order that depends on a block's content alone. ``spread`` is
+    such a number, as everyone is told the same: rare keys come first. Of equally rare ones those
+    of most elements do, as blocks of one or none say little and would tie strangers.
+    """
+    order = np.lexsort((keys, -elements, spread, owners))
+    count = np.bincount(owners, minlength=len(enough))
+    rank = np.arange(len(order)) - (np.cumsum(count) - count)[owners[order]]
+    return order[rank < enough[owners[order]]]
+
+
+def block_keys(
+    hashes: np.ndarray, rows: np.ndarray, sizes: np.ndarray, num: int, den: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """First keys of each set and its row, where all keys are equally rare."""
+    keys, owners, elements, enough = level_keys(hashes, rows, sizes, num, den)
+    told = first_keys(keys, owners, elements, enough, np.zeros(len(keys), np.uint16))
+    return keys[told], owners[told] // 2
 
 
 def sketches(
@@ -209,13 +229,14 @@ def _sets(batch: pa.RecordBatch, ngram: int) -> Iterator[tuple[int, np.ndarray,
         yield chunk.first, hashes, rows, np.bincount(rows, minlength=len(chunk))
 
 
-def _all_keys(batch: pa.RecordBatch, ngram: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    keys, owners = [np.empty(0, _U)], [np.empty(0, np.int64)]
+def _all_keys(batch: pa.RecordBatch, ngram: int, num: int, den: int) -> tuple[np.ndarray, ...]:
+    """As ``level_keys``, of all rows of a batch."""
+    none = np.empty(0, np.int64)
+    found = [(np.empty(0, _U), none, none, none)]
     for first, hashes, rows, sizes in _sets(batch, ngram):
-        found, owner = block_keys(hashes, rows, sizes, num, den)
-        keys.append(found)
-        owners.append(owner + first)
-    return np.concatenate(keys), np.concatenate(owners)
+        keys, owners, elements, enough = level_keys(hashes, rows, sizes, num, den)
+        found.append((keys, owners + 2 * first, elements, enough))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def _send(ngram: int, num: int, den: int, count: int, block_id: int, batch: pa.RecordBatch):
@@ -223,10 +244,13 @@ def _send(ngram: int, num: int, den: int, count: int, block_id: int, batch: pa.R
 
 
 def _rows(ngram: int, num: int, den: int, count: int, block_id: int, batch: pa.RecordBatch, answers: dict):
-    """Per document: size, set fingerprint, the keys that occur again, and its place in the block."""
-    keys, owners = _all_keys(batch, ngram, num, den)
-    again = B.occurs_again(keys, count, answers) if len(keys) else np.zeros(0, bool)
-    keys, owners = keys[again], owners[again]
+    """Per document: size, set fingerprint, its first keys that occur again, and its place in the block."""
+    keys, owners, elements, enough = _all_keys(batch, ngram, num, den)
+    spread = B.spread_of(keys, count, answers) if len(keys) else np.zeros(0, np.uint16)
+    told = first_keys(keys, owners, elements, enough, spread)
+    told = told[spread[told] > 0]
+    keys, owners = keys[told], owners[told] // 2
+    del elements, enough, spread, told
     order = np.argsort(owners, kind="stable")
     keys, bounds = keys[order], np.searchsorted(owners[order], np.arange(batch.num_rows + 1))
     n, one, two = [], [], []
@@ -455,7 +479,7 @@ def _linked(docs: DataFrame, ngram: int, num: int, den: int) -> DataFrame:
     only = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     held = B.store_blocks(only)
     size = held.agg(F.sum("bytes")).first()[0] or 0
-    count = B.bucket_count(size // 24, held)
+    count = B.bucket_count(size // 12, held)
     sent = B.map_blocks(held, partial(_send, ngram, num, den, count), B.SENT_KEYS)
     rows = stored(
         B.answer_blocks(

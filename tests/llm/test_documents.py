@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stopwise.llm import (
@@ -447,3 +448,51 @@ def test_cached_tokens_equal_the_tokenizer():
             text = column[chunk.first + row].as_py() or ""
             want = reference.encode(text, add_special_tokens=False).ids
             assert ids[begin[row] : begin[row + 1]].tolist() == want
+
+
+def test_blocks_learn_how_common_keys_are():
+    """In how many blocks a key is, 0 if it occurs once."""
+    held = [[3, 3, 5, 9, 1 << 40], [5, 7, 9], [9, 1 << 40, 1 << 63], [1 << 63, 9]]
+    held = [np.array(x, np.uint64) for x in held]
+    sent = [blocks.send_keys(k, x, 4).to_pylist() for k, x in enumerate(held)]
+    told = {k: {} for k in range(len(held))}
+    for bucket in range(4):
+        rows = [x for one in sent for x in one if x["bucket"] == bucket]
+        if rows:
+            for x in blocks._shared(pa.Table.from_pylist(rows)).to_pylist():
+                told[x["block_id"]][x["bucket"]] = x["bits"]
+    found = [blocks.spread_of(x, 4, told[k]).tolist() for k, x in enumerate(held)]
+    assert found == [[1, 1, 2, 4, 2], [2, 0, 4], [4, 2, 2], [2, 4]]
+
+
+def test_common_passages_do_not_chain_strangers():
+    """Strangers share passages that many others have; linked pairs share what is rare as well."""
+    rng = np.random.default_rng(7)
+
+    def drawn(count):
+        return rng.integers(0, 1 << 64, count, dtype=np.uint64)
+
+    def largest(keys, rows):
+        """Rows of the largest group that keys connect."""
+        group = np.arange(len(sets))
+        for key in np.unique(keys):
+            met = np.unique(group[rows[keys == key]])
+            group[np.isin(group, met)] = met[0]
+        return np.bincount(group).max()
+
+    passages = [drawn(60) for _ in range(4)]
+    sets = []
+    for k in range(60):
+        one = np.concatenate([passages[k % 4], passages[(k + 1) % 4], drawn(300)])
+        sets += [np.unique(one), np.unique(np.concatenate([one[30:], drawn(15)]))]
+    sizes = np.array([len(x) for x in sets])
+    made = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes), sizes, 80, 100
+    keys, owners, elements, enough = jaccard_join.level_keys(*made)
+    _, number, often = np.unique(keys, return_inverse=True, return_counts=True)
+    told = jaccard_join.first_keys(keys, owners, elements, enough, often[number])
+    keys, rows = keys[told], owners[told] // 2
+    for k in range(0, len(sets), 2):
+        assert np.isin(keys[rows == k], keys[rows == k + 1]).any()
+    assert largest(keys, rows) <= 20
+    # In an order without regard to rarity, passages tie all of them.
+    assert largest(*jaccard_join.block_keys(*made)) == len(sets)
