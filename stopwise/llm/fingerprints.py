@@ -19,6 +19,8 @@ missing id last; rows that repeat are neighbours of each other.
 from __future__ import annotations
 
 import base64
+import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stopwise.llm.textkit import Chunk, Hasher, chunks
+from stopwise.llm.textkit import Chunk, Hasher, chunks, let_go
 
 K, WINDOW = 12, 20
 _HASHER = Hasher(2)
-_BUCKET = 12  # ids of a bucket differ in the last so many bits only
+_BUCKET = 11  # ids of a bucket differ in the last so many bits only; a window holds 4096 rows in memory
 
 
 def select(hashes: np.ndarray, low: np.ndarray, high: np.ndarray, window: int) -> np.ndarray:
@@ -134,7 +136,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     blocks = names.groupBy("block").agg(
         F.min("bucket").alias("first"), F.max("bucket").alias("last")
     )
-    # One row per 16 million ids: few enough for one task.
+    # One row per 4 million ids: few enough for one task.
     around = W.partitionBy(F.lit(0))
     above = blocks.select(
         "block",
@@ -167,8 +169,8 @@ def with_next(docs: DataFrame) -> DataFrame:
 
 
 RESULT = (
-    "struct<n_chars:long,edited_sha256:string,fingerprint:string,"
-    "edited_fingerprint:string,near_edited:double,near_next:double>"
+    "n_chars long, edited_sha256 string, fingerprint string, "
+    "edited_fingerprint string, near_edited double, near_next double"
 )
 
 
@@ -176,44 +178,54 @@ def compared(rows: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame:
     """Rows (doc_id, text, next_text) with the fingerprints of text and edited text, and likeness.
 
     The edited text has the last floor(n_chars / 2) characters replaced by the
-    first as many (or all) of the next text.
+    first as many (or all) of the next text. A batch is given back in pieces, a chunk of
+    texts each, and no texts are held beside it.
     """
-    import hashlib
-
-    @F.arrow_udf(RESULT)
-    def work(texts: pa.Array, following: pa.Array) -> pa.Array:
-        out: list[list] = [[] for _ in range(6)]
-        for chunk in chunks(texts):
-            own = [chunk.text(row).decode("utf-8", "replace") for row in range(len(chunk))]
-            after = following.slice(chunk.first, len(chunk)).to_pylist()
-            edited = []
-            for text, other in zip(own, after, strict=True):
-                half = len(text) // 2
-                edited.append(text[: len(text) - half] + (other or "")[:half])
-            packed = [text.encode("utf-8") for text in edited]
-            prints = fingerprint_chunk(chunk, k, window)
-            (changed,) = chunks(pa.array(packed, pa.large_binary()), 1 << 62)
-            edits = fingerprint_chunk(changed, k, window)
-            # The next text mostly is the next row's own.
-            other = [row for row in range(len(own)) if row + 1 >= len(own) or after[row] != own[row + 1]]
-            nexts = {row: prints[row + 1] for row in range(len(own) - 1)}
-            spare = pa.array([(after[row] or "").encode("utf-8") for row in other], pa.large_binary())
-            for part in chunks(spare):
-                for i, found in enumerate(fingerprint_chunk(part, k, window)):
-                    nexts[other[part.first + i]] = found
-            for row in range(len(own)):
-                out[0].append(len(own[row]))
-                out[1].append(hashlib.sha256(packed[row]).hexdigest())
-                out[2].append(encode(*prints[row]))
-                out[3].append(encode(*edits[row]))
-                out[4].append(likeness(prints[row][0], edits[row][0]))
-                out[5].append(likeness(prints[row][0], nexts[row][0]))
-        names = [part.split(":")[0] for part in RESULT[len("struct<") : -1].split(",")]
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-        return pa.StructArray.from_arrays(
-            [pa.array(x, kind) for x, kind in zip(out, kinds, strict=True)], names=names
-        )
-
-    return rows.select("doc_id", work("text", F.coalesce("next_text", F.lit(""))).alias("r")).select(
-        "doc_id", "r.*"
-    )
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    names = [part.split(" ")[0] for part in RESULT.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in chunks(batch.column("text")):
+                ids, following = (
+                    batch.column(name).slice(chunk.first, len(chunk)) for name in ("doc_id", "next_text")
+                )
+                found = _work(chunk, following.to_pylist(), k, window)
+                yield pa.RecordBatch.from_arrays(
+                    [ids, *(pa.array(x, kind) for x, kind in zip(found, kinds, strict=True))],
+                    names=["doc_id", *names],
+                )
+            del batch
+            let_go()
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.select("doc_id", "text", "next_text").mapInArrow(run, f"doc_id {kind}, {RESULT}")
+
+
+def _work(chunk: Chunk, after: list[str | None], k: int, window: int) -> list[list]:
+    """The columns of ``RESULT`` for the texts of a chunk and the texts that follow them."""
+    out: list[list] = [[] for _ in range(6)]
+    own = [chunk.text(row).decode("utf-8", "replace") for row in range(len(chunk))]
+    edited = []
+    for text, other in zip(own, after, strict=True):
+        half = len(text) // 2
+        edited.append(text[: len(text) - half] + (other or "")[:half])
+    packed = [text.encode("utf-8") for text in edited]
+    prints = fingerprint_chunk(chunk, k, window)
+    (changed,) = chunks(pa.array(packed, pa.large_binary()), 1 << 62)
+    edits = fingerprint_chunk(changed, k, window)
+    # The next text mostly is the next row's own.
+    other = [row for row in range(len(own)) if row + 1 >= len(own) or after[row] != own[row + 1]]
+    nexts = {row: prints[row + 1] for row in range(len(own) - 1)}
+    spare = pa.array([(after[row] or "").encode("utf-8") for row in other], pa.large_binary())
+    for part in chunks(spare):
+        for i, found in enumerate(fingerprint_chunk(part, k, window)):
+            nexts[other[part.first + i]] = found
+    for row in range(len(own)):
+        out[0].append(len(own[row]))
+        out[1].append(hashlib.sha256(packed[row]).hexdigest())
+        out[2].append(encode(*prints[row]))
+        out[3].append(encode(*edits[row]))
+        out[4].append(likeness(prints[row][0], edits[row][0]))
+        out[5].append(likeness(prints[row][0], nexts[row][0]))
+    return out

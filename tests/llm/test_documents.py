@@ -496,3 +496,20 @@ def test_common_passages_do_not_chain_strangers():
     assert largest(keys, rows) <= 20
     # In an order without regard to rarity, passages tie all of them.
     assert largest(*jaccard_join.block_keys(*made)) == len(sets)
+
+
+def test_fingerprints_hold_no_texts_beside_their_batch(spark):
+    """Texts are not queued for the rows of a batch, and windows fit what they hold in memory."""
+    reachable(spark)
+    rows = [(k, f"text number {k} " * (4000 * (k == 3) + 40)) for k in range(5000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    following = fingerprints.with_next(frame)
+    found = fingerprints.compared(following)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "EvalPython" not in plan
+    assert 1 << fingerprints._BUCKET < int(spark.conf.get("spark.sql.windowExec.buffer.in.memory.threshold"))
+    texts = dict(rows)
+    nexts = {r.doc_id: r.next_text for r in following.select("doc_id", "next_text").collect()}
+    assert nexts == {k: texts[(k - 1) % 5000] for k in texts}
+    got = {r.doc_id: r.n_chars for r in found.collect()}
+    assert got == {k: len(x) for k, x in rows}
